@@ -9,7 +9,7 @@ from txscore.operators.serving import latest
 from txscore.plans.oracle import DIRTY, REPEATED, SCORED, TX, over, r6
 from txscore.plans.registry import query
 
-_DIRTY_COLUMNS = "trans_num, category, unix_time, is_fraud, amt, city_pop, copy_no"
+_DIRTY_COLUMNS = f"trans_num, category, unix_time, is_fraud, {r6('amt')} AS amt, city_pop, copy_no"
 _FIRST_COPY = "row_number() OVER (PARTITION BY trans_num ORDER BY copy_no)"
 
 
