@@ -123,9 +123,9 @@ def density_by_class(
 ) -> DataFrame:
     """Gaussian kernel density per class on an even grid from 0 to the percentile.
 
-    Bandwidth by Scott's rule per class. Every distinct value is evaluated once per grid
-    point, in the task that holds it: the grid is a fixed array and the sums are partial
-    aggregates, so only (class, point) rows are shuffled.
+    Bandwidth by Scott's rule per class. Each row is evaluated at every grid point in the
+    task that reads it: the grid is a fixed array and the sums are partial aggregates, so
+    only (class, point) rows are shuffled.
     """
     rows = df.select(F.col(column).alias("_x"), F.col(label).alias(label)).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x") & F.col(label).isNotNull())
@@ -133,14 +133,13 @@ def density_by_class(
     classes = rows.groupBy(label).agg(
         F.count("*").alias("_n"),
         (F.stddev_samp("_x") * F.pow(F.count("*").cast("double"), F.lit(-0.2))).alias("_h"))
-    values = rows.groupBy(label, "_x").agg(F.count("*").alias("_weight"))
     grid = F.sequence(F.lit(0), F.lit(points - 1))
     at = F.col("point") * (high / F.lit(float(points - 1)))
     # One row per class: the label of a two-class problem.
-    spread = values.join(F.broadcast(classes), label).withColumn("point", F.explode(grid))
+    spread = rows.join(F.broadcast(classes), label).withColumn("point", F.explode(grid))
     z = F.try_divide(at - F.col("_x"), F.col("_h"))  # null for a class without spread
     return spread.groupBy(label, "point", "_n", "_h").agg(
-        F.sum(F.col("_weight") * F.exp(z * z * F.lit(-0.5))).alias("_sum")
+        F.sum(F.exp(z * z * F.lit(-0.5))).alias("_sum")
     ).select(
         label, "point", at.alias("x"),
         F.try_divide(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -16,7 +15,8 @@ from txscore.operators.cleaning import project_scored
 from txscore.plans.feature_plans import model_rows
 from txscore.plans.oracle import FEATURES, SCORED, TX, over, r6
 from txscore.plans.registry import query
-from txscore.session import shared_dir
+from txscore.schema import SCORED as SCORED_SCHEMA
+from txscore.session import shared_dir, written_table
 
 _BUCKET = "('0x' || substr(md5(trans_num), 1, 8))::BIGINT % 10000"
 _NEGATIVES = "('0x' || substr(md5('negatives' || trans_num), 1, 8))::BIGINT % 10000"
@@ -245,9 +245,14 @@ def metrics_long(spark, sf_dir):
 
 # Training: no SQL says what a trained model should answer; tests/test_models.py checks quality.
 def training_sets(spark, sf_dir):
-    """Weighted, undersampled training rows and validation rows, kept for the fits."""
-    train, valid = sampling.hash_split(model_rows(spark, sf_dir))
-    train = sampling.hash_undersample(train).persist(StorageLevel.MEMORY_AND_DISK)
+    """Weighted, undersampled training rows and validation rows.
+
+    The features are written once; splits, weights and fits read them back.
+    """
+    needed = [*SCORED_SCHEMA.names[:7], *NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
+    rows = model_rows(spark, sf_dir).select(*dict.fromkeys(needed))
+    train, valid = sampling.hash_split(written_table(rows, "features"))
+    train = sampling.hash_undersample(train)
     weighted = sampling.with_class_weight(train, sampling.class_weight_of(train))
     return weighted, sampling.with_class_weight(valid)
 

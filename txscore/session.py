@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -47,3 +47,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="txscore-")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back.
+
+    For rows many passes go over: the plan starts at the files from then on, and a lost
+    executor costs a read instead of everything before.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
