@@ -98,12 +98,15 @@ def histogram_by_class(
         rows = rows.filter(F.col("_x") <= percentile(df, column, trim).scalar())
     low = rows.agg(F.min("_x").alias("low")).scalar()
     high = rows.agg(F.max("_x").alias("high")).scalar()
-    width = (high - low) / F.lit(float(bins))
-    index = F.least(F.floor(F.try_divide(F.col("_x") - low, width)), F.lit(bins - 1).cast("bigint"))
-    counted = rows.groupBy(label, F.coalesce(index, F.lit(0)).alias("bin")).agg(
+    # A column with a single value gets a range of 1 around it.
+    spread = high > low
+    start = F.when(spread, low).otherwise(low - 0.5)
+    width = F.when(spread, (high - low) / float(bins)).otherwise(1.0 / bins)
+    index = F.floor((F.col("_x") - start) / width)
+    counted = rows.groupBy(label, F.least(index, F.lit(bins - 1).cast("bigint")).alias("bin")).agg(
         F.count("*").alias("count"))
     return _with_class_percent(counted, label).select(
-        label, "bin", (low + F.col("bin") * width).alias("bin_start"), "count", "percent")
+        label, "bin", (start + F.col("bin") * width).alias("bin_start"), "count", "percent")
 
 
 def hour_share_by_class(df: DataFrame, label: str = LABEL) -> DataFrame:

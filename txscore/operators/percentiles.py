@@ -1,9 +1,8 @@
 """Exact percentiles without gathering a column in one place.
 
 Spark's exact `percentile` builds a map of all distinct values of a group in one task.
-Here a sketch first brackets each percentile; a second pass counts what lies below the
-bracket and keeps only the distinct values inside it. The result is exact, linear between
-neighbours.
+Here a sketch first brackets each percentile; a second pass counts what lies on either side
+and keeps only the distinct values inside. The result is exact, linear between neighbours.
 """
 
 from __future__ import annotations
@@ -56,27 +55,34 @@ def percentiles(
             F.col("_edges")[2 * i + 1].alias("high"),
         ) for i, p in enumerate(probabilities)
     ]).alias("_targets"))
-    inside = (
+    value = F.col("value")
+    side = F.when(value < F.col("low"), F.lit(-1)).when(value <= F.col("high"), F.lit(0)).otherwise(
+        F.lit(1))
+    # One row per distinct value inside the bracket, one for all below, one for all above.
+    runs = (
         values.join(F.broadcast(targets), "name")
         .select("name", "value", F.inline("_targets"))
-        .filter(F.col("value") <= F.col("high"))
-        .groupBy("name", "probability", "rank",
-                 F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value"))
-        .agg(F.count("*").alias("_count"))
-    )
-    order = Window.partitionBy("name", "probability").orderBy(F.asc_nulls_first("value"))
-    ranked = inside.withColumn("_upto", F.sum("_count").over(order))
-    found = ranked.groupBy("name", "probability", "rank").agg(
-        F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("_upto"))), F.lit(0)).alias("_below"),
-        F.min(F.when(F.col("_upto") > F.floor("rank"), F.col("value"))).alias("_left"),
-        F.min(F.when(F.col("_upto") > F.ceil("rank"), F.col("value"))).alias("_right"),
-    )
-    bracketed = (
-        (F.col("_below") <= F.floor("rank")) & F.col("_left").isNotNull() & F.col("_right").isNotNull()
+        .groupBy("name", "probability", "rank", side.alias("side"),
+                 F.when(side == 0, value).alias("inside"))
+        .agg(F.count("*").alias("_count"), F.min("value").alias("_min"), F.max("value").alias("_max"))
     )
+    order = Window.partitionBy("name", "probability").orderBy("side", "inside")
+    placed = runs.withColumn("_end", F.sum("_count").over(order)).withColumn(
+        "_start", F.col("_end") - F.col("_count"))
+
+    def value_at(position: Column) -> Column:
+        """The value at a rank; of the rows outside only the ones next to the bracket are known."""
+        known = (
+            F.when(F.col("side") == 0, F.col("inside"))
+            .when((F.col("side") == -1) & (position == F.col("_end") - 1), F.col("_max"))
+            .when((F.col("side") == 1) & (position == F.col("_start")), F.col("_min")))
+        return F.max(F.when((position >= F.col("_start")) & (position < F.col("_end")), known))
+
+    found = placed.groupBy("name", "probability", "rank").agg(
+        value_at(F.floor("rank")).alias("_left"), value_at(F.ceil("rank")).alias("_right"))
     share = F.col("rank") - F.floor("rank")
     exact = F.col("_left") + (F.col("_right") - F.col("_left")) * share
-    return found.select("name", "probability", F.when(bracketed, exact).otherwise(
+    return found.select("name", "probability", F.when(exact.isNotNull(), exact).otherwise(
         F.raise_error(F.lit("percentile outside of its bracket")).cast("double")).alias("percentile"))
 
 
