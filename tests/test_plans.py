@@ -7,8 +7,8 @@ from txscore import fixtures
 from txscore.operators import cleaning
 
 TRAINED = {
-    "rf_train_score", "gbt_train_score", "grid_search", "ensemble_train_score", "model_export",
-    "stream_score",
+    "rf_train_score", "gbt_train_score", "grid_search", "ensemble_train_score", "external_test",
+    "model_export", "stream_score",
 }
 
 

@@ -154,6 +154,15 @@ def test_jdbc_append_options():
         "numPartitions": "16", "saved": True}
 
 
+def test_half_written_batch_is_completed(make_scored):
+    batch = make_scored({}, {"trans_num": "T2"})
+    stored = make_scored({}, {"trans_num": "T9"}).withColumn("batch_id", F.lit(3).cast("bigint"))
+    rest = writers.not_yet_written(batch, stored, 3)
+    assert keys(rest) == ["T2"] and rest.first()["batch_id"] == 3
+    assert keys(writers.not_yet_written(batch, stored, 4)) == ["T1", "T2"]
+    assert rest.columns == [*SCORED.names, "batch_id"]
+
+
 def test_shared_dir_follows_the_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = shared_dir(spark, "x")

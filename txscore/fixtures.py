@@ -50,9 +50,7 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions_from(events: DataFrame) -> DataFrame:
     """Clean transactions, one per event; works on a batch or a stream."""
-    return events.select(*[
-        F.expr(_TX_COLUMNS[field.name]).alias(field.name) for field in TRANSACTION.fields
-    ])
+    return events.selectExpr(*[f"{_TX_COLUMNS[name]} AS `{name}`" for name in TRANSACTION.names])
 
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -132,21 +133,20 @@ def density_by_class(
     """
     rows = df.select(F.col(column).alias("_x"), F.col(label).alias(label)).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x") & F.col(label).isNotNull())
-    high = percentile(df, column, upto).scalar()
+    step = percentile(df, column, upto).scalar() / float(points - 1)
+    deviation, size = F.stddev_samp("_x"), F.count("*").cast("double")
+    # Null for a class without spread.
+    inverse = F.try_divide(F.lit(1.0), deviation * F.pow(size, F.lit(-0.2)))
     classes = rows.groupBy(label).agg(
-        F.count("*").alias("_n"),
-        (F.stddev_samp("_x") * F.pow(F.count("*").cast("double"), F.lit(-0.2))).alias("_h"))
-    grid = F.sequence(F.lit(0), F.lit(points - 1))
-    at = F.col("point") * (high / F.lit(float(points - 1)))
+        inverse.alias("_inverse"),
+        (inverse / (size * math.sqrt(2.0 * math.pi))).alias("_scale"))
     # One row per class: the label of a two-class problem.
-    spread = rows.join(F.broadcast(classes), label).withColumn("point", F.explode(grid))
-    z = F.try_divide(at - F.col("_x"), F.col("_h"))  # null for a class without spread
-    return spread.groupBy(label, "point", "_n", "_h").agg(
-        F.sum(F.exp(z * z * F.lit(-0.5))).alias("_sum")
-    ).select(
-        label, "point", at.alias("x"),
-        F.try_divide(
-            F.col("_sum"), F.col("_n") * F.col("_h") * F.sqrt(F.lit(2.0) * F.pi())).alias("density"))
+    spread = rows.join(F.broadcast(classes), label).withColumn(
+        "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    z = (F.col("point") * step - F.col("_x")) * F.col("_inverse")
+    return spread.groupBy(label, "point").agg(
+        F.sum(F.exp(z * z * -0.5) * F.col("_scale")).alias("density")
+    ).select(label, "point", (F.col("point") * step).alias("x"), "density")
 
 
 def union_splits(*splits: DataFrame) -> DataFrame:

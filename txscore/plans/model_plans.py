@@ -301,6 +301,21 @@ def ensemble_train_score(spark, sf_dir):
         evaluation.evaluate_ensemble(both))
 
 
+@query("external_test")
+def external_test(spark, sf_dir):
+    """The better of two models, chosen on the validation rows, on rows neither has seen."""
+    train, rest = training_sets(spark, sf_dir)
+    valid, test = sampling.hash_split(rest, 0.5, salt="test")
+    models = {
+        FOREST_NAME: modeling.train_forest(train, {"numTrees": [10], "maxDepth": [5]}).model,
+        BOOSTED_NAME: modeling.train_boosted(train, {"maxIter": [5], "maxDepth": [3]}).model,
+    }
+    ranked = evaluation.compare(*[
+        evaluation.evaluate(modeling.score(valid, model), name) for name, model in models.items()])
+    best = evaluation.best_of(ranked).first()["model"]
+    return evaluation.evaluate(modeling.score(test, models[best]), f"{best} Test")
+
+
 @query("model_export")
 def model_export(spark, sf_dir):
     """Train, save, load, and score all transactions with the loaded model."""

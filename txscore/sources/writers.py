@@ -32,6 +32,13 @@ def write_kafka(df: DataFrame, servers: str, topic: str, key: str | None = "tran
     )
 
 
+def not_yet_written(batch: DataFrame, stored: DataFrame, batch_id: int) -> DataFrame:
+    """The rows of a batch that the stored table does not have under this batch number."""
+    present = stored.filter(F.col("batch_id") == batch_id).select("trans_num")
+    return batch.join(present, "trans_num", "left_anti").select(
+        *batch.columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+
+
 def jdbc_append(
     batch: DataFrame, url: str, table: str, props: dict[str, str], batch_id: int | None = None,
     connections: int = 16,
@@ -44,11 +51,9 @@ def jdbc_append(
     every partition opens one.
     """
     if batch_id is not None:
-        present = (
-            batch.sparkSession.read.format("jdbc").options(url=url, dbtable=table, **props).load()
-            .filter(F.col("batch_id") == batch_id).select("trans_num"))
-        batch = batch.join(present, "trans_num", "left_anti").select(
-            *batch.columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        stored = batch.sparkSession.read.format("jdbc").options(
+            url=url, dbtable=table, **props).load()
+        batch = not_yet_written(batch, stored, batch_id)
     writer = batch.write.format("jdbc").mode("append")
     writer.options(url=url, dbtable=table, numPartitions=str(connections), **props).save()
 
@@ -61,8 +66,13 @@ def jdbc_writer(url: str, table: str, props: dict[str, str], idempotent: bool =
 
 
 def write_scored(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Scored rows as Parquet, one folder per day, so a time window reads few of them."""
-    with_event_time(df).write.mode(mode).partitionBy("trans_day").parquet(path)
+    """Scored rows as Parquet, one folder per day, so a time window reads few of them.
+
+    Rebalancing brings the rows of a day together, so a day gets few files instead of one
+    per task; adaptive execution splits a hot day again.
+    """
+    with_event_time(df).hint("rebalance", "trans_day").write.mode(mode).partitionBy(
+        "trans_day").parquet(path)
 
 
 def parquet_writer(path: str) -> BatchWriter:
