@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from txscore.constants import ORDINAL
 from txscore.schema import SCORED, TRANSACTION
-from txscore.session import shared_dir
+from txscore.session import shared_dir, size_for
 from txscore.sources import readers, writers
 
 
@@ -169,3 +169,20 @@ def test_shared_dir_follows_the_setting(spark):
     assert path != shared_dir(spark, "x")
     if root:
         assert path.startswith(root)
+
+
+def test_sizes_follow_the_input(spark):
+    names = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+             "spark.sql.files.maxPartitionBytes"]
+    before = {n: spark.conf.get(n, None) for n in names}
+    split = spark.conf.get(names[1])
+    try:
+        size_for(spark, 1000)
+        assert spark.conf.get(names[0]) == "4"
+        assert spark.conf.get(names[1]) == split
+        size_for(spark, 10 * 1024 ** 4)
+        assert spark.conf.get(names[0]) == "40960"
+        assert spark.conf.get(names[1]) == str(256 * 1024 * 1024)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

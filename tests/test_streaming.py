@@ -147,13 +147,17 @@ def test_trigger_interval(spark, make, topic, tmp_path):
     assert keys(spark, str(tmp_path / "out")) == ["T1"]
 
 
-def test_state_settings(spark):
+def test_state_settings(spark, make, topic, drain):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         scoring.configure_state(spark, 3)
         assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+        topic.send("a", *texts(make({}, {}, {"trans_num": "T2"})))
+        topic.send("b", *texts(make({"trans_num": "T2"})))
+        path = drain(scoring.clean_incoming(decode_messages(topic.stream())))
+        assert keys(spark, path) == ["T1", "T2"]
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
         spark.conf.set("spark.sql.shuffle.partitions", partitions)

@@ -19,9 +19,9 @@ _STATUS = """SELECT trans_num, trans_date_trans_time, cc_num, amt, merchant, cat
        CASE WHEN prediction >= 1 THEN 'ALERT' ELSE 'CLEAR' END AS status
 """
 _RATES = f"""count(*) AS total_count,
-       CAST(sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_fraud_count,
+       count(*) FILTER (prediction >= 1) AS predicted_fraud_count,
        {r6("avg(prob_1) * 100")} AS avg_fraud_probability,
-       {r6("sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END)::DOUBLE / count(*) * 100")}
+       {r6("100.0::DOUBLE * count(*) FILTER (prediction >= 1) / count(*)")}
          AS predicted_fraud_rate"""
 
 
@@ -89,8 +89,8 @@ def report(spark, sf_dir):
 
 @query("overall_stats", _WITH + f"""
 SELECT count(*) AS total_transactions,
-       CAST(sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_fraud_transactions,
-       {r6("100.0::DOUBLE * sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) / count(*)")}
+       count(*) FILTER (prediction >= 1) AS predicted_fraud_transactions,
+       {r6("100.0::DOUBLE * count(*) FILTER (prediction >= 1) / count(*)")}
          AS predicted_fraud_rate,
        {r6("avg(amt)")} AS avg_transaction_amount,
        {r6("avg(prob_1) * 100")} AS avg_fraud_probability
@@ -101,7 +101,7 @@ def overall_stats(spark, sf_dir):
 
 @query("hourly_series", _WITH + f"""
 SELECT date_trunc('hour', {TIME}) AS hour, count(*) AS total_count,
-       CAST(sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_fraud_count
+       count(*) FILTER (prediction >= 1) AS predicted_fraud_count
 FROM scored WHERE {TIME} >= TIMESTAMP '{AS_OF}' - INTERVAL 72 HOUR GROUP BY 1""")
 def hourly_series(spark, sf_dir):
     return serving.hourly_series(fixtures.scored(spark, sf_dir), 72, _as_of())
@@ -109,8 +109,8 @@ def hourly_series(spark, sf_dir):
 
 @query("hourly_rate", _WITH + f"""
 SELECT date_trunc('hour', {TIME}) AS hour, count(*) AS total_count,
-       CAST(sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_fraud_count,
-       {r6("100.0::DOUBLE * sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) / count(*)")}
+       count(*) FILTER (prediction >= 1) AS predicted_fraud_count,
+       {r6("100.0::DOUBLE * count(*) FILTER (prediction >= 1) / count(*)")}
          AS predicted_fraud_rate
 FROM scored WHERE {_SINCE} GROUP BY 1""")
 def hourly_rate(spark, sf_dir):
@@ -130,7 +130,7 @@ def by_merchant(spark, sf_dir):
 
 @query("top_categories", _WITH + f"""
 SELECT category, {_RATES} FROM scored GROUP BY category
-ORDER BY sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END)::DOUBLE / count(*) * 100 DESC, category
+ORDER BY count(*) FILTER (prediction >= 1) / count(*)::DOUBLE DESC, category
 LIMIT 15""")
 def top_categories(spark, sf_dir):
     return serving.top_categories(fixtures.scored(spark, sf_dir))
@@ -138,7 +138,7 @@ def top_categories(spark, sf_dir):
 
 @query("top_merchants", _WITH + f"""
 SELECT merchant, {_RATES} FROM scored GROUP BY merchant
-ORDER BY sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END)::DOUBLE / count(*) * 100 DESC, merchant
+ORDER BY count(*) FILTER (prediction >= 1) / count(*)::DOUBLE DESC, merchant
 LIMIT 10""")
 def top_merchants(spark, sf_dir):
     return serving.top_merchants(fixtures.scored(spark, sf_dir))
@@ -155,8 +155,8 @@ def by_amount(spark, sf_dir):
 _DAY_HOUR = f"""rates AS (
   SELECT CAST(dayofweek({TIME}) AS INTEGER) AS day_of_week,
          CAST(hour({TIME}) AS INTEGER) AS hour_of_day, count(*) AS total_count,
-         CAST(sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_fraud_count,
-         {r6("100.0::DOUBLE * sum(CASE WHEN prediction >= 1 THEN 1 ELSE 0 END) / count(*)")}
+         count(*) FILTER (prediction >= 1) AS predicted_fraud_count,
+         {r6("100.0::DOUBLE * count(*) FILTER (prediction >= 1) / count(*)")}
            AS predicted_fraud_rate
   FROM scored GROUP BY 1, 2)"""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -35,6 +36,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_for(spark: SparkSession, input_bytes: int, per_task: int = 256 * 1024 * 1024) -> None:
+    """Size scans and shuffles for a large input.
+
+    Shuffles start with one partition per `per_task` bytes and adaptive execution merges
+    small ones, so no task has to hold more than fits; scans read splits of the same size.
+    Not for streams: their number of partitions is part of the checkpoint.
+    """
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                     min(math.ceil(input_bytes / per_task), 200_000))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    if input_bytes > 10_000 * per_task:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(per_task))
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder all executors share (`spark.checkpoint.dir`).
 
