@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from txscore.constants import BOOSTED_NAME, FOREST_NAME
 from txscore.functions import class_probability
 from txscore.operators import evaluation, modeling, sampling
+from txscore.operators.profiling import observe_rows
 from txscore.sources.readers import load_model
 
 
@@ -110,6 +111,17 @@ def test_metrics_of_counted_scores_equal_those_of_rows(parts, forest):
         assert record[name] == pytest.approx(plain.evaluate(predictions), abs=1e-12)
 
 
+def test_training_and_scoring_after_an_observed_query(spark, parts):
+    counted, seen = observe_rows(spark.range(5), "before")
+    counted.collect()
+    assert seen.get["rows"] == 5
+    grid = {"numTrees": [2], "maxDepth": [2, 3]}
+    fitted = modeling.grid_search(parts[0], modeling.random_forest(), grid)
+    single = modeling.fit(parts[0], modeling.random_forest(numTrees=2, maxDepth=2))
+    for model in (fitted.model, single):
+        assert modeling.score(parts[1], model).select("prediction", "probability").collect()
+
+
 def test_metrics_guards(spark):
     none = spark.createDataFrame([(0, 0.0)], "is_fraud INT, prediction DOUBLE")
     row = evaluation.with_precision_recall(evaluation.confusion(none)).first()

@@ -122,8 +122,8 @@ def test_stream_scores_like_batch(spark, sf_dir, topic, drain):
     tx = fixtures.tx(spark, sf_dir)
     reference = fit_reference(clean_stream(tx))
     features = prepare_features(clean_stream(tx), reference)
-    model = modeling.pipeline(modeling.random_forest(numTrees=3, maxDepth=3)).fit(
-        sampling.with_class_weight(features))
+    model = modeling.fit(
+        sampling.with_class_weight(features), modeling.random_forest(numTrees=3, maxDepth=3))
     assert isinstance(model, PipelineModel)
     topic.send("a", *texts(tx))
     path = drain(scoring.score_stream(topic.stream(), reference, model))

@@ -94,7 +94,23 @@ def grid_search(
         fitted = search.fit(rows)
     finally:
         rows.unpersist()
-    return Fitted(fitted.bestModel, list(fitted.validationMetrics), time.monotonic() - started)
+    return Fitted(
+        without_summary(fitted.bestModel), list(fitted.validationMetrics),
+        time.monotonic() - started)
+
+
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The same model without its training summary.
+
+    A fresh forest's summary holds the session, and once the session has observed a query
+    that cannot be sent to tasks. A copy leaves it out, as does saving and loading.
+    """
+    return model.copy()
+
+
+def fit(train: DataFrame, classifier) -> PipelineModel:
+    """Indexers, assembler and classifier fitted once, without a search."""
+    return without_summary(pipeline(classifier).fit(train))
 
 
 def train_forest(train: DataFrame, grid: Mapping[str, Sequence] = FOREST_GRID_FAST, **params) -> Fitted:
