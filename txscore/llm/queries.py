@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txscore.llm.circulant import near_duplicates
 from txscore.llm.decontaminate import contamination
+from txscore.llm.langid import identify
 from txscore.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -19,3 +20,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_winnowing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_rank_order_profiles")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
