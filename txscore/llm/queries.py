@@ -2,16 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txscore.llm.circulant import near_duplicates
 from txscore.llm.decontaminate import contamination
 from txscore.llm.langid import identify
 from txscore.llm.registry import ORACLES, QUERIES, query, table
+from txscore.llm.secrets import find_secrets, learn_formats
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def joined(spans: Column) -> Column:
+    """Spans as kind:start:end, comma-joined in their order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def kind_count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+@query("op2_grammar_inference")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = find_secrets(documents, learn_formats(documents))
+    base = F.filter("spans", lambda s: ~s["kind"].startswith("like_"))
+    return found.select(
+        "doc_id", *(kind_count(F.col("spans"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"))
+
+
 @query("op3_circulant_minhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
