@@ -149,14 +149,14 @@ def _digest(ids) -> str:
     return hashlib.sha256(",".join(named).encode()).hexdigest()
 
 
-def _rows(doc_ids: pa.Array, counts: list[tuple[int, int, list]]) -> pa.RecordBatch:
+def _rows(ids: pa.Array, counts: list[tuple[int, int, list]], key: str = "doc_id") -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({
-        "doc_id": doc_ids,
+        key: ids,
         "n_words": pa.array([n for n, _, _ in counts], pa.int64()),
         "n_hit": pa.array([h for _, h, _ in counts], pa.int64()),
         "n_items": pa.array([len({x for x in i if x is not None}) for _, _, i in counts], pa.int64()),
         "items_sha256": pa.array([_digest(i) for _, _, i in counts], pa.string()),
-        "contaminated": pa.array([h > 0 and 20 * h >= n for n, h, _ in counts], pa.bool_())})
+        "contaminated": pa.array([_contaminated(h, n) for n, h, _ in counts], pa.bool_())})
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM,
@@ -169,15 +169,35 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     the hits are united per document.
     """
     docs = clean_table(docs, doc_id="doc_id", text="text")
+    hashed, parts = _indexed(items, index_bytes)
+    if parts == 1:
+        return map_batches(docs, _judging(_load(hashed, window, gram)), RESULT)
+    return _by_parts(docs, hashed, parts, window, gram).select(*_columns(RESULT))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM,
+                      index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """The rows, with all their columns, that are not contaminated."""
+    hashed, parts = _indexed(items, index_bytes)
+    if parts == 1:
+        return map_batches(docs, _dropping(_load(hashed, window, gram)), docs.schema)
+    rows = written_table(docs.select(F.struct(*docs.columns).alias("whole"), F.col("text")), "rows")
+    judged = _by_parts(rows, hashed, parts, window, gram).filter("not contaminated")
+    return judged.select("whole.*")
+
+
+def _columns(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def _indexed(items: DataFrame, index_bytes: int) -> tuple[DataFrame, int]:
+    """The items' words, written, and in how many parts tasks can hold them."""
     items = clean_table(items, item_id="item_id", text="text").select(
         F.col("item_id").cast("string"), "text")
     hashed = written_table(map_batches(items, _item_words, "item_id string, words array<long>"),
                            "benchmark_words")
     total = hashed.agg(F.sum(24 * F.size("words") + 64)).first()[0] or 0
-    parts = -(-int(total) // index_bytes) or 1
-    if parts == 1:
-        return map_batches(docs, _judging(_load(hashed, window, gram)), RESULT)
-    return _by_parts(docs, hashed, parts, window, gram)
+    return hashed, -(-int(total) // index_bytes) or 1
 
 
 def _load(hashed: DataFrame, window: int, gram: int) -> ItemIndex:
@@ -201,6 +221,24 @@ def _judging(index: ItemIndex):
     return work
 
 
+def _dropping(index: ItemIndex):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in slices(batch):
+                words = split_words(data, offsets, ALNUM)
+                keep = []
+                for a, b in zip(words.first[:-1], words.first[1:]):
+                    hit, _ = judge(words.hash[a:b], index)
+                    keep.append(not _contaminated(hit, int(b - a)))
+                yield rows.filter(pa.array(keep, pa.bool_()))
+
+    return work
+
+
+def _contaminated(hit: int, words: int) -> bool:
+    return hit > 0 and 20 * hit >= words
+
+
 def _by_parts(docs: DataFrame, hashed: DataFrame, parts: int, window: int, gram: int) -> DataFrame:
     """Documents are numbered once; each part of the benchmark gives runs of hit words; the
     runs of a document meet in one row, whose size the document bounds."""
@@ -214,8 +252,9 @@ def _by_parts(docs: DataFrame, hashed: DataFrame, parts: int, window: int, gram:
         runs = found if runs is None else runs.unionByName(found)
     runs = runs.groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("runs"),
                                    F.collect_set("item").alias("items"))
-    return map_batches(numbered.join(runs, "row", "left").select("doc_id", "text", "runs", "items"),
-                       _uniting, RESULT)
+    united = map_batches(numbered.join(runs, "row", "left").select("row", "text", "runs", "items"),
+                         _uniting, RESULT.replace("doc_id", "row"))
+    return numbered.drop("text").join(united, "row")
 
 
 def _finding(index: ItemIndex):
@@ -246,4 +285,4 @@ def _uniting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for run in runs or ():
                     hit[run["first"]:run["last"]] = True
                 counts.append((len(hit), int(hit.sum()), items or []))
-            yield _rows(rows.column("doc_id"), counts)
+            yield _rows(rows.column("row"), counts, "row")

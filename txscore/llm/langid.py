@@ -35,6 +35,9 @@ FLUSH = 1 << 20
 #: Languages that profiles are held for in every task: a bound on what is broadcast.
 MOST_LANGUAGES = 5000
 UNKNOWN = "und"
+#: Score below which a document counts as in no learned language. Texts of a few words score
+#: 0.4 and more in their language; texts of other letters score near 0.
+LEAST_SCORE = 0.15
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = _LETTER[128:] = True
@@ -188,6 +191,23 @@ def _predicting(profiles: Profiles):
     return work
 
 
+def accept(docs: DataFrame, profiles: Profiles, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows, with all their columns, whose text is in a learned language with a score of
+    `least` or more; where nothing was learned, all texts with a letter."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in slices(batch):
+                keep = []
+                for a, b in zip(offsets[:-1], offsets[1:]):
+                    lang, score = profiles.predict(data[a:b])
+                    keep.append(score >= least and lang != UNKNOWN if profiles.names
+                                else has_letter(data[a:b]))
+                yield rows.filter(pa.array(keep, pa.bool_()))
+
+    return map_batches(docs, work, docs.schema)
+
+
 def identify(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     """Learn from the rows (doc_id, text, lang) that are not held out, and predict all."""
     own = clean_table(docs, doc_id="doc_id", text="text", lang="lang")

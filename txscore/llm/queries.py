@@ -8,12 +8,24 @@ from pyspark.sql import functions as F
 from txscore.llm.circulant import near_duplicates
 from txscore.llm.decontaminate import contamination
 from txscore.llm.langid import identify
+from txscore.llm.pieces import decode, encode
 from txscore.llm.registry import ORACLES, QUERIES, query, table
 from txscore.llm.secrets import find_secrets, learn_formats
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizers' files are, on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def piece_model() -> str:
+    return tokenizer_file("piece_bpe_32k.model")
+
+
 def joined(spans: Column) -> Column:
     """Spans as kind:start:end, comma-joined in their order."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -48,3 +60,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_rank_order_profiles")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_merge_dropout")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = piece_model()
+    back = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    raw = F.col("text").cast("binary")
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
+        F.sha2(raw, 256).alias("text_sha256"),
+        ((F.crc32(raw) == F.col("text_crc32")) & (F.length(raw) == F.col("n_bytes"))).alias("lossless"))
