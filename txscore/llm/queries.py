@@ -9,8 +9,10 @@ from txscore.llm.circulant import near_duplicates
 from txscore.llm.decontaminate import contamination
 from txscore.llm.langid import identify
 from txscore.llm.pieces import decode, encode
+from txscore.llm.repair import round_trip
 from txscore.llm.registry import ORACLES, QUERIES, query, table
 from txscore.llm.secrets import find_secrets, learn_formats
+from txscore.llm.sharding import place
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -36,6 +38,11 @@ def kind_count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+@query("op1_repair")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 @query("op2_grammar_inference")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -57,6 +64,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_jump_hash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return place(table(spark, sf_dir, "documents"))
+
+
 @query("op9_rank_order_profiles")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
