@@ -10,6 +10,7 @@ from txscore.llm.decontaminate import contamination
 from txscore.llm.langid import identify
 from txscore.llm.pieces import decode, encode
 from txscore.llm.repair import round_trip
+from txscore.llm.pii import find_personal_data, learn_field
 from txscore.llm.registry import ORACLES, QUERIES, query, table
 from txscore.llm.secrets import find_secrets, learn_formats
 from txscore.llm.sharding import place
@@ -69,6 +70,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(table(spark, sf_dir, "documents"))
 
 
+@query("op8_semi_markov")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = find_personal_data(documents, learn_field(documents))
+    return found.select(
+        "doc_id", *(kind_count(F.col("base"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")),
+        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"))
+
+
 @query("op9_rank_order_profiles")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
