@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txscore.llm.circulant import near_duplicates
 from txscore.llm.decontaminate import contamination
+from txscore.llm.forest import nearest_neighbours
 from txscore.llm.langid import identify
 from txscore.llm.pieces import decode, encode
 from txscore.llm.repair import round_trip
@@ -60,6 +61,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_prefix_forest")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_winnowing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
