@@ -15,6 +15,7 @@ from txscore.llm.pii import find_personal_data, learn_field
 from txscore.llm.registry import ORACLES, QUERIES, query, table
 from txscore.llm.secrets import find_secrets, learn_formats
 from txscore.llm.sharding import place
+from txscore.llm.suffixes import remove_repeats
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -76,6 +77,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(table(spark, sf_dir, "documents"))
 
 
+@query("op7_difference_cover")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op8_semi_markov")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
