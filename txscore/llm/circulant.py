@@ -9,7 +9,8 @@ similarity of the full sets.
 Equal texts are one node, named by its smallest id. A band's bucket is never expanded into all
 its pairs: first each member is compared with the bucket's hub, and the links found are turned
 into components; only buckets that still hold several components go on, with another hub, and
-what then remains is compared in blocks, without pairs of one component. Pairs whose signatures
+what then remains is compared block by block, without pairs of one component, and only similar
+pairs leave a block. Pairs whose signatures
 are far below the threshold (see `MARGIN`) are not compared exactly.
 
 Chance of missing a link of similarity s: (1 - s^ROWS)^BANDS, 3e-6 at s = 0.8; and that of the
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txscore.llm.components import components
+from txscore.llm.components import components, join_components
 from txscore.llm.tasks import clean_table, map_batches, slices, written_table
 from txscore.llm.words import SPACED, U64, grams, mix, split_words
 
@@ -43,7 +44,7 @@ PERCENT = 80
 #: this is over five standard deviations below 0.8.
 MARGIN = 0.63
 #: Members of a block in the last comparison.
-BLOCK = 256
+BLOCK = 512
 
 _NONE = np.zeros(0, U64)
 
@@ -141,7 +142,9 @@ def _collecting_sets(size: int):
                 sets = _sets(rows, data, offsets, size)
                 yield pa.RecordBatch.from_pydict({
                     "node": rows.column("node"), "text_key": rows.column("text_key"),
-                    "items": pa.array([s.tobytes() for s in sets], pa.binary())})
+                    "items": pa.array([s.tobytes() for s in sets], pa.binary()),
+                    "short": pa.array([np.unique((s >> U64(32)).astype(np.uint32)).tobytes()
+                                       for s in sets], pa.binary())})
 
     return work
 
@@ -175,22 +178,31 @@ def _confirming(percent: int):
     return work
 
 
-def _comparing(margin: float):
-    """Pairs of a block that may be similar, with different labels; each pair from one band."""
+def _comparing(margin: float, percent: int):
+    """Pairs of two blocks with different labels that are similar by their shortened sets, which
+    the confirmation follows; each pair comes from the first band it shares."""
+    # Shortening merges few shingles: a half percent makes up for far more.
+    least = (percent - 0.5) / 100
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         low = np.stack([np.frombuffer(x, np.uint8) for x in frame["low"]])
         bands = np.stack([np.asarray(x, np.int64) for x in frame["bands"]])
         node, label = frame["node"].to_numpy(), frame["label"].to_numpy()
         side, band = frame["side"].to_numpy(), frame["band"].iloc[0]
+        sets = [np.frombuffer(x, np.uint32) for x in frame["short"]]
+        size = np.array([len(x) for x in sets])
         right = np.flatnonzero(side != 0)
         pairs = [np.zeros((0, 2), np.int64)]
         for i in np.flatnonzero(side != 1):
             rest = right[(label[right] != label[i]) & ((side[right] == 1) | (right > i))]
+            rest = rest[np.minimum(size[rest], size[i]) >= least * np.maximum(size[rest], size[i])]
             rest = rest[(low[rest] == low[i]).mean(axis=1) >= margin] if len(rest) else rest
             if len(rest):
                 first = bands[rest, (bands[rest] == bands[i]).argmax(axis=1)]
                 rest = rest[first == band]
+                common = np.array([len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+                                   for k in rest])
+                rest = rest[common >= least * (size[i] + size[rest] - common)]
                 pairs.append(np.stack([np.full(len(rest), node[i]), node[rest]], axis=1))
         found = np.sort(np.concatenate(pairs), axis=1)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
@@ -207,8 +219,9 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return written_table(labelled.join(several, "band"), "open")
 
 
-def _blocks(open_: DataFrame, nodes: DataFrame, block: int, margin: float) -> DataFrame:
-    """Pairs of different components within a bucket whose signatures are near enough.
+def _blocks(open_: DataFrame, nodes: DataFrame, sets: DataFrame, block: int, margin: float,
+            percent: int) -> DataFrame:
+    """Pairs of different components within a bucket that are similar.
 
     Members with the bucket's most common label are compared with the others, and the others
     with each other, a block against a block.
@@ -230,9 +243,10 @@ def _blocks(open_: DataFrame, nodes: DataFrame, block: int, margin: float) -> Da
                       greatest(own, j) as j, if(own = j, 2, if(own < j, 0, 1)) as side))))""")
     placed = members.select("band", "node", "label", F.explode(meets).alias("at")).select(
         "band", "node", "label", "at.*")
-    placed = placed.join(nodes.select("node", "low", "bands"), "node")
+    placed = placed.join(nodes.select("node", "low", "bands"), "node") \
+        .join(sets.select("node", "short"), "node")
     return placed.groupBy("band", "kind", "i", "j").applyInPandas(
-        _comparing(margin), "a long, b long").distinct()
+        _comparing(margin, percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
@@ -260,7 +274,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                       (F.col("doc_id") == F.col("node")) & (F.col("text_key") == F.col("node_key")))
     sets = written_table(map_batches(texts.select("node", "text_key", "text"),
                                      _collecting_sets(shingle),
-                                     "node long, text_key binary, items binary")
+                                     "node long, text_key binary, items binary, short binary")
                          .dropDuplicates(["node", "text_key"]), "sets")
 
     def side(table: DataFrame, column: str, name: str) -> DataFrame:
@@ -279,27 +293,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         return written_table(map_batches(sized.select("a", "b", "items_a", "items_b"),
                                          _confirming(percent), "a long, b long"), "confirmed")
 
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        return labels if links.isEmpty() else written_table(join_components(labels, links), "labels")
+
     first = written_table(near(buckets.filter("node <> hub").select(
         F.col("hub").alias("a"), F.col("node").alias("b")).distinct()), "near")
-    links = confirm(first)
-    labels = written_table(components(links), "labels")
+    labels = written_table(components(confirm(first)), "labels")
     large = buckets.filter("n > 2").select("node", "band", "hub")
-    # Another hub, for the members that differ from it.
+    # Another hub, a different one in each bucket, for the members that differ from it.
     open_ = _open(large.select("node", "band"), labels)
     hubs = open_.groupBy("band").agg(
-        F.max_by(F.struct("node", "label"), F.xxhash64("node")).alias("hub"))
+        F.max_by(F.struct("node", "label"), F.xxhash64("node", "band")).alias("hub"))
     second = (open_.join(hubs, "band").filter("label <> hub.label")
               .select(F.least("node", "hub.node").alias("a"),
                       F.greatest("node", "hub.node").alias("b")).distinct()
               .join(first, ["a", "b"], "left_anti"))
     second = written_table(near(second), "near")
-    links = links.union(confirm(second))
-    labels = written_table(components(links), "labels")
+    labels = joined(labels, confirm(second))
     # The rest, block against block.
-    rest = _blocks(_open(large.select("node", "band"), labels), nodes, block, margin)
+    rest = _blocks(_open(large.select("node", "band"), labels), nodes, sets, block, margin, percent)
     rest = rest.join(first.union(second), ["a", "b"], "left_anti")
-    links = links.union(confirm(rest))
-    labels = components(links)
+    labels = joined(labels, confirm(rest))
 
     named = nodes.select("text_key", "node").join(labels.withColumnRenamed("id", "node"), "node",
                                                   "left")

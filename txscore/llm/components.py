@@ -15,32 +15,48 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in `links` (a, b): the smallest id it is connected to.
 
     Large-star and small-star steps: each id's larger, then its smaller neighbours are linked to
-    the smallest one, until the links are stars. A hub's links are spread over the tasks of
-    their other end first, and every aggregate is partial. Each round is written to the shared
+    the smallest one, until the links are stars. Aggregates are partial, and adaptive execution
+    splits a hub's links in the joins. Each round is one job and is written to the shared
     folder, so a lost executor costs one round at most.
     """
-    edges = _directed(links.select("a", "b"))
-    edges = written_table(edges.distinct(), "links")
+    edges = written_table(_directed(links.select("a", "b")).distinct(), "links")
+    mark = _mark(edges)
     for _ in range(MOST_ROUNDS):
+        if not mark[0]:
+            break
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = _directed(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))
-                          .union(edges.select(F.col("a").alias("x"), F.col("b").alias("y")))
-                          .filter("y > x").join(least, F.col("x") == F.col("a"))
-                          .select(F.col("y").alias("a"), F.col("m").alias("b"))).distinct()
-        large = written_table(large, "links")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .union(least.select("a", F.col("m").alias("b"))))
-        small = written_table(_directed(small).distinct(), "links")
-        if _same(small, edges):
+        least = both.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m"))
+        large = (both.filter("b > a").join(least, F.col("a") == F.col("x"))
+                 .select(F.col("b").alias("a"), F.least("m", "x").alias("b")))
+        large = _directed(large).distinct()
+        least = large.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m"))
+        small = large.join(least, F.col("a") == F.col("x")).select(
+            F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+                              F.struct(F.col("x").alias("a"), F.col("m").alias("b")))).alias("e"))
+        edges = written_table(_directed(small.select("e.*")).distinct(), "links")
+        before, mark = mark, _mark(edges)
+        if mark == before:
             break
-        edges = small
     else:
         raise RuntimeError("components did not settle")
-    roots = edges.select(F.col("b").alias("id")).distinct()
-    return (edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-            .union(roots.select("id", F.col("id").alias("component"))))
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
+        edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def join_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels with more links: what they join is found among components, not among ids."""
+    def named(column: str) -> DataFrame:
+        return labels.select(F.col("id").alias(column), F.col("component").alias(f"of_{column}"))
+
+    between = links.join(named("a"), "a", "left").join(named("b"), "b", "left").select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    more = components(between)
+    more = more.select(F.col("id").alias("component"), F.col("component").alias("root"))
+    known = labels.join(more, "component", "left").select(
+        "id", F.coalesce("root", "component").alias("component"))
+    new = more.join(labels.select(F.col("id").alias("component")), "component", "left_anti").select(
+        F.col("component").alias("id"), F.col("root").alias("component"))
+    return known.union(new)
 
 
 def _directed(edges: DataFrame) -> DataFrame:
@@ -49,8 +65,7 @@ def _directed(edges: DataFrame) -> DataFrame:
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
 
 
-def _same(one: DataFrame, other: DataFrame) -> bool:
-    def mark(edges: DataFrame):
-        return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-
-    return mark(one) == mark(other)
+def _mark(edges: DataFrame) -> tuple[int, int | None]:
+    """How many links there are, and a sum over them that tells one set from another."""
+    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+    return row[0], row[1]
