@@ -22,6 +22,10 @@ __all__ = ["SLICE_BYTES", "clean_table", "col", "map_batches", "shared_dir", "sh
 #: Text bytes that are expanded to arrays at once; one text longer than this is one slice.
 SLICE_BYTES = 1 << 20
 
+#: Bounds of an Arrow batch on its way to a Python task, in rows and bytes: each task has two or
+#: three of them outside of the heap.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
 _shipped: set[str] = set()
 
 
@@ -57,8 +61,10 @@ def clean_table(df: DataFrame, **columns: str) -> DataFrame:
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
-    """`mapInArrow` with the package shipped first."""
-    ship(df.sparkSession)
+    """`mapInArrow` with the package shipped first and batches bounded."""
+    spark = ship(df.sparkSession)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(work, schema)
 
 
