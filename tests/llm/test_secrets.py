@@ -1,0 +1,73 @@
+"""Secret scans: base spans by plain patterns, and what learned formats add."""
+
+import hashlib
+import random
+import re
+
+from txscore.llm.automata import Automaton
+from txscore.llm.queries import QUERIES
+from txscore.llm.secrets import Formats, all_spans, base_spans, find_secrets, learn_formats, mask_secrets
+
+ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])"""
+                    r"""|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text or "") if len(m[2]) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 24]
+    return [(("assign", "access", "hex")[k], a, b) for a, k, b in sorted(spans)]
+
+
+def test_query_matches_plain_patterns(spark, sf_dir, documents):
+    rows = {r.doc_id: r for r in QUERIES["op2_grammar_inference"](spark, sf_dir).collect()}
+    assert len(rows) == len(documents)
+    for i, text in documents:
+        expected = brute(text)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in expected)
+        assert rows[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert rows[i].n_hex == sum(k == "hex" for k, _, _ in expected)
+        assert set(filter(None, joined.split(","))) <= set(rows[i].spans.split(","))
+
+
+def test_base_spans_of_odd_texts():
+    texts = ["PassWord : 'abc123' token=short secret=\"long/er=x\"", "api-key=abcdefg apikey=abcdefg API_KEY:  x.y-z_1",
+             "ſecret=abcdefgh toKen=abcdefgh", "AKIA" * 9, "f" * 23 + "g" + "f" * 24, "é" * 5 + "password=" + "=" * 9]
+    for text in texts:
+        assert [s[:3] for s in base_spans(text)] == brute(text)
+
+
+def test_learned_formats_find_what_patterns_miss():
+    rng = random.Random(1)
+    hexes = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(300)]
+    words = [f"{rng.choice(['Alpha', 'Beta', 'Gamma'])}Release-{rng.choice(['final', 'draft'])}-version-{k}" for k in range(300)]
+    formats = Formats((("hex", Automaton.learn(hexes), min(map(Automaton.learn(hexes).score, hexes))),),
+                      Automaton.learn(words))
+    upper_token = "".join(rng.choices("0123456789abcdef", k=20))  # too short for the pattern
+    spans, base = all_spans(f"see {upper_token} and AlphaRelease-final-version-7", formats)
+    assert base == 0 and [(s.kind, s.start, s.end) for s in spans] == [("like_hex", 4, 24)]
+
+
+def test_merging_states_generalises_loops():
+    automaton = Automaton.learn(["a1" * k for k in range(1, 30)] * 20)
+    assert len(automaton.visits) < 30
+    assert automaton.score("a1" * 40) > automaton.score("aa11" * 20)
+
+
+def test_masking_keeps_rows_and_columns(edge_docs, no_docs):
+    formats = learn_formats(edge_docs)
+    masked = {r.doc_id: r for r in mask_secrets(edge_docs, formats).collect()}
+    assert mask_secrets(edge_docs, formats).columns == edge_docs.columns
+    assert mask_secrets(edge_docs, formats).count() == edge_docs.count()
+    assert masked[13].text == "[SECRET] [SECRET] [SECRET]" and masked[1].text is None and masked[2].text == ""
+    assert masked[6].text == next(r.text for r in edge_docs.collect() if r.doc_id == 6)
+    assert mask_secrets(no_docs, learn_formats(no_docs)).collect() == []
+
+
+def test_edges(edge_docs, no_docs):
+    rows = find_secrets(edge_docs, learn_formats(edge_docs)).collect()
+    assert len(rows) == edge_docs.count()
+    found = {r.doc_id: r for r in rows}
+    assert [s.kind for s in found[13].spans][:3] == ["assign", "access", "hex"] and found[13].n_base == 3
+    assert found[1].spans == found[2].spans == [] and None in found
+    assert find_secrets(no_docs, learn_formats(no_docs)).collect() == []

@@ -193,7 +193,8 @@ def _counting(forest: Forest, prefix: int):
         low = (own[:, None] >> shift) << shift
         counts = np.searchsorted(codes, low + (np.int64(1) << shift)) - np.searchsorted(codes, low)
         counts[:, :prefix] = 0  # a group holds no shorter matches
-        return pd.DataFrame({"query": queries["node"], "counts": list(counts.astype(np.int32))})
+        return pd.DataFrame({"query": queries["node"],
+                             "counts": pd.Series(list(counts.astype(np.int32)), queries.index, object)})
 
     return work
 
@@ -236,7 +237,7 @@ def _fresh(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(name).alias(name) for name in names))
 
 
-def _search(nodes: DataFrame, queries: DataFrame, forest: Forest, candidates: int, prefix: int,
+def _search(nodes: DataFrame, queries: DataFrame, forest: Forest, candidates: float, prefix: int,
             nearest: int) -> DataFrame:
     """(query, node, score): the nearest candidates of each tree and part."""
     keys = ["tree", "dim", "group", "part"]
@@ -254,7 +255,7 @@ def _search(nodes: DataFrame, queries: DataFrame, forest: Forest, candidates: in
     counts = counts.groupBy("query").agg(*(F.sum(F.get("counts", F.lit(k))).alias(f"at_{k}")
                                            for k in range(prefix, forest.bits + 1)))
     levels = counts.select("query", F.coalesce(*(
-        F.when(F.col(f"at_{k}") >= candidates, F.lit(k))
+        F.when(F.col(f"at_{k}") >= F.lit(float(candidates)), F.lit(k))
         for k in range(forest.bits, prefix - 1, -1)), F.lit(prefix)).alias("level"))
     levels = written_table(levels, "levels")
     own = own.join(levels.withColumnRenamed("query", "node"), "node")
@@ -297,7 +298,7 @@ def nearest_neighbours(vectors: DataFrame, id_column: str = "vec_id", column: st
     prefix = max(0, min(prefix, math.floor(math.log2(max(1, nodes.count()) / forest.group))))
     members = copies.join(names, ["key_a", "key_b"]).select("node", F.col("id").alias("vec_id"))
 
-    def answers(queries: DataFrame, prefix: int) -> DataFrame:
+    def answers(queries: DataFrame, candidates: float, prefix: int) -> DataFrame:
         near = _search(nodes.select("node", "dim", "codes", "vector"),
                        queries.select("node", "dim", "codes", "vector"), forest, candidates, prefix,
                        nearest)
@@ -311,12 +312,10 @@ def nearest_neighbours(vectors: DataFrame, id_column: str = "vec_id", column: st
         return written_table(found.withColumn("rank", F.row_number().over(order))
                              .filter(F.col("rank") <= nearest), "answers")
 
-    result = answers(queries, prefix)
-    if prefix:
-        full = result.groupBy("query_id").agg(F.max("rank").alias("n")).filter(F.col("n") == nearest)
-        short = asking.join(full, "query_id", "left_anti").select("node").distinct()
-        if not short.isEmpty():
-            again = answers(queries.join(short, "node", "left_semi"), 0)
-            result = result.join(again.select("query_id").distinct(), "query_id", "left_anti") \
-                .unionByName(again)
+    result = answers(queries, candidates, prefix)
+    full = result.filter(F.col("rank") == nearest).select("query_id")
+    short = asking.join(full, "query_id", "left_anti").select("node").distinct()
+    if not short.isEmpty():  # through whole trees, to all vectors
+        again = answers(queries.join(short, "node", "left_semi"), math.inf, 0)
+        result = result.join(again.select("query_id").distinct(), "query_id", "left_anti").unionByName(again)
     return result.select("query_id", "rank", "vec_id", "score")
