@@ -29,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txscore.llm.tasks import clean_table, map_batches, shared_dir
+from txscore.llm.tasks import SLICE_BYTES, clean_table, map_batches, shared_dir, slices
 
 END_ID = 2
 #: Tokens after which a shard is closed, rounds of replacements, and the least count of a pair.
-SHARD_TOKENS, ROUNDS, LEAST_COUNT = 1 << 20, 4, 8
+SHARD_TOKENS, ROUNDS, LEAST_COUNT = 1 << 20, 3, 8
 #: Rules a shard may have: with a vocabulary of 50,257 ids, symbols then fit 16 bits.
 MOST_RULES = 15_000
 #: Chunks of text that a task remembers the ids of.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Shard offsets up to this number go to every task; more are joined by a shuffle.
 BROADCAST_SHARDS = 1_000_000
 
@@ -49,37 +49,40 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = ROUNDS,
          least: int = LEAST_COUNT, most_rules: int = MOST_RULES):
-    """Re-Pair of symbols; `last` marks where documents end.
+    """Re-Pair of symbols; `last` marks where documents end, and is used up.
 
     Returns the symbols left, their end marks, and the rules as rows of (left, right)."""
+    kind, half = (np.uint32, 16) if first_rule + most_rules < 1 << 16 else (np.uint64, 32)
+    symbols = symbols.astype(kind)
+    none = kind(np.iinfo(kind).max)  # a pair that is none: no symbol is that large
     rules: list[np.ndarray] = []
-    symbols = symbols.astype(np.int64)
     count = 0
     for _ in range(rounds):
         if len(symbols) < 2 or count >= most_rules:
             break
-        pairs = (symbols[:-1] << 32) | symbols[1:]
-        pairs[last[:-1]] = -1
+        pairs = (symbols[:-1] << kind(half)) | symbols[1:]
+        pairs[last[:-1]] = none
         ordered = np.sort(pairs)
-        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        counts = np.diff(np.r_[first, len(ordered)])
-        frequent = (counts >= least) & (ordered[first] >= 0)
+        first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+        first = np.concatenate([[0], first])
+        counts = np.diff(first, append=len(ordered))
+        frequent = np.flatnonzero(counts >= least)
         codes, counts = ordered[first[frequent]], counts[frequent]
-        chosen = _apart(codes[np.argsort(-counts, kind="stable")], most_rules - count)
+        codes, counts = codes[codes != none], counts[codes != none]
+        chosen = _apart(codes[np.argsort(-counts, kind="stable")], most_rules - count, half)
         if not len(chosen):
             break
-        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
+        left, right = chosen >> kind(half), chosen & kind((1 << half) - 1)
+        rules.append(np.stack([left, right], axis=1).astype(np.int64))
         order = np.argsort(chosen)
         ranked = chosen[order]
         is_left, is_right = (np.zeros(first_rule + most_rules + 1, bool) for _ in range(2))
-        is_left[chosen >> 32] = is_right[chosen & 0xFFFFFFFF] = True
+        is_left[left] = is_right[right] = True
         places = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
         at = np.minimum(np.searchsorted(ranked, pairs[places]), len(ranked) - 1)
         found = ranked[at] == pairs[places]
         places = places[found]
-        symbols = symbols.copy()
-        symbols[places] = first_rule + count + order[at[found]]
-        last = last.copy()
+        symbols[places] = (first_rule + count + order[at[found]]).astype(kind)
         last[places] |= last[places + 1]
         keep = np.ones(len(symbols), bool)
         keep[places + 1] = False
@@ -88,19 +91,19 @@ def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = R
     return symbols, last, (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64))
 
 
-def _apart(codes: np.ndarray, most: int) -> np.ndarray:
+def _apart(codes: np.ndarray, most: int, half: int) -> np.ndarray:
     """The pairs, most frequent first, none of which can share a symbol's place with another:
     no symbol is the left one of a pair and the right one of a pair."""
     lefts, rights, chosen = set(), set(), []
     for code in codes.tolist():
-        left, right = code >> 32, code & 0xFFFFFFFF
+        left, right = code >> half, code & ((1 << half) - 1)
         if left != right and left not in rights and right not in lefts:
             lefts.add(left)
             rights.add(right)
             chosen.append(code)
             if len(chosen) == most:
                 break
-    return np.array(chosen, np.int64)
+    return np.array(chosen, codes.dtype)
 
 
 def rule_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
@@ -132,14 +135,20 @@ class Shard:
 
     def ids(self) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the shard, and where each document ends in them."""
-        expanded: list[np.ndarray] = []
-        for left, right in self.rules.tolist():
-            expanded.append(np.concatenate([
-                expanded[s - self.first_rule] if s >= self.first_rule else np.array([s], np.uint32)
-                for s in (left, right)]))
-        pool = np.concatenate([np.arange(self.first_rule, dtype=np.uint32), *expanded])
-        starts = np.r_[np.arange(self.first_rule),
-                       self.first_rule + np.cumsum(self.lengths) - self.lengths]
+        pool = np.arange(self.first_rule, dtype=np.uint32)
+        starts, sizes = np.arange(self.first_rule), np.ones(self.first_rule, np.int64)
+        done = 0
+        while done < len(self.rules):  # all rules at once whose symbols are known
+            ahead = np.flatnonzero(self.rules[done:].max(axis=1) >= self.first_rule + done)
+            rules = self.rules[done:done + int(ahead[0])] if len(ahead) else self.rules[done:]
+            parts = rules.reshape(-1)
+            size = sizes[parts]
+            after = np.cumsum(size)
+            ids = pool[np.repeat(starts[parts] - after + size, size) + np.arange(int(after[-1]))]
+            size = size.reshape(-1, 2).sum(axis=1)
+            starts = np.concatenate([starts, len(pool) + np.cumsum(size) - size])
+            sizes, pool = np.concatenate([sizes, size]), np.concatenate([pool, ids])
+            done += len(rules)
         start = starts[self.symbols]
         ids = pool[np.repeat(start - self.after + self.size, self.size)
                    + np.arange(int(self.after[-1]) if len(self.after) else 0)]
@@ -167,6 +176,24 @@ class Shard:
         return found
 
 
+class _Numbers(dict):
+    """Chunks by number; a new one gets the next number and waits for its ids."""
+
+    def __init__(self, whole_words: bool):
+        super().__init__()
+        self.whole_words, self.waiting, self.next = whole_words, [], 0
+
+    def __missing__(self, chunk: str) -> int:
+        if self.whole_words and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+            number = -1  # not to be cut here
+        else:
+            number = self.next
+            self.next += 1
+            self.waiting.append(chunk)
+        self[chunk] = number
+        return number
+
+
 class TextEncoder:
     """Encodes texts with a tokenizers file, remembering chunks: their ids lie in one pool.
 
@@ -181,23 +208,40 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
+        blank = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.starts_word = np.zeros(self.vocabulary, bool)
+        self.starts_word[[i for token, i in self.tokenizer.get_vocab().items()
+                          if token.startswith(blank)]] = True
         self._forget()
 
     def _forget(self) -> None:
-        # Numbers of words after a blank (-1: not to be cut there), of chunks after a blank
-        # from the careful cut, and of first chunks.
-        self.words: dict[str, int] = {}
-        self.chunks: dict[str, int] = {}
-        self.heads: dict[str, int] = {}
+        #: Words after a blank, chunks after a blank from the careful cut, and first chunks.
+        self.words, self.chunks, self.heads = _Numbers(True), _Numbers(False), _Numbers(False)
         self.pool, self.sizes = np.array([END_ID], np.int32), np.ones(1, np.int64)
 
-    def _learn(self, known: dict[str, int], missing: list[str], prefix: str) -> None:
-        if missing:
+    def _numbers(self, known: _Numbers, parts: list[list[str]], prefix: str) -> list[list[int]]:
+        """The number of each part, with the ids of new ones added to the pool."""
+        known.next = len(self.sizes)
+        numbers = [list(map(known.__getitem__, own)) for own in parts]
+        new, known.waiting = known.waiting, []
+        pools, sizes = [self.pool], [self.sizes]
+        if known.whole_words:
+            # Many words as one text: only the first id of a word starts with a blank.
+            for k in range(0, len(new), 4096):
+                words = new[k:k + 4096]
+                ids = np.array(self.tokenizer.encode_batch_fast(
+                    [" " + " ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+                first = np.flatnonzero(self.starts_word[ids])
+                assert len(first) == len(words)
+                pools.append(ids)
+                sizes.append(np.diff(np.r_[first, len(ids)]))
+        elif new:
             found = [x.ids for x in self.tokenizer.encode_batch_fast(
-                [prefix + x for x in missing] if prefix else missing, add_special_tokens=False)]
-            known.update(zip(missing, range(len(self.sizes), len(self.sizes) + len(missing))))
-            self.pool = np.concatenate([self.pool, np.array(list(chain.from_iterable(found)), np.int32)])
-            self.sizes = np.concatenate([self.sizes, np.array([len(x) for x in found], np.int64)])
+                [prefix + x for x in new], add_special_tokens=False)]
+            pools.append(np.array(list(chain.from_iterable(found)), np.int32))
+            sizes.append(np.array([len(x) for x in found], np.int64))
+        self.pool, self.sizes = np.concatenate(pools), np.concatenate(sizes)
+        return numbers
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each text's end id included, and how many each has."""
@@ -205,23 +249,18 @@ class TextEncoder:
             self._forget()
         cut = [text.split(" ") for text in texts]
         heads = [own.pop(0) for own in cut]
-        missing = set().union(*cut).difference(self.words)
-        unsafe = [w for w in missing if not w or w[0].isspace() or w[-1].isspace()]
-        self.words.update(dict.fromkeys(unsafe, -1))
-        self._learn(self.words, list(missing.difference(unsafe)), " ")
-        numbers = [list(map(self.words.__getitem__, own)) for own in cut]
+        numbers = self._numbers(self.words, cut, " ")
         careful = [k for k, own in enumerate(numbers) if own and (
             -1 in own or not heads[k] or heads[k][-1].isspace())]
         for k in careful:
             heads[k], *cut[k] = _CUT.split(texts[k])
-        self._learn(self.chunks, list({x for k in careful for x in cut[k]}.difference(self.chunks)), " ")
-        for k in careful:
-            numbers[k] = list(map(self.chunks.__getitem__, cut[k]))
-        self._learn(self.heads, list(set(heads).difference(self.heads)), "")
+        for k, own in zip(careful, self._numbers(self.chunks, [cut[k] for k in careful], " ")):
+            numbers[k] = own
+        [first] = self._numbers(self.heads, [heads], "")
         flat: list[int] = []
         last = []
-        for head, own in zip(heads, numbers):
-            flat.append(self.heads[head])
+        for head, own in zip(first, numbers):
+            flat.append(head)
             flat += own
             flat.append(0)
             last.append(len(flat) - 1)
@@ -274,8 +313,7 @@ def _packing(path: str, shard_tokens: int, rounds: int):
 
         tokens = 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                rows = batch.slice(begin, 500)
+            for rows, _, _ in slices(batch, limit=min(SLICE_BYTES, 4 * shard_tokens)):
                 ids, counts = encoder.encode([x or "" for x in rows.column("text").to_pylist()])
                 waiting.append((rows.column("doc_id").to_pylist(), ids, counts))
                 tokens += len(ids)
