@@ -171,3 +171,10 @@ def test_export_and_reload(parts, forest, tmp_path):
     loaded = load_model(path)
     assert loaded.transform(parts[1]).select("prediction").exceptAll(
         forest.model.transform(parts[1]).select("prediction")).isEmpty()
+
+
+def test_undersampling_treats_a_null_key_as_the_split_does(spark):
+    from txscore.operators.sampling import hash_undersample
+
+    df = spark.createDataFrame([(None, 0)] * 5 + [("T1", 1)], "trans_num string, is_fraud int")
+    assert hash_undersample(df, 1.0).count() == 6 and hash_undersample(df, 0.0).count() == 1

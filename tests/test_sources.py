@@ -69,6 +69,18 @@ def test_csv_with_an_unnamed_ordinal(spark, make, tmp_path):
     assert (row["trans_num"], row["amt"], row["is_fraud"]) == ("T1", 12.5, 0)
 
 
+def test_csv_folder_with_one_different_file(spark, make, tmp_path):
+    """Each file's header counts: a shorter file must not be read with its values shifted."""
+    path = tmp_path / "mixed"
+    path.mkdir()
+    numbered = make({}, {"trans_num": "T2"}).toPandas()
+    numbered.to_csv(path / "a.csv")
+    assert keys(readers.read_transactions_csv(spark, str(path))) == ["T1", "T2"]
+    numbered.to_csv(path / "b.csv", index=False)
+    with pytest.raises(Exception, match="header|HEADER|does not match"):
+        readers.read_transactions_csv(spark, str(path)).collect()
+
+
 def test_csv_inferred(spark, make, tmp_path):
     make({}).write.csv(str(tmp_path / "x"), header=True)
     types = dict(readers.read_csv_inferred(spark, str(tmp_path / "x")).dtypes)
@@ -81,12 +93,20 @@ def test_split_tag(make):
 
 def test_replayed_batch_replaces_its_rows(spark, make_scored, tmp_path):
     path = str(tmp_path / "scored")
-    write = writers.parquet_writer(path)
+    write = writers.parquet_writer(path, "run-a")
     write(make_scored({}, {"trans_num": "T2"}), 0)
     write(make_scored({"trans_num": "T3", "trans_date_trans_time": "2024-02-01 00:00:00"}), 1)
     write(make_scored({}, {"trans_num": "T2"}), 0)
     stored = readers.read_scored(spark, path)
     assert keys(stored) == ["T1", "T2", "T3"]
+    # Another checkpoint counts its batches from 0 too.
+    writers.parquet_writer(path, "run-b")(make_scored({"trans_num": "T4"}), 0)
+    stored = readers.read_scored(spark, path)
+    assert keys(stored) == ["T1", "T2", "T3", "T4"]
+    with pytest.raises(ValueError, match="name the run"):
+        writers.parquet_writer(path)(make_scored({}), 0)
+    writers.compact(spark, path, path + "-compact")
+    assert keys(readers.read_scored(spark, path + "-compact")) == ["T1", "T2", "T3", "T4"]
     assert set(SCORED.names) <= set(stored.columns)
     assert [str(r["trans_day"]) for r in stored.select("trans_day").distinct().orderBy(
         "trans_day").collect()] == ["2024-01-07", "2024-02-01"]
@@ -156,11 +176,14 @@ def test_jdbc_append_options():
 
 def test_half_written_batch_is_completed(make_scored):
     batch = make_scored({}, {"trans_num": "T2"})
-    stored = make_scored({}, {"trans_num": "T9"}).withColumn("batch_id", F.lit(3).cast("bigint"))
-    rest = writers.not_yet_written(batch, stored, 3)
+    stored = make_scored({}, {"trans_num": "T9"}).withColumn(
+        "batch_id", F.lit(3).cast("bigint")).withColumn("run_id", F.lit("run-a"))
+    stored = stored.withColumn("trans_num", F.lit("T1"))
+    rest = writers.not_yet_written(batch, stored, 3, "run-a")
     assert keys(rest) == ["T2"] and rest.first()["batch_id"] == 3
-    assert keys(writers.not_yet_written(batch, stored, 4)) == ["T1", "T2"]
-    assert rest.columns == [*SCORED.names, "batch_id"]
+    assert keys(writers.not_yet_written(batch, stored, 4, "run-a")) == ["T1", "T2"]
+    assert keys(writers.not_yet_written(batch, stored, 3, "run-b")) == ["T1", "T2"]
+    assert rest.columns == [*SCORED.names, "batch_id", "run_id"]
 
 
 def test_shared_dir_follows_the_setting(spark):
@@ -175,11 +198,10 @@ def test_sizes_follow_the_input(spark):
     names = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum",
              "spark.sql.files.maxPartitionBytes"]
     before = {n: spark.conf.get(n, None) for n in names}
-    split = spark.conf.get(names[1])
     try:
         size_for(spark, 1000)
         assert spark.conf.get(names[0]) == "4"
-        assert spark.conf.get(names[1]) == split
+        assert spark.conf.get(names[1]) == str(256 * 1024 ** 2)
         size_for(spark, 10 * 1024 ** 4)
         assert spark.conf.get(names[0]) == "40960"
         assert spark.conf.get(names[1]) == str(256 * 1024 * 1024)

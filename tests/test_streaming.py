@@ -161,3 +161,14 @@ def test_state_settings(spark, make, topic, drain):
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def test_two_checkpoints_write_side_by_side(spark, make, topic, tmp_path):
+    """Both count their batches from 0; neither may take the other's folder."""
+    topic.send("a", *texts(make({}, {"trans_num": "T2"})))
+    out = str(tmp_path / "out")
+    for name in ("one", "two"):
+        scoring.start_scoring(
+            scoring.clean_incoming(decode_messages(topic.stream())), parquet_writer(out),
+            str(tmp_path / name), trigger=None).awaitTermination()
+    assert keys(spark, out) == ["T1", "T1", "T2", "T2"]

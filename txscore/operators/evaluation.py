@@ -11,7 +11,8 @@ from txscore.constants import BOOSTED_NAME, ENSEMBLE_NAME, FOREST_NAME, KEY, LAB
 from txscore.functions import class_probability, probability_vector, threshold_label
 from txscore.schema import METRICS_RECORD
 
-CURVE_BINS = 1000
+# Areas use every distinct score; a number of bins makes the curve an approximation.
+CURVE_BINS = 0
 
 
 def _count_where(label: str, actual: int, predicted: int, weight: Column) -> Column:
@@ -55,8 +56,9 @@ def score_counts(
 ) -> DataFrame:
     """Rows counted per (label, prediction, score): all that the metrics need.
 
-    Tree models give few distinct scores, so this is far smaller than the predictions,
-    and the model runs once instead of once per metric.
+    The model runs once instead of once per metric. A small forest gives few distinct scores
+    and the counts are far smaller than the predictions; with many trees nearly every row has
+    a score of its own, and the shuffle carries that many narrow rows.
     """
     return predictions.groupBy(
         F.col(label).cast("double").alias(label), F.col("prediction"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from txscore.functions import (
     age_by_year, age_fractional, dow_monday0, dow_sunday1, haversine, hour_of_day, month_of_year,
     parse_ts, ratio_to_average,
 )
+from txscore.session import written_table
 
 # A lookup is broadcast only when counted and measured below these.
 BROADCAST_ROWS = 200_000
@@ -82,21 +82,16 @@ class CategoryReference:
     def small(self) -> bool:
         return self.rows <= BROADCAST_ROWS and self.key_bytes <= BROADCAST_BYTES
 
-    def release(self) -> None:
-        self.sums.unpersist()
-
 
 def fit_reference(df: DataFrame, default: float = DEFAULT_AVERAGE) -> CategoryReference:
     """Averages per category and overall from one pass over `df`.
 
-    Both come out of one grouped sum and count, kept in executor storage. Only the
+    Both come out of one grouped sum and count, written to the shared folder: nothing stays
+    in executor storage, and no later plan picks up what an earlier one left. Only the
     overall average and the size of the table reach the driver.
     """
-    sums = (
-        df.groupBy("category")
-        .agg(F.sum("amt").alias("_sum"), F.count("amt").alias("_count"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    sums = written_table(df.groupBy("category").agg(
+        F.sum("amt").alias("_sum"), F.count("amt").alias("_count")), "averages")
     facts = sums.agg(
         F.try_divide(F.sum("_sum"), F.sum("_count")).alias("average"),
         F.count("*").alias("rows"),

@@ -98,9 +98,10 @@ def one_sided_profile(spark: SparkSession, left: DataFrame, right: DataFrame) ->
         "column", "side", "missing_count", "nunique")
 
 
-def drift(train: DataFrame, test: DataFrame, limit: int = DRIFT_ROWS) -> DataFrame:
-    """Distinct counts of the first common columns by name, side by side."""
-    common = sorted(set(train.columns) & set(test.columns))[:limit]
+def drift(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Distinct counts of all common columns by name, side by side; a page shows the first
+    `DRIFT_ROWS` of them."""
+    common = sorted(set(train.columns) & set(test.columns))
     sides = [
         profile(df.select(*common)).select("column", F.col("nunique").alias(name))
         for df, name in ((train, "train_nunique"), (test, "test_nunique"))

@@ -48,9 +48,8 @@ def hash_undersample(
 ) -> DataFrame:
     """As above, drawing by key. One filter, so one pass instead of two."""
     limit = round(share * BUCKETS)
-    return df.filter(
-        (F.col(label) == 1)
-        | ((F.col(label) == 0) & (hash_bucket(F.col(key), salt) < limit)))
+    bucket = F.coalesce(hash_bucket(F.col(key), salt), F.lit(0))
+    return df.filter((F.col(label) == 1) | ((F.col(label) == 0) & (bucket < limit)))
 
 
 def class_weight_of(df: DataFrame, label: str = LABEL) -> float:

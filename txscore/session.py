@@ -44,10 +44,9 @@ def size_for(spark: SparkSession, input_bytes: int, per_task: int = 256 * 1024 *
     Not for streams: their number of partitions is part of the checkpoint.
     """
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                     min(math.ceil(input_bytes / per_task), 200_000))
+                     math.ceil(input_bytes / per_task))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-    if input_bytes > 10_000 * per_task:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(per_task))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(per_task))
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -50,20 +50,26 @@ def read_transactions_csv(spark: SparkSession, path: str, ordinal: bool = True)
     """Transactions from CSV with a header; the leading row ordinal is dropped.
 
     Spark matches a given schema by position, so a file with one column more or less
-    would shift into nulls. The header is therefore compared first.
+    would shift into nulls. The first header is compared here, and that of every file when
+    it is read: a file that differs ends the query with an error.
     """
-    schema = TRANSACTION_FILE if ordinal else TRANSACTION
-    header = spark.read.csv(path, header=True).columns
-    # The ordinal column often has an empty name, which Spark shows as _c0.
-    if len(header) != len(schema) or header[-len(TRANSACTION):] != TRANSACTION.names:
-        raise ValueError(f"{path}: the header does not match the schema: {header}")
-    return spark.read.csv(path, header=True, schema=schema).drop(ORDINAL)
+    rows = _checked_csv(spark, path, TRANSACTION_FILE if ordinal else TRANSACTION)
+    return rows.drop(ORDINAL)
 
 
 def read_transactions_csv_with_ordinal(spark: SparkSession, path: str) -> DataFrame:
     """As above, keeping the ordinal: it says which copy of a row came first."""
-    read_transactions_csv(spark, path)
-    return spark.read.csv(path, header=True, schema=TRANSACTION_FILE)
+    return _checked_csv(spark, path, TRANSACTION_FILE)
+
+
+def _checked_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    header = spark.read.csv(path, header=True).columns
+    if len(header) != len(schema) or header[-len(TRANSACTION):] != TRANSACTION.names:
+        raise ValueError(f"{path}: the header does not match the schema: {header}")
+    # The ordinal column often has an empty name, which Spark shows as _c0.
+    names = ["" if name == "_c0" else name for name in header]
+    as_filed = StructType([StructField(name, field.dataType) for name, field in zip(names, schema)])
+    return spark.read.csv(path, header=True, schema=as_filed, enforceSchema=False).toDF(*schema.names)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:

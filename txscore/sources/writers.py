@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txscore.operators.serving import report, with_event_time
@@ -32,28 +32,38 @@ def write_kafka(df: DataFrame, servers: str, topic: str, key: str | None = "tran
     )
 
 
-def not_yet_written(batch: DataFrame, stored: DataFrame, batch_id: int) -> DataFrame:
-    """The rows of a batch that the stored table does not have under this batch number."""
-    present = stored.filter(F.col("batch_id") == batch_id).select("trans_num")
+def run_of(batch: DataFrame) -> str:
+    """The id of the stream a micro-batch belongs to. It is kept in the checkpoint, so it is
+    the same after a restart and differs for another checkpoint, whose batches count from 0 again."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise ValueError("not in a stream: name the run")
+    return run
+
+
+def not_yet_written(batch: DataFrame, stored: DataFrame, batch_id: int, run: str) -> DataFrame:
+    """The rows of a batch that the stored table does not have under this run and batch number."""
+    present = stored.filter(
+        (F.col("batch_id") == batch_id) & (F.col("run_id") == run)).select("trans_num")
     return batch.join(present, "trans_num", "left_anti").select(
-        *batch.columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        *batch.columns, F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(run).alias("run_id"))
 
 
 def jdbc_append(
     batch: DataFrame, url: str, table: str, props: dict[str, str], batch_id: int | None = None,
-    connections: int = 16,
+    connections: int = 16, run: str | None = None,
 ) -> None:
     """Append rows to a database table.
 
     Plain append writes a batch twice when it is replayed. With `batch_id` the table has
-    a column of that name, and rows of the batch that are there already are left out, so
-    a replay, also after a half-written batch, completes it. Connections are limited:
-    every partition opens one.
+    columns `batch_id` and `run_id`, and rows of the batch that are there already are left
+    out, so a replay, also after a half-written batch, completes it. `connections` bounds
+    the throughput: every partition opens one, and the database bears only so many.
     """
     if batch_id is not None:
         stored = batch.sparkSession.read.format("jdbc").options(
             url=url, dbtable=table, **props).load()
-        batch = not_yet_written(batch, stored, batch_id)
+        batch = not_yet_written(batch, stored, batch_id, run or run_of(batch))
     writer = batch.write.format("jdbc").mode("append")
     writer.options(url=url, dbtable=table, numPartitions=str(connections), **props).save()
 
@@ -75,15 +85,26 @@ def write_scored(df: DataFrame, path: str, mode: str = "append") -> None:
         "trans_day").parquet(path)
 
 
-def parquet_writer(path: str) -> BatchWriter:
-    """Each micro-batch owns one folder and replaces it when replayed."""
+def parquet_writer(path: str, run: str | None = None) -> BatchWriter:
+    """Each micro-batch of a checkpoint owns one folder and replaces it when replayed.
+
+    Another checkpoint writes beside it, as its run differs. `compact` brings the folders of
+    many small batches together.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_scored(batch, f"{path}/batch_id={batch_id}", mode="overwrite")
+        write_scored(batch, f"{path}/run_id={run or run_of(batch)}/batch_id={batch_id}",
+                     mode="overwrite")
 
     return write
 
 
+def compact(spark: SparkSession, path: str, to: str) -> None:
+    """The scored rows of all batches as one folder per day, in a new place."""
+    rows = spark.read.parquet(path)
+    write_scored(rows.drop("trans_day"), to, mode="error")
+
+
 def skip_if_empty(writer: BatchWriter) -> BatchWriter:
     """Skip empty batches. The batch is kept, so the test does not run it twice.
 

@@ -69,10 +69,14 @@ def score_stream(
 
 def start_scoring(
     df: DataFrame, writer: BatchWriter, checkpoint: str, trigger: str | None = TRIGGER,
-    name: str | None = None,
+    name: str | None = None, state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start writing a stream batch by batch. Without a trigger interval it takes what is
-    there and ends. The checkpoint keeps offsets and state, so a restart continues."""
+    there and ends. The checkpoint keeps offsets and state, so a restart continues.
+
+    State is in RocksDB, dealt to `state_partitions` for the life of the checkpoint (by
+    default the session's shuffle partitions)."""
+    configure_state(df.sparkSession, state_partitions)
     timing = {"processingTime": trigger} if trigger else {"availableNow": True}
     stream = (
         df.writeStream.outputMode("append")
