@@ -3,10 +3,10 @@
 Every byte covered by a string of `LENGTH` bytes that also starts elsewhere goes. Each window of
 `LENGTH` bytes has an anchor, the smallest hash among its short grams; equal windows have equal
 anchors at equal places, so windows are only compared within a bucket of one anchor hash, and
-windows whose anchor occurs once are unique. Where all occurrences of an anchor lie in equal
-contexts, the bytes that its windows reach, all its windows repeat.
+windows whose anchor occurs once are unique. Where an anchor's context, the bytes that its
+windows reach, occurs twice, all its windows repeat.
 
-The other buckets are sorted a block at a time. A block's text is its contexts, laid so that
+Buckets with several different contexts are sorted a block at a time, one copy of each context. A block's text is its contexts, laid so that
 anchors stand at multiples of the cover's period. First the suffixes at cover-sample positions
 are ranked; then each bucket's window suffixes are sorted by their first `PERIOD` bytes, and
 longer ties by the rank of the next sample position, so no sort looks further than a period.
@@ -33,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txscore.llm.tasks import clean_table, map_batches, ship, slices, written_table
+from txscore.llm.tasks import clean_table, map_batches, slices, written_table
 from txscore.llm.words import U64, mix, prefix_hash
 
 LENGTH, GRAM = 200, 32
 PERIOD = 32
-MOST_CONTEXTS = 4096
+MOST_CONTEXTS = 16_384
 #: Blocks are this many bytes of contexts on average.
 BLOCK_BYTES = 1 << 20
 #: Texts are read in pieces of at most this many window starts; places in one fit 24 bits.
@@ -101,11 +101,13 @@ def _anchoring(length: int, gram: int):
                 found = [anchors(sums, down, a, b, length, gram)
                          for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 sizes = [len(x[0]) for x in found]
-                keys = rows.column("text_key").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
                 own, context, first, last, offset = (np.concatenate(x) for x in zip(*found))
+                each = pa.StructArray.from_arrays(
+                    [pa.array(own.view(np.int64)), pa.array(context.view(np.int64)),
+                     pa.array(packed(first, last, offset))], ["hash", "context", "place"])
                 yield pa.RecordBatch.from_pydict({
-                    "text_key": keys, "hash": own.view(np.int64), "context": context.view(np.int64),
-                    "place": packed(first, last, offset)})
+                    "row": rows.column("row"), "text_key": rows.column("text_key"),
+                    "anchors": pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), each)})
 
     return work
 
@@ -116,17 +118,16 @@ def _cutting(length: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch):
-                out: dict[str, list] = {"text_key": [], "hash": [], "place": [], "hot": [], "bytes": []}
-                for key, wanted, begin in zip(rows.column("text_key").to_pylist(),
-                                              rows.column("wanted").to_pylist(), offsets.tolist()):
+                out: dict[str, list] = {"row": [], "hash": [], "place": [], "hot": [], "bytes": []}
+                for wanted, begin in zip(rows.column("wanted").to_pylist(), offsets.tolist()):
                     for w in wanted:
                         first = begin + (w["place"] >> 16)
-                        out["text_key"].append(key)
+                        out["row"].append(w["row"])
                         out["hash"].append(w["hash"])
                         out["place"].append(w["place"])
                         out["hot"].append(w["hot"])
                         out["bytes"].append(data[first:first + (w["place"] >> 8 & 255) + length].tobytes())
-                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, kind)
                                                   for (k, v), kind in zip(out.items(), kinds)})
 
@@ -200,6 +201,13 @@ def repeated_windows(contexts: list[bytes], buckets: np.ndarray, offsets: np.nda
     begin = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
     window = start[owner] + begin
     apart = begin - offsets[owner]  # place of the window's start beside the anchor
+    # Only windows at a place that several contexts of the bucket reach can be equal.
+    group = buckets[owner] * 512 + apart + 256
+    several = np.flatnonzero(np.bincount(group, minlength=1)[group] > 1)
+    flags = np.zeros(len(window), bool)
+    if not len(several):
+        return np.split(flags, np.cumsum(counts)[:-1])
+    group, window = group[several], window[several]
     # The cover sample of every context.
     ends = start + sizes
     position = np.arange(len(text))
@@ -210,17 +218,14 @@ def repeated_windows(contexts: list[bytes], buckets: np.ndarray, offsets: np.nda
     rank[chosen] = sample_ranks(words, chosen, ends[which[chosen]])
     # From a residue to the next sample position; windows that may be equal have one residue.
     ahead = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
-    keys = [buckets[owner], apart] + [words[window + 8 * k] for k in range(PERIOD // 8)] \
+    keys = [group] + [words[window + 8 * k] for k in range(PERIOD // 8)] \
         + [rank[window + ahead[window % PERIOD]]]
     order = np.lexsort(keys[::-1])
-    near = np.ones(len(order) - 1, bool)
-    for key in keys[:2]:
-        near &= key[order[1:]] == key[order[:-1]]
+    near = group[order[1:]] == group[order[:-1]]
     for k in [8 * k for k in range(length // 8)] + [length - 8]:
         near[near] = words[window[order[1:][near]] + k] == words[window[order[:-1][near]] + k]
-    flags = np.zeros(len(order), bool)
-    flags[order[1:][near]] = True
-    flags[order[:-1][near]] = True
+    flags[several[order[1:][near]]] = True
+    flags[several[order[:-1][near]]] = True
     return np.split(flags, np.cumsum(counts)[:-1])
 
 
@@ -232,10 +237,11 @@ def runs_of(flags: np.ndarray, first: int) -> list[dict]:
 
 def _sorting(length: int):
     def work(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.drop_duplicates(["row", "place"])  # a text may be in several equal rows
         places = block["place"].to_numpy()
         flags = repeated_windows(list(block["bytes"]), pd.factorize(block["hash"])[0], places & 255, length)
-        return pd.DataFrame({"text_key": block["text_key"], "runs": [
-            runs_of(f, first) for f, first in zip(flags, (places >> 16).tolist())]})
+        runs = [runs_of(f, first) for f, first in zip(flags, (places >> 16).tolist())]
+        return pd.DataFrame({"row": block["row"], "runs": pd.Series(runs, block.index, object)})
 
     return work
 
@@ -245,15 +251,15 @@ def _windows(length: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"text_key": [], "start": [], "window": []}
-            for key, place, raw in zip(*(batch.column(x).to_pylist() for x in ("text_key", "place", "bytes"))):
+            out: dict[str, list] = {"row": [], "start": [], "window": []}
+            for row, place, raw in zip(*(batch.column(x).to_pylist() for x in ("row", "place", "bytes"))):
                 count = len(raw) - length + 1
-                out["text_key"] += [key] * count
+                out["row"] += [row] * count
                 out["start"] += range(place >> 16, (place >> 16) + count)
                 out["window"] += [hashlib.blake2b(raw[k:k + length], digest_size=16).digest()
                                   for k in range(count)]
             yield pa.RecordBatch.from_pydict({
-                "text_key": pa.array(out["text_key"], pa.binary()), "start": pa.array(out["start"], pa.int64()),
+                "row": pa.array(out["row"], pa.int64()), "start": pa.array(out["start"], pa.int64()),
                 "window": pa.array(out["window"], pa.binary())})
 
     return work
@@ -295,42 +301,46 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     texts = docs.filter(F.length(F.col("text").cast("binary")) >= length)
     keys = texts.groupBy("text_key").agg(F.count("*").alias("n"), F.min("doc_id").alias("rep"))
     keys = written_table(keys, "text_keys")
-    found = written_table(map_batches(texts.select("text_key", "text"), _anchoring(length, gram),
-                                      "text_key binary, hash long, context long, place long"), "anchors")
-    repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("context").alias("x"),
-                                         F.max("context").alias("y")).filter("n > 1")
-    repeated = written_table(repeated.select(
-        "hash", (F.col("x") == F.col("y")).alias("same"), (F.col("n") > most_contexts).alias("hot")), "repeated")
-    known = written_table(found.join(repeated, "hash").groupBy("text_key", "place")
-                          .agg(F.first("hash").alias("hash"), F.first("same").alias("same"),
-                               F.first("hot").alias("hot")), "known")
+    found = written_table(map_batches(
+        texts.select(F.monotonically_increasing_id().alias("row"), "text_key", "text"),
+        _anchoring(length, gram), "row long, text_key binary, "
+        "anchors array<struct<hash:long,context:long,place:long>>"), "anchors")
+    names, each = found.select("row", "text_key"), found.select("row", F.inline("anchors"))
+    repeated = each.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    known = written_table(each.join(repeated, "hash"), "known")
+    contexts = written_table(known.groupBy("hash", "context").agg(
+        F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("at")), "contexts")
     first = F.shiftright("place", 16)
-    same = known.filter("same").select("text_key", F.struct(
-        first.alias("a"), (first + F.shiftright("place", 8).bitwiseAND(255) + 1).alias("b")).alias("run"))
-
-    wanted = known.filter("not same").groupBy("text_key").agg(
-        F.collect_list(F.struct("hash", "place", "hot")).alias("wanted"))
+    same = known.join(contexts.filter("n > 1").select("hash", "context"), ["hash", "context"], "left_semi") \
+        .select("row", F.struct(first.alias("a"), (
+            first + F.shiftright("place", 8).bitwiseAND(255) + 1).alias("b")).alias("run"))
+
+    buckets = contexts.groupBy("hash").agg(F.count("*").alias("k"), F.count_if(F.col("n") == 1).alias("single")) \
+        .filter("k > 1 and single > 0").select("hash", (F.col("k") > most_contexts).alias("hot"))
+    wanted = contexts.join(buckets, "hash").select("at.*", "hash", "hot").join(names, "row")
+    wanted = wanted.groupBy("text_key").agg(F.collect_list(F.struct("row", "hash", "place", "hot")).alias("wanted"))
     # One row of each text: by key and id, so that copies do not meet in one task.
     wanted = wanted.join(keys, "text_key").select(F.col("text_key").alias("key"), "rep", "wanted")
     one = texts.join(wanted, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    contexts = map_batches(one.select("text_key", "text", "wanted"), _cutting(length),
-                           "text_key binary, hash long, place long, hot boolean, bytes binary")
-    contexts = written_table(contexts, "contexts").dropDuplicates(["text_key", "place"])
-    plain = contexts.filter("not hot")
+    cut = written_table(map_batches(one.select("text", "wanted"), _cutting(length),
+                                    "row long, hash long, place long, hot boolean, bytes binary"), "cut")
+    plain = cut.filter("not hot")
     size = plain.agg(F.sum(F.length("bytes"))).first()[0] or 0
     blocks = max(1, -(-int(size) // BLOCK_BYTES))
-    ship(docs.sparkSession)
     sorted_ = plain.withColumn("block", F.pmod(F.xxhash64("hash"), F.lit(blocks))).groupBy("block") \
-        .applyInPandas(_sorting(length), "text_key binary, runs array<struct<a:long,b:long>>")
-    sorted_ = sorted_.select("text_key", F.explode("runs").alias("run"))
-    windows = map_batches(contexts.filter("hot").select("text_key", "place", "bytes"), _windows(length),
-                          "text_key binary, start long, window binary")
-    windows = written_table(windows, "windows")
-    twice = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    hot = windows.join(twice, "window").select("text_key", F.struct(
-        F.col("start").alias("a"), (F.col("start") + 1).alias("b")).alias("run"))
-    runs = same.union(sorted_).union(hot).groupBy("text_key").agg(F.collect_list("run").alias("runs"))
-    return keys.filter("n > 1").select("text_key"), written_table(runs, "runs")
+        .applyInPandas(_sorting(length), "row long, runs array<struct<a:long,b:long>>")
+    sorted_ = sorted_.select("row", F.explode("runs").alias("run"))
+    runs = same.union(sorted_)
+    large = cut.filter("hot").select("row", "place", "bytes")
+    if not large.isEmpty():
+        windows = map_batches(large, _windows(length), "row long, start long, window binary")
+        windows = written_table(windows.distinct(), "windows")
+        twice = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
+        runs = runs.union(windows.join(twice, "window").select("row", F.struct(
+            F.col("start").alias("a"), (F.col("start") + 1).alias("b")).alias("run")))
+    runs = runs.groupBy("row").agg(F.collect_list("run").alias("runs"))
+    runs = runs.join(names, "row").join(keys.filter("n = 1").select("text_key"), "text_key")
+    return keys.filter("n > 1").select("text_key"), written_table(runs.select("text_key", "runs"), "runs")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
