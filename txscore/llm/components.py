@@ -9,6 +9,8 @@ from txscore.llm.tasks import written_table
 
 #: Rounds after which the loop gives up; every round at least halves the longest chain of labels.
 MOST_ROUNDS = 60
+#: Links in a file of a round.
+ROWS_A_FILE = 500_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,7 +35,9 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, F.col("a") == F.col("x")).select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("x").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = written_table(_directed(small.select("e.*")).distinct(), "links")
+        # Links never become more: as many files as the last count needs.
+        edges = written_table(_directed(small.select("e.*")).distinct()
+                              .coalesce(-(-mark[0] // ROWS_A_FILE)), "links")
         before, mark = mark, _mark(edges)
         if mark == before:
             break

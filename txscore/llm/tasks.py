@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import txscore
-from txscore.session import shared_dir, written_table
+from txscore.session import shared_dir
 
 __all__ = ["SLICE_BYTES", "clean_table", "col", "map_batches", "shared_dir", "ship", "slices",
            "text_bytes", "written_table"]
@@ -26,6 +26,10 @@ SLICE_BYTES = 1 << 20
 #: three of them outside of the heap.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
+#: Bytes of a row group in written tables. Reading a column chunk takes buffers of its size
+#: outside of the heap, one per reading thread, so chunks stay small.
+ROW_GROUP = 16 << 20
+
 _shipped: set[str] = set()
 
 
@@ -59,6 +63,14 @@ def clean_table(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(col(name).alias(own) for own, name in columns.items()))
 
 
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back: the plan starts at the files from then
+    on, and a lost executor costs a read instead of everything before."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    return df.sparkSession.read.option("parquet.hadoop.vectored.io.enabled", "false").parquet(path)
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
     """`mapInArrow` with the package shipped first and batches bounded."""
