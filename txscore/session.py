@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import math
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -49,6 +52,14 @@ def size_for(spark: SparkSession, input_bytes: int, per_task: int = 256 * 1024 *
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(per_task))
 
 
+@functools.cache
+def _local_root() -> str:
+    """A temporary folder for a local session, removed when the process ends."""
+    root = tempfile.mkdtemp(prefix="txscore-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder all executors share (`spark.checkpoint.dir`).
 
@@ -59,7 +70,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="txscore-")
+        root = _local_root()
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
