@@ -210,13 +210,13 @@ def _comparing(margin: float, percent: int):
     return work
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _open(members: DataFrame, labels: DataFrame, at_most: int) -> DataFrame:
     """(band, node, label) of the buckets that still hold several components."""
     labelled = members.join(labels.withColumnRenamed("id", "node"), "node", "left").select(
         "band", "node", F.coalesce("component", "node").alias("label"))
     several = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")) \
         .filter("x <> y").select("band")
-    return written_table(labelled.join(several, "band"), "open")
+    return written_table(labelled.join(several, "band"), "open", at_most)
 
 
 def _blocks(open_: DataFrame, nodes: DataFrame, sets: DataFrame, block: int, margin: float,
@@ -285,33 +285,38 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         return map_batches(lows.select("a", "b", "low_a", "low_b"), _estimating(margin),
                            "a long, b long").distinct()
 
-    def confirm(pairs: DataFrame) -> DataFrame:
+    def confirm(pairs: DataFrame, at_most: int | None = None) -> DataFrame:
         sized = pairs.join(side(sets, "items", "a"), "a").join(side(sets, "items", "b"), "b")
         small = F.least(F.length("items_a"), F.length("items_b"))
         large = F.greatest(F.length("items_a"), F.length("items_b"))
         sized = sized.filter(100 * small >= percent * large)
         return written_table(map_batches(sized.select("a", "b", "items_a", "items_b"),
-                                         _confirming(percent), "a long, b long"), "confirmed")
+                                         _confirming(percent), "a long, b long"), "confirmed",
+                             at_most)
 
     def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-        return labels if links.isEmpty() else written_table(join_components(labels, links), "labels")
+        count = links.count()  # each link brings two new ids at most
+        return labels if not count else written_table(
+            join_components(labels, links), "labels", labels.count() + 2 * count)
 
+    members = buckets.count()
     first = written_table(near(buckets.filter("node <> hub").select(
-        F.col("hub").alias("a"), F.col("node").alias("b")).distinct()), "near")
-    labels = written_table(components(confirm(first)), "labels")
+        F.col("hub").alias("a"), F.col("node").alias("b")).distinct()), "near", members)
+    links = confirm(first, first.count())
+    labels = written_table(components(links, links.count()), "labels", 2 * links.count())
     large = buckets.filter("n > 2").select("node", "band", "hub")
     # Another hub, a different one in each bucket, for the members that differ from it.
-    open_ = _open(large.select("node", "band"), labels)
+    open_ = _open(large.select("node", "band"), labels, members)
     hubs = open_.groupBy("band").agg(
         F.max_by(F.struct("node", "label"), F.xxhash64("node", "band")).alias("hub"))
     second = (open_.join(hubs, "band").filter("label <> hub.label")
               .select(F.least("node", "hub.node").alias("a"),
                       F.greatest("node", "hub.node").alias("b")).distinct()
               .join(first, ["a", "b"], "left_anti"))
-    second = written_table(near(second), "near")
-    labels = joined(labels, confirm(second))
+    second = written_table(near(second), "near", members)
+    labels = joined(labels, confirm(second, second.count()))
     # The rest, block against block.
-    rest = _blocks(_open(large.select("node", "band"), labels), nodes, sets, block, margin, percent)
+    rest = _blocks(_open(large.select("node", "band"), labels, members), nodes, sets, block, margin, percent)
     rest = rest.join(first.union(second), ["a", "b"], "left_anti")
     labels = joined(labels, confirm(rest))
 

@@ -9,19 +9,18 @@ from txscore.llm.tasks import written_table
 
 #: Rounds after which the loop gives up; every round at least halves the longest chain of labels.
 MOST_ROUNDS = 60
-#: Links in a file of a round.
-ROWS_A_FILE = 500_000
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, at_most: int | None = None) -> DataFrame:
     """(id, component) of every id in `links` (a, b): the smallest id it is connected to.
 
     Large-star and small-star steps: each id's larger, then its smaller neighbours are linked to
     the smallest one, until the links are stars. Aggregates are partial, and adaptive execution
     splits a hub's links in the joins. Each round is one job and is written to the shared
-    folder, so a lost executor costs one round at most.
+    folder, so a lost executor costs one round at most. `at_most` says how many links there
+    can be, if that is known.
     """
-    edges = written_table(_directed(links.select("a", "b")).distinct(), "links")
+    edges = written_table(_directed(links.select("a", "b")).distinct(), "links", at_most)
     mark = _mark(edges)
     for _ in range(MOST_ROUNDS):
         if not mark[0]:
@@ -35,9 +34,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, F.col("a") == F.col("x")).select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("x").alias("a"), F.col("m").alias("b")))).alias("e"))
-        # Links never become more: as many files as the last count needs.
-        edges = written_table(_directed(small.select("e.*")).distinct()
-                              .coalesce(-(-mark[0] // ROWS_A_FILE)), "links")
+        # A round makes two links of one at most.
+        edges = written_table(_directed(small.select("e.*")).distinct(), "links", 2 * mark[0])
         before, mark = mark, _mark(edges)
         if mark == before:
             break
@@ -54,7 +52,7 @@ def join_components(labels: DataFrame, links: DataFrame) -> DataFrame:
 
     between = links.join(named("a"), "a", "left").join(named("b"), "b", "left").select(
         F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
-    more = components(between)
+    more = components(between, links.count())
     more = more.select(F.col("id").alias("component"), F.col("component").alias("root"))
     known = labels.join(more, "component", "left").select(
         "id", F.coalesce("root", "component").alias("component"))
