@@ -306,7 +306,9 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         _anchoring(length, gram), "row long, text_key binary, "
         "anchors array<struct<hash:long,context:long,place:long>>"), "anchors")
     names, each = found.select("row", "text_key"), found.select("row", F.inline("anchors"))
-    repeated = each.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    # Written, so that the join below deals out both sides itself and a hot anchor can be split.
+    repeated = written_table(each.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+                             .select("hash"), "repeated")
     known = written_table(each.join(repeated, "hash"), "known")
     contexts = written_table(known.groupBy("hash", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("at")), "contexts")
