@@ -74,3 +74,9 @@ def test_no_python_and_no_cartesian_step(planned, name):
 
 def test_every_plan_has_sql():
     assert set(PLANS) == set(ORACLES)
+
+
+def test_features_start_from_cleaned_files(planned):
+    """The dedup's shuffle of whole rows runs before; only the summary is shuffled here."""
+    text = planned("flagship_category_features")
+    assert text.count("Exchange hashpartitioning") == 1 and "trans_num" not in text.split("Exchange")[1][:60]

@@ -13,11 +13,15 @@ from txscore.operators.cleaning import clean_stream
 from txscore.operators.serving import with_status
 from txscore.plans.oracle import DISTANCE, FEATURES, SCORED, TIME, TX, over, r6
 from txscore.plans.registry import query
+from txscore.session import written_table
 
 
 def model_rows(spark, sf_dir):
-    """Cleaned transactions with all model features; averages from the same table."""
-    clean = clean_stream(fixtures.tx(spark, sf_dir))
+    """Cleaned transactions with all model features; averages from the same table.
+
+    The cleaned rows are written once: averages and features start from the files, so the
+    dedup's shuffle of whole rows runs once."""
+    clean = written_table(clean_stream(fixtures.tx(spark, sf_dir)), "clean")
     reference = features.fit_reference(clean)
     return features.prepare_features(clean, reference)
 

@@ -11,7 +11,7 @@ from txscore.operators.features import fit_reference, prepare_features
 from txscore.plans.model_plans import agreement, split_sets, written_features
 from txscore.plans.oracle import FEATURES, SCORED, TX, over, r6
 from txscore.plans.registry import query
-from txscore.session import shared_dir
+from txscore.session import shared_dir, written_table
 from txscore.sources.readers import decode_messages
 from txscore.sources.writers import encode_messages, parquet_writer
 from txscore.streaming import scoring
@@ -90,7 +90,7 @@ SELECT count(*) AS "rows", 0::BIGINT AS differing, TRUE AS good FROM tx
 WHERE amt >= 0 AND city_pop >= 0""")
 def stream_score(spark, sf_dir):
     """The stream scored by a forest trained on the batch: every row as the batch scores it."""
-    clean = clean_stream(fixtures.tx(spark, sf_dir))
+    clean = written_table(clean_stream(fixtures.tx(spark, sf_dir)), "clean")
     reference = fit_reference(clean)
     rows = written_features(prepare_features(clean, reference))
     train, _ = split_sets(rows)
