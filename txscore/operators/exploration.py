@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from txscore.constants import DESCRIBED, EXPLORATION_BUCKETS, LABEL, TOP_RISK
 from txscore.functions import amount_bucket, percent
-from txscore.operators.percentiles import long_values, percentile, percentiles
+from txscore.operators.percentiles import grouped_percentiles, long_values, percentile, percentiles
 
 
 def category_risk(df: DataFrame, label: str = LABEL, limit: int | None = TOP_RISK) -> DataFrame:
@@ -41,11 +41,9 @@ def bucket_summary(
     names = [name for _, _, name in EXPLORATION_BUCKETS]
     sizes = bucketed.groupBy("amount_bucket").agg(
         F.count("*").alias("_size"), F.avg("_label").alias("fraud_rate"))
-    medians = percentiles(
-        bucketed,
-        {name: F.when(F.col("amount_bucket") == name, F.col("_distance")) for name in names},
-        [0.5],
-    ).select(F.col("name").alias("amount_bucket"), F.col("percentile").alias("median_distance_km"))
+    medians = grouped_percentiles(bucketed.select(
+        F.col("amount_bucket").alias("name"), F.col("_distance").cast("double").alias("value"),
+    ).filter(F.col("name").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")), [0.5]).select(F.col("name").alias("amount_bucket"), F.col("percentile").alias("median_distance_km"))
     buckets = spark.createDataFrame(
         list(enumerate(names)), "bucket_no INT, amount_bucket STRING")
     return (
@@ -97,8 +95,9 @@ def histogram_by_class(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
     if trim is not None:
         rows = rows.filter(F.col("_x") <= percentile(df, column, trim).scalar())
-    low = rows.agg(F.min("_x").alias("low")).scalar()
-    high = rows.agg(F.max("_x").alias("high")).scalar()
+    # One pass for both ends: equal subqueries run once.
+    ends = rows.agg(F.struct(F.min("_x").alias("low"), F.max("_x").alias("high")).alias("ends")).scalar()
+    low, high = ends.getField("low"), ends.getField("high")
     # A column with a single value gets a range of 1 around it.
     spread = high > low
     start = F.when(spread, low).otherwise(low - 0.5)
@@ -127,9 +126,8 @@ def density_by_class(
 ) -> DataFrame:
     """Gaussian kernel density per class on an even grid from 0 to the percentile.
 
-    Bandwidth by Scott's rule per class. Each row is evaluated at every grid point in the
-    task that reads it: the grid is a fixed array and the sums are partial aggregates, so
-    only (class, point) rows are shuffled.
+    Bandwidth by Scott's rule per class. Equal values of a class are counted first; each
+    distinct one is evaluated at every grid point, and the sums are partial aggregates.
     """
     rows = df.select(F.col(column).alias("_x"), F.col(label).alias(label)).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x") & F.col(label).isNotNull())
@@ -141,11 +139,12 @@ def density_by_class(
         inverse.alias("_inverse"),
         (inverse / (size * math.sqrt(2.0 * math.pi))).alias("_scale"))
     # One row per class: the label of a two-class problem.
-    spread = rows.join(F.broadcast(classes), label).withColumn(
+    counted = rows.groupBy(label, "_x").agg(F.count("*").alias("_n"))
+    spread = counted.join(F.broadcast(classes), label).withColumn(
         "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     z = (F.col("point") * step - F.col("_x")) * F.col("_inverse")
     return spread.groupBy(label, "point").agg(
-        F.sum(F.exp(z * z * -0.5) * F.col("_scale")).alias("density")
+        F.sum(F.exp(z * z * -0.5) * F.col("_scale") * F.col("_n")).alias("density")
     ).select(label, "point", (F.col("point") * step).alias("x"), "density")
 
 

@@ -28,13 +28,19 @@ def percentiles(
     df: DataFrame, columns: Mapping[str, Column], probabilities: Sequence[float],
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Rows (name, probability, percentile), one per named expression and probability.
+    """Rows (name, probability, percentile), one per named expression and probability."""
+    return grouped_percentiles(long_values(df, columns), probabilities, accuracy)
+
+
+def grouped_percentiles(
+    values: DataFrame, probabilities: Sequence[float], accuracy: int = ACCURACY,
+) -> DataFrame:
+    """The same for rows (name, value) without missing values, one per input row.
 
     The sketch is off by at most 1/accuracy of the rows. The bracket reaches out to twice
     that, so it holds at most 6/accuracy of the rows, and of those the distinct values.
     The second pass fails loudly should a rank lie outside of its bracket.
     """
-    values = long_values(df, columns)
     margin = 2.0 / accuracy
     edges = [
         F.lit(min(max(p + side * margin, 0.0), 1.0)) for p in probabilities for side in (-1, 1)
@@ -43,7 +49,7 @@ def percentiles(
         F.count("*").alias("_n"),
         F.percentile_approx("value", F.array(*edges), accuracy).alias("_edges"),
     )
-    # One row per named expression: bounded by the caller's column list.
+    # One row per name: bounded by the caller's columns or groups.
     targets = sketch.select("name", F.array(*[
         F.struct(
             F.lit(p).alias("probability"),
