@@ -43,6 +43,8 @@ PERCENT = 80
 #: Share of equal coordinates below which a pair is not compared exactly: with 160 coordinates
 #: this is over five standard deviations below 0.8.
 MARGIN = 0.63
+#: Pairs whose full sets are compared in one task.
+PAIRS_A_TASK = 2000
 #: Members of a block in the last comparison.
 BLOCK = 512
 
@@ -292,7 +294,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         sized = sized.filter(100 * small >= percent * large)
         return written_table(map_batches(sized.select("a", "b", "items_a", "items_b"),
                                          _confirming(percent), "a long, b long"), "confirmed",
-                             at_most)
+                             at_most, PAIRS_A_TASK)
 
     def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
         count = links.count()  # each link brings two new ids at most

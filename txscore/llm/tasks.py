@@ -65,14 +65,15 @@ def clean_table(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(col(name).alias(own) for own, name in columns.items()))
 
 
-def written_table(df: DataFrame, name: str, at_most: int | None = None) -> DataFrame:
+def written_table(df: DataFrame, name: str, at_most: int | None = None,
+                  rows_a_file: int = ROWS_A_FILE) -> DataFrame:
     """Write `df` to the shared folder and read it back: the plan starts at the files from then
     on, and a lost executor costs a read instead of everything before.
 
     Where it is known how many rows there can be at most, they go to as many tasks and files as
     these need, not to one for each shuffle partition."""
     if at_most is not None:
-        df = df.coalesce(max(1, -(-at_most // ROWS_A_FILE)))
+        df = df.coalesce(max(1, -(-at_most // rows_a_file)))
     path = shared_dir(df.sparkSession, name)
     df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.option("parquet.hadoop.vectored.io.enabled", "false").parquet(path)
