@@ -3,7 +3,9 @@ folder, and Arrow batches cut to a bounded number of text bytes."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -43,12 +45,14 @@ def ship(spark: SparkSession) -> SparkSession:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = os.path.dirname(os.path.abspath(txscore.__file__))
-        path = os.path.join(tempfile.mkdtemp(prefix="txscore-ship-"), "txscore_tasks.zip")
+        folder = tempfile.mkdtemp(prefix="txscore-ship-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = os.path.join(folder, "txscore_tasks.zip")
         with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
-            for folder, _, names in os.walk(root):
+            for place, _, names in os.walk(root):
                 for name in names:
                     if name.endswith(".py"):
-                        full = os.path.join(folder, name)
+                        full = os.path.join(place, name)
                         archive.write(full, os.path.relpath(full, os.path.dirname(root)))
         spark.sparkContext.addPyFile(path)
         _shipped.add(app)
