@@ -1,4 +1,6 @@
-"""Plain versions of what several tests compare with."""
+"""Plain versions of what several tests compare with, and made-up text."""
+
+import random
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -21,3 +23,8 @@ def union_smallest(ids, links) -> dict:
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
     return {i: root(i) for i in ids}
+
+
+def prose(seed: int, words: int) -> str:
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(words))

@@ -1,22 +1,15 @@
 """Documents for the corpus operators: the small table, and rows that break things."""
 
-import random
-
 import pyarrow.parquet as pq
 import pytest
+from brute import prose
 from pyspark.sql import functions as F
 
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: Names that operators use inside, as columns of the input.
 CLASHING = ("text_key", "node", "shard", "slot", "spans", "runs", "row", "band", "label", "n_words",
             "key_a", "own_shard", "kept", "hash", "lang_pred")
 
 
-def prose(seed: int, words: int) -> str:
-    rng = random.Random(seed)
-    return " ".join("".join(rng.choices(LETTERS, k=rng.randint(2, 9))) for _ in range(words))
-
-
 EDGE_TEXTS = [
     (1, None), (2, ""), (3, " \t\n "), (4, "word"), (5, "two words"), (None, "an id that is null"),
     (6, prose(1, 80)), (7, prose(1, 80)), (7, prose(1, 80)), (8, prose(1, 80) + " " + prose(2, 3)),

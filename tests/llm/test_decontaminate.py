@@ -8,8 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from brute import lower
-from conftest import prose
+from brute import lower, prose
 from txscore.llm.decontaminate import contamination, drop_contaminated, winnow
 from txscore.llm.queries import QUERIES
 from txscore.llm.words import U64
