@@ -1,10 +1,12 @@
 """SentencePiece segmentation: the library's without dropout, and lossless with it."""
 
+import re
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from txscore.llm.pieces import Encoder, agenda, decode, decode_ids, encode, load, side_by_side, variant_of
+from txscore.llm.pieces import Encoder, agenda, chunk_keys, decode, decode_ids, encode, load, side_by_side, variant_of
 from txscore.llm.queries import QUERIES, piece_model
 
 PATH = piece_model()
@@ -72,3 +74,36 @@ def test_edges(edge_docs, no_docs):
     assert sorted(((r.doc_id, r.text) for r in rows), key=str) == expected
     assert {r.doc_id: r.ids for r in rows}[1] is None and len({r.doc_id: r.ids for r in rows}[2]) == 1
     assert decode(encode(no_docs, PATH), PATH).collect() == []
+
+
+def test_a_word_is_cut_anew_in_every_document_and_place():
+    word = "internationalization"
+    ids, counts = Encoder(PATH, 0.1, 0).encode([f"{word} {word}"] * 300, list(range(300)))
+    pool = load(PATH)
+    inside, firsts, same = set(), set(), 0
+    for own in cut(ids, counts):
+        pieces = [pool.raw[i].decode() for i in own]
+        half = next(k for k in range(1, len(pieces)) if "".join(pieces[:k]) == " " + word)
+        firsts.add(tuple(pieces[:half]))
+        inside.add(tuple(pieces[half:]))
+        same += pieces[:half] == pieces[half:]
+    assert len(firsts) > 10 and len(inside) > 10 and same < 300
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5])
+def test_remembered_results_are_the_agenda(documents, dropout):
+    texts = [t or "" for _, t in documents][:60] + ["a " + "x" * 60 + " b" + "c" * 47, ""]
+    encoder = Encoder(PATH, dropout, 3)
+    chunks = [re.findall(" +[^ ]*", " " + t) for t in texts]
+    for numbers in (range(62), range(100, 162)):
+        keys = iter(chunk_keys(list(numbers), [len(own) for own in chunks], 3).tolist())
+        expected = [[i for c in own for i in agenda(load(PATH), c, next(keys), dropout)] for own in chunks]
+        assert cut(*encoder.encode(texts, list(numbers))) == expected
+
+
+def test_ids_depend_on_the_document(make_docs):
+    text = "internationalization of characteristically unpredictable vocabulary " * 3
+    rows = encode(make_docs([(i, text) for i in range(40)]), PATH).collect()
+    assert len({tuple(r.ids) for r in rows}) > 30
+    again = encode(make_docs([(i, text) for i in range(39, -1, -1)]), PATH).collect()
+    assert {r.doc_id: r.ids for r in rows} == {r.doc_id: r.ids for r in again}

@@ -2,20 +2,24 @@
 
 A merge-type model joins neighbouring symbols, best score first and leftmost among equals, as
 long as their join is a piece. Here a candidate merge, that is one place where two symbols may
-become one, is skipped when the hash of its seed, chunk and place falls below the dropout: it
+become one, is skipped when the hash of its chunk's key and its place falls below the dropout: it
 leaves the agenda for good, as if drawn at random, but the same in every run. Without dropout
 the result is that of the sentencepiece library.
 
 A text is cut before each run of blanks: no piece reaches over such a cut, so chunks are
-independent, and equal chunks of documents with the same variant are encoded once per task.
-A document's variant, one of `variants`, comes from the hash of its id and the seed, so one
-word is cut differently in different documents and under different seeds.
+independent. The key of a chunk is made of the seed, the document's id and the chunk's place in
+the document, so a word is cut anew wherever it stands.
+
+A task remembers for each chunk which merges are made without dropout and what comes of them.
+Where none of them is skipped that is the result; where one is, the result is that of the chunk
+without this merge, which is remembered in the same way, up to `DEPTH` skipped merges. What
+skips more, and long chunks, are encoded on their own each time. All give what the agenda gives.
 
 Blanks are written as U+2581 in pieces. Characters without a piece, and U+2581 itself where it
 stands in a text, are written as bytes, so decoding gives back every text exactly.
 
 Defined results: null stays null in both directions; an empty text is one blank piece, as every
-text gets a blank in front, and decodes to an empty text; a null id has the variant of seed 0;
+text gets a blank in front, and decodes to an empty text; a null id counts as the CRC of the text;
 repeated rows get equal ids. Other columns are not read.
 """
 
@@ -23,7 +27,8 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +37,18 @@ from pyspark.sql import DataFrame
 from txscore.llm.tasks import clean_table, map_batches, text_bytes
 from txscore.llm.words import U64, mix
 
-DROPOUT, SEED, VARIANTS = 0.1, 0, 2
-#: Chunks that a task remembers, and characters up to which chunks are encoded side by side.
+DROPOUT, SEED = 0.1, 0
+#: Results that a task remembers, and characters up to which chunks are encoded side by side.
 REMEMBERED, SIDE_BY_SIDE = 200_000, 48
+#: Skipped merges up to which results are remembered, and chunks that are looked up at once.
+DEPTH, AT_ONCE = 3, 1 << 17
+#: Numbers that a document's key is one of.
+DOCUMENT_KEYS = 1 << 62
 BLANK = "▁"
 
 _CHUNK = re.compile(r" +[^ ]*")
-_SEEDED = 0x632BE59BD9B4E019
+_SEEDED, _PLACED = 0x632BE59BD9B4E019, 0xA0761D6478BD642F
+_ALL = 0xFFFFFFFFFFFFFFFF
 
 
 class Pieces:
@@ -98,33 +108,40 @@ def load(path: str) -> Pieces:
     return _loaded[path]
 
 
-def chunk_key(points: np.ndarray) -> np.ndarray:
-    """Powers-of-one-base terms whose sum identifies a chunk."""
-    return points.astype(U64) * U64(0xD6E8FEB86659FD93) + U64(1)
+def places(begin: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Numbers of candidate merges: where in the chunk their two symbols begin, meet and end."""
+    return (begin.astype(U64) << U64(42)) | (mid.astype(U64) << U64(21)) | end.astype(U64)
 
 
-def skipped(key: np.ndarray, begin, mid, end, dropout: float) -> np.ndarray:
-    """Whether the merge of two symbols at these places of a chunk is dropped."""
-    place = (np.asarray(begin).astype(U64) << U64(42)) | (np.asarray(mid).astype(U64) << U64(21)) \
-        | np.asarray(end).astype(U64)
+def skipped(key: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether the merges at these places of chunks with these keys are dropped."""
     return (mix(key + place) >> U64(11)).astype(np.float64) < dropout * 2.0 ** 53
 
 
-def keys_of(points: np.ndarray, chunk: np.ndarray, begin: np.ndarray, first: np.ndarray,
-            seed: int) -> np.ndarray:
-    """A 64-bit key for each chunk, from its characters, their places and the seed."""
-    terms = mix(chunk_key(points) + begin.astype(U64) * U64(0xA0761D6478BD642F))
-    return mix(np.add.reduceat(terms, first) + U64(seed * _SEEDED & 0xFFFFFFFFFFFFFFFF))
+def chunk_keys(documents: list[int], counts: list[int], seed: int) -> np.ndarray:
+    """A 64-bit key for each chunk of documents with these numbers and counts of chunks."""
+    with np.errstate(over="ignore"):
+        own = mix(np.array(documents, np.int64).view(U64) + U64(seed * _SEEDED & _ALL))
+        counts = np.array(counts, np.int64)
+        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        return mix(np.repeat(own, counts) + place.astype(U64) * U64(_PLACED))
+
+
+def _mixed(x: int) -> int:
+    """`mix` of one number."""
+    x &= _ALL
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _ALL
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _ALL
+    return x ^ x >> 31
 
 
-def agenda(pieces: Pieces, chunk: str, seed: int, dropout: float) -> list[int]:
+def agenda(pieces: Pieces, chunk: str, key: int, dropout: float) -> list[int]:
     """Encode one chunk with an agenda of candidate merges; for chunks of any length."""
     points = np.frombuffer(chunk.encode("utf-32-le"), np.uint32)
     blanks = np.where(points == 32, ord(BLANK), points)
     ids = np.where(points == ord(BLANK), -1, pieces.of_char[blanks]).tolist()
     n = len(ids)
-    place = np.arange(n)
-    key = keys_of(points, np.zeros(n), place, np.zeros(1, np.int64), seed)
+    bound = dropout * 2.0 ** 53
     begin, end = list(range(n)), list(range(1, n + 1))
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
     heap: list[tuple[int, int, int, int, int]] = []
@@ -143,7 +160,7 @@ def agenda(pieces: Pieces, chunk: str, seed: int, dropout: float) -> list[int]:
         _, left, right, stop, joined = heapq.heappop(heap)
         if gone[left] or gone[right] or after[left] != right or end[right] != stop:
             continue
-        if dropout and skipped(key, [begin[left]], [begin[right]], [stop], dropout)[0]:
+        if dropout and _mixed(key + (begin[left] << 42 | begin[right] << 21 | stop)) >> 11 < bound:
             continue
         ids[left], end[left], gone[right] = joined, stop, True
         after[left] = after[right]
@@ -158,17 +175,49 @@ def agenda(pieces: Pieces, chunk: str, seed: int, dropout: float) -> list[int]:
     return out
 
 
-def side_by_side(pieces: Pieces, chunks: list[str], seed: int,
+def side_by_side(pieces: Pieces, chunks: list[str], key: int | np.ndarray,
                  dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Encode many short chunks at once: each round makes the best merge of every chunk.
+    """Encode many short chunks at once, with a key for each or one for all.
 
     Returns all ids in one array and how many belong to each chunk."""
+    keys = np.broadcast_to(np.asarray(key, U64), len(chunks))
+    drops = (lambda chunk, place: skipped(keys[chunk], place, dropout)) if dropout else None
+    return merged(pieces, chunks, drops)[:2]
+
+
+def _narrow(chunk: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers of merges in numbered chunks of `SIDE_BY_SIDE` characters at most."""
+    low = U64(63)
+    return (chunk.astype(U64) << U64(18)) | ((place >> U64(42)) << U64(12)) \
+        | (((place >> U64(21)) & low) << U64(6)) | (place & low)
+
+
+def without(pieces: Pieces, chunks: list[str], gone: list[tuple[int, ...]]):
+    """Encode many short chunks at once, each without the merges at the places in `gone`; as
+    `merged` does."""
+    if not any(gone):
+        return merged(pieces, chunks, None)
+    listed = np.sort(_narrow(np.repeat(np.arange(len(chunks)), [len(x) for x in gone]),
+                             np.array([x for own in gone for x in own], U64)))
+
+    def drops(chunk: np.ndarray, place: np.ndarray) -> np.ndarray:
+        wanted = _narrow(chunk, place)
+        return listed[np.minimum(np.searchsorted(listed, wanted), len(listed) - 1)] == wanted
+
+    return merged(pieces, chunks, drops)
+
+
+def merged(pieces: Pieces, chunks: list[str], drops: Callable[[np.ndarray, np.ndarray], np.ndarray] | None):
+    """Encode many chunks at once: each round makes the best merge of every chunk. `drops` says
+    which candidates, given by chunk and place, are skipped.
+
+    Returns all ids in one array and how many belong to each chunk; and the places of the merges
+    made, in their order, and how many belong to each chunk."""
     points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
     sizes = np.array([len(c) for c in chunks])
     first = np.r_[0, np.cumsum(sizes)[:-1]]
     chunk = np.repeat(np.arange(len(chunks)), sizes)
     begin = np.arange(len(points)) - first[chunk]
-    key = keys_of(points, chunk, begin, first, seed)
     blanks = np.where(points == 32, np.uint32(ord(BLANK)), points)
     ids = np.where(points == ord(BLANK), np.int32(-1), pieces.of_char[blanks])
     char = np.where(ids < 0, points, 0)
@@ -179,13 +228,13 @@ def side_by_side(pieces: Pieces, chunks: list[str], seed: int,
         found = pieces.join(ids[at], ids[at + 1])
         found[chunk[at] != chunk[at + 1]] = -1
         some = np.flatnonzero(found >= 0)
-        if dropout and len(some):
+        if drops and len(some):
             p = at[some]
-            drop = skipped(key[chunk[p]], begin[p], begin[p + 1], end[p + 1], dropout)
-            found[some[drop]] = -1
+            found[some[drops(chunk[p], places(begin[p], begin[p + 1], end[p + 1]))]] = -1
         return found
 
     done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    made: list[tuple[np.ndarray, np.ndarray]] = []
     joined = np.full(len(ids), -1, np.int32)
     joined[:-1] = candidates(np.arange(len(ids) - 1))
     while len(ids):
@@ -196,6 +245,7 @@ def side_by_side(pieces: Pieces, chunks: list[str], seed: int,
         best = np.minimum.reduceat(order, starts)
         some = best != np.iinfo(np.int64).max
         at = (best[some] & 0xFFFFFFFF).astype(np.int64)
+        made.append((chunk[at], places(begin[at], begin[at + 1], end[at + 1])))
         ids[at], end[at] = joined[at], end[at + 1]
         keep = np.ones(len(ids), bool)
         keep[at + 1] = False
@@ -226,71 +276,144 @@ def side_by_side(pieces: Pieces, chunks: list[str], seed: int,
         size[unknown] = [len(r) for r in raw]
         ids, chunk = np.repeat(ids, size), np.repeat(chunk, size)
         ids[ids < 0] = np.concatenate(raw)
-    return ids, np.bincount(chunk, minlength=len(chunks))
+    of, steps = (np.concatenate([m[k] for m in made]) for k in range(2))
+    return (ids, np.bincount(chunk, minlength=len(chunks)),
+            steps[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(chunks)))
+
+
+def _ranges(ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of ranges with these ends and sizes, one range after the other."""
+    return np.repeat(ends - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
 
 
 class Encoder:
-    """Encodes documents, remembering chunks: their ids lie end to end in one pool."""
+    """Encodes documents, remembering results: their ids lie end to end in one pool, and the
+    merges that led to them in another one."""
 
     def __init__(self, path: str, dropout: float, seed: int):
         self.pieces, self.dropout, self.seed = load(path), dropout, seed
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, dict[str, int]] = {}
-        self.pool = np.zeros(0, np.int32)
-        self.sizes = np.zeros(0, np.int64)
-
-    def _learn(self, variant: int, missing: list[str]) -> None:
-        seed = self.seed * 65_537 + variant
-        known = self.known[variant]
-        short = [c for c in missing if len(c) <= SIDE_BY_SIDE]
-        pools, sizes = [self.pool], [self.sizes]
+        #: Numbers of the results without skipped merges by chunk (-1: a long one), and of those
+        #: that come of skipping a merge of another result by 64 times its number plus which merge.
+        self.known: dict[str, int] = {}
+        self.next: dict[int, int] = {}
+        #: Of each result: its chunk, what it skips, and how many merges come before those listed.
+        self.chunk: list[str] = []
+        self.gone: list[tuple[int, ...]] = []
+        self.lead: list[int] = []
+        self.pool, self.steps = np.zeros(0, np.int32), np.zeros(0, U64)
+        self.sizes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, chunks: list[str], gone: list[tuple[int, ...]], lead: list[int]) -> range:
+        """Remember results of short chunks; their numbers."""
         number = len(self.sizes)
-        for part in range(0, len(short), 20_000):
-            ids, counts = side_by_side(self.pieces, short[part:part + 20_000], seed, self.dropout)
-            pools.append(ids)
-            sizes.append(counts)
-        long = [c for c in missing if len(c) > SIDE_BY_SIDE]
-        for chunk in long:
-            ids = agenda(self.pieces, chunk, seed, self.dropout)
-            pools.append(np.array(ids, np.int32))
-            sizes.append(np.array([len(ids)]))
-        known.update(zip(short + long, range(number, number + len(missing))))
-        self.pool, self.sizes = np.concatenate(pools), np.concatenate(sizes)
-
-    def encode(self, texts: list[str], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in one array, and how many belong to each text."""
-        if len(self.sizes) > REMEMBERED:
+        new = [(self.pool, self.sizes, self.steps, self.counts)]
+        for k in range(0, len(chunks), 20_000):
+            ids, sizes, steps, counts = without(self.pieces, chunks[k:k + 20_000], gone[k:k + 20_000])
+            before = np.array(lead[k:k + 20_000], np.int64)
+            ends = np.cumsum(counts)
+            new.append((ids, sizes, steps[_ranges(ends, counts - before)], counts - before))
+        self.pool, self.sizes, self.steps, self.counts = (
+            np.concatenate([x[k] for x in new]) for k in range(4))
+        self.chunk += chunks
+        self.gone += gone
+        self.lead += lead
+        return range(number, number + len(chunks))
+
+    def _skip(self, node: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """The numbers of the results that come of skipping these merges of results."""
+        wanted, inverse = np.unique(node * 64 + which, return_inverse=True)
+        missing = [x for x in wanted.tolist() if x not in self.next]
+        if missing:
+            from_, at = np.divmod(np.array(missing), 64)
+            first = np.cumsum(self.counts) - self.counts
+            place = self.steps[first[from_] + at].tolist()
+            self.next.update(zip(missing, self._learn(
+                [self.chunk[x] for x in from_], [(*self.gone[x], p) for x, p in zip(from_, place)],
+                [self.lead[x] + k for x, k in zip(from_, at.tolist())])))
+        return np.array([self.next[x] for x in wanted.tolist()], np.int64)[inverse]
+
+    def _first_skipped(self, node: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these results have a merge that is skipped under these keys, and the first."""
+        counts = self.counts[node]
+        own = np.repeat(np.arange(len(node)), counts)
+        steps = self.steps[_ranges(np.cumsum(self.counts)[node], counts)]
+        hits = np.flatnonzero(skipped(key[own], steps, self.dropout))
+        of = own[hits]
+        first = np.r_[True, of[1:] != of[:-1]][:len(of)]
+        return of[first], hits[first] - (np.cumsum(counts) - counts)[of[first]]
+
+    def _resolve(self, node: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Put the results under these keys in place of those without skipped merges; where more
+        than `DEPTH` are skipped stays open, and is returned."""
+        open_ = np.arange(len(node))
+        for depth in range(DEPTH + 1):
+            some, which = self._first_skipped(node[open_], key[open_])
+            open_ = open_[some]
+            if not len(open_) or depth == DEPTH:
+                break
+            node[open_] = self._skip(node[open_], which)
+        return open_
+
+    def encode(self, texts: list[str], documents: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in one array, and how many belong to each text; `documents` are
+        numbers from which, with the seed, the keys of their chunks are made."""
+        if len(self.sizes) > REMEMBERED or len(self.known) > REMEMBERED:
             self._forget()
         chunks = [_CHUNK.findall(" " + text) for text in texts]
-        for variant in sorted(set(variants)):
-            known = self.known.setdefault(variant, {})
-            wanted: set[str] = set()
-            for own, of in zip(chunks, variants):
-                if of == variant:
-                    wanted.update(own)
-            if missing := wanted.difference(known):
-                self._learn(variant, list(missing))
-        of_text = [np.fromiter(map(self.known[variant].__getitem__, own), np.int64, len(own))
-                   for own, variant in zip(chunks, variants)]
-        number = np.concatenate(of_text) if of_text else np.zeros(0, np.int64)
-        sizes = self.sizes[number]
-        ends = np.cumsum(sizes)
-        starts = np.cumsum(self.sizes) - self.sizes
-        ids = self.pool[np.repeat(starts[number] - ends + sizes, sizes) + np.arange(sizes.sum())]
-        last = np.cumsum([len(x) for x in of_text])
-        return ids, np.diff(np.r_[0, ends[last - 1]])
+        wanted = set().union(*chunks)
+        wanted.difference_update(self.known)
+        missing = [c for c in wanted if len(c) <= SIDE_BY_SIDE]
+        self.known.update(dict.fromkeys(wanted, -1))
+        self.known.update(zip(missing, self._learn(missing, [()] * len(missing), [0] * len(missing))))
+        flat = list(chain.from_iterable(chunks))
+        counts = [len(own) for own in chunks]
+        key = chunk_keys(documents, counts, self.seed)
+        node = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        alone = [np.flatnonzero(node < 0)]
+        if self.dropout:
+            short = np.flatnonzero(node >= 0)
+            for k in range(0, len(short), AT_ONCE):
+                part = short[k:k + AT_ONCE]
+                own = node[part]
+                alone.append(part[self._resolve(own, key[part])])
+                node[part] = own
+        pool, sizes = self._alone(flat, node, key, np.concatenate(alone))
+        size = sizes[node]
+        ids = pool[_ranges(np.cumsum(sizes)[node], size)]
+        ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(counts, dtype=np.int64)]]
+        return ids, np.diff(ends)
+
+    def _alone(self, flat: list[str], node: np.ndarray, key: np.ndarray,
+               alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Encode these chunks on their own, to be forgotten; the pool and sizes with theirs."""
+        if not len(alone):
+            return self.pool, self.sizes
+        pools, sizes = [self.pool], [self.sizes]
+        long = np.array([len(flat[k]) > SIDE_BY_SIDE for k in alone.tolist()], bool)
+        short = alone[~long]
+        for k in range(0, len(short), 20_000):
+            part = short[k:k + 20_000]
+            ids, counts = side_by_side(self.pieces, [flat[i] for i in part.tolist()], key[part], self.dropout)
+            pools.append(ids)
+            sizes.append(counts)
+        for i in alone[long].tolist():
+            pools.append(np.array(agenda(self.pieces, flat[i], int(key[i]), self.dropout), np.int32))
+            sizes.append(np.array([len(pools[-1])]))
+        node[np.r_[short, alone[long]]] = np.arange(len(alone)) + len(self.sizes)
+        return np.concatenate(pools), np.concatenate(sizes)
 
 
 def variant_of(ids: list, seed: int, variants: int) -> list[int]:
+    """One of `variants` numbers for each id, from its hash and the seed."""
     with np.errstate(over="ignore"):
         numbers = np.array([x or 0 for x in ids], np.int64).view(U64)
         return (mix(numbers ^ mix(np.full(1, seed, U64))) % U64(variants)).astype(int).tolist()
 
 
-def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED,
-           variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """(doc_id, n_bytes, text_crc32, ids) of each row; `path` is the model file on every machine."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,9 +428,11 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
                 part = batch.slice(row, stop - row)
                 row = stop
                 texts = part.column("text").to_pylist()
-                ids, counts = encoder.encode([x or "" for x in texts], variant_of(
-                    part.column("doc_id").to_pylist(), seed, variants))
                 raw = [None if x is None else x.encode() for x in texts]
+                numbers = [zlib.crc32(x or b"") if i is None else i
+                           for i, x in zip(part.column("doc_id").to_pylist(), raw)]
+                ids, counts = encoder.encode([x or "" for x in texts],
+                                             variant_of(numbers, seed, DOCUMENT_KEYS))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"),
                     "n_bytes": pa.array([None if x is None else len(x) for x in raw], pa.int64()),
