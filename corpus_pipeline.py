@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from txscore.llm.circulant import near_duplicates
 from txscore.llm.decontaminate import drop_contaminated
-from txscore.llm.langid import accept, held_out, learn
+from txscore.llm.langid import accept, held_out, learn, least_scores
 from txscore.llm.pieces import decode, encode
 from txscore.llm.queries import piece_model
 from txscore.llm.secrets import learn_formats, mask_secrets
@@ -21,7 +21,9 @@ from txscore.llm.tasks import written_table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that their labels teach; the others go."""
-    return accept(docs, learn(docs.filter(~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))))
+    teachers = docs.filter(~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
+    profiles = learn(teachers)
+    return accept(docs, profiles, least_scores(teachers, profiles))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

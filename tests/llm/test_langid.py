@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 
+from corpus_pipeline import language_id
 from txscore.llm.langid import Profiles, accept, identify, learn, ngram_keys, profile
 from txscore.llm.queries import QUERIES
 
@@ -47,3 +48,23 @@ def test_edges(edge_docs, no_docs):
     kept = accept(edge_docs, learn(edge_docs))
     assert kept.columns == edge_docs.columns
     assert {1, 2, 3}.isdisjoint(r.doc_id for r in kept.collect()) and kept.filter("doc_id = 7").count() == 2
+
+
+def test_unlearned_latin_languages_go(spark, sf_dir):
+    """Passages without accents, in languages of the script that the labels do not teach."""
+    foreign = [
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ahi quanto a dir qual era cosa dura",
+        "Suomi on tasavalta Pohjois-Euroopassa ja sen naapurimaat ovat Ruotsi, Norja ja Viro. Suomen kieli kuuluu uralilaisiin kieliin",
+        "Polska jest krajem w Europie Srodkowej, ktory graniczy z Niemcami, Czechami i Ukraina. Wszyscy ludzie rodza sie wolni i rowni",
+        "Tat ca moi nguoi sinh ra deu duoc tu do va binh dang ve nhan pham va quyen loi. Moi con nguoi deu duoc tao hoa ban cho ly tri",
+        "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [r.text for r in docs.select("text").collect() if r.text]
+    clean = [" ".join(t.split()[:12]) for t in texts if len(t.split()) >= 12]
+    odd = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(foreign)]
+                                + [(10 ** 9 + k, t) for k, t in enumerate(clean)], "doc_id long, text string")
+    given = docs.unionByName(odd, allowMissingColumns=True)
+    kept = {r.doc_id for r in language_id(spark, given, sf_dir).select("doc_id").collect()}
+    assert not any(i < 0 for i in kept)
+    assert sum(i >= 10 ** 9 for i in kept) >= 0.99 * len(clean)
+    assert docs.filter(~docs.doc_id.isin(list(kept))).count() <= 0.001 * docs.count()

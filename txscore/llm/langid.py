@@ -7,6 +7,11 @@ largest possible distance where the language does not have it. n-grams are 1 to
 lower-cased text with everything but letters (ASCII letters and bytes beyond ASCII) read as one
 blank between words; equal counts are ordered by the n-gram.
 
+`least_scores` learns which scores texts of a language have: of all labelled texts, cut to each of
+`CUTS` lengths, a low quantile of the scores in their own language, less a margin. `accept` takes
+a text only if its score reaches that of its language and length, so that a text in a language
+of the same script that was never learned goes.
+
 The score is how much nearer the best language is than the largest possible distance, between
 0 and 1; a text in none of the languages' n-grams has 0.
 
@@ -18,6 +23,7 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +41,12 @@ FLUSH = 1 << 20
 #: Languages that profiles are held for in every task: a bound on what is broadcast.
 MOST_LANGUAGES = 5000
 UNKNOWN = "und"
-#: Score below which a document counts as in no learned language. Texts of a few words score
-#: 0.4 and more in their language; texts of other letters score near 0.
+#: Score below which a text is in no learned language, whatever was learned: texts of other
+#: letters score near 0.
 LEAST_SCORE = 0.15
+#: Lengths in bytes that scores are learned at, the share of labelled texts that may score less,
+#: and the part of that quantile a text must reach: labelled texts may be half codes or junk.
+CUTS, LOW_SHARE, LOW_PART = (8, 32, 128, 512, 2048), 0.01, 0.75
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = _LETTER[128:] = True
@@ -106,6 +115,11 @@ class Profiles:
             found.append(int(apart.sum()))
         return found
 
+    def score(self, data: np.ndarray, lang: str) -> float:
+        """The score of a text with letters in one of the languages."""
+        own = profile(ngram_keys(data), self.size)
+        return max(0.0, 1.0 - self.distances(own)[self.names.index(lang)] / (self.size * len(own)))
+
     def predict(self, data: np.ndarray) -> tuple[str, float]:
         if not self.names or not has_letter(data):
             return UNKNOWN, 0.0
@@ -191,9 +205,43 @@ def _predicting(profiles: Profiles):
     return work
 
 
-def accept(docs: DataFrame, profiles: Profiles, least: float = LEAST_SCORE) -> DataFrame:
+def least_scores(docs: DataFrame, profiles: Profiles) -> dict[tuple[str, int], float]:
+    """By language and length, one of `CUTS`, what texts must score, from labelled texts
+    (text, lang)."""
+    known = set(profiles.names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for rows, data, offsets in slices(batch):
+                for lang, a, b in zip(rows.column("lang").to_pylist(), offsets[:-1], offsets[1:]):
+                    for cut in CUTS:
+                        if cut <= b - a and lang in known and has_letter(data[a:a + cut]):
+                            found[lang, cut, round(1000 * profiles.score(data[a:a + cut], lang))] += 1
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.array([k[0] for k in found], pa.string()),
+                "cut": pa.array([k[1] for k in found], pa.int64()),
+                "score": pa.array([k[2] for k in found], pa.int64()),
+                "n": pa.array(list(found.values()), pa.int64())})
+
+    teachers = clean_table(docs, lang="lang", text="text").filter("lang is not null and text is not null")
+    low = map_batches(teachers, work, "lang string, cut long, score long, n long") \
+        .groupBy("lang", "cut", "score").agg(F.sum("n").alias("n")) \
+        .groupBy("lang", "cut").agg(F.expr(f"percentile(score, {LOW_SHARE}, n)").alias("low"))
+    return {(r.lang, r.cut): LOW_PART * r.low / 1000 for r in low.collect()}
+
+
+def least_of(least: dict[tuple[str, int], float], lang: str, size: int) -> float:
+    """What a text of so many bytes must score: as learned at the largest length up to it."""
+    return max(LEAST_SCORE, next((least[lang, cut] for cut in reversed(CUTS)
+                                  if cut <= size and (lang, cut) in least), 0.0))
+
+
+def accept(docs: DataFrame, profiles: Profiles,
+           least: float | dict[tuple[str, int], float] = LEAST_SCORE) -> DataFrame:
     """The rows, with all their columns, whose text is in a learned language with a score of
-    `least` or more; where nothing was learned, all texts with a letter."""
+    `least` or more, one number or what `least_scores` learned; where no language was learned,
+    all texts with a letter."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +249,8 @@ def accept(docs: DataFrame, profiles: Profiles, least: float = LEAST_SCORE) -> D
                 keep = []
                 for a, b in zip(offsets[:-1], offsets[1:]):
                     lang, score = profiles.predict(data[a:b])
-                    keep.append(score >= least and lang != UNKNOWN if profiles.names
+                    bound = least_of(least, lang, b - a) if isinstance(least, dict) else least
+                    keep.append(score >= bound and lang != UNKNOWN if profiles.names
                                 else has_letter(data[a:b]))
                 yield rows.filter(pa.array(keep, pa.bool_()))
 
