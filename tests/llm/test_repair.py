@@ -81,3 +81,27 @@ def test_edges(spark, edge_docs, no_docs, tokenizer, tmp_path):
     assert sorted((tuple(r) for r in read_ids(spark, path).collect()), key=lambda r: r[1]) == expected(tokenizer, rows)
     write_ids(no_docs, path + "0", tokenizer_file("byte_bpe_50k.json"))
     assert read_ids(spark, path + "0").collect() == []
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(10, 400, 200).tolist()
+    docs = [passage + rng.integers(10, 400, 30).tolist() + [5] * 60 for _ in range(30)]
+    symbols = np.array([x for own in docs for x in (*own, 2)], np.int64)
+    last = np.zeros(len(symbols), bool)
+    last[np.cumsum([len(own) + 1 for own in docs]) - 1] = True
+    left, marks, rules = pack(symbols, last, 400)
+    counts, used = {}, -1
+    for k in range(len(left) - 1):
+        pair = (int(left[k]), int(left[k + 1]))
+        if not marks[k] and (pair[0] != pair[1] or used != k - 1 or left[k - 1] != left[k]):
+            counts[pair] = counts.get(pair, 0) + 1
+            used = k
+    assert max(counts.values(), default=0) < 8
+    assert rule_lengths(rules, 400).max() >= 128 and len(left) < len(symbols) / 5
+    shard = Shard({"first_rule": 400, "width": 4, "symbols": left.astype(np.uint32).tobytes(),
+                   "rules": rules.astype(np.uint32).tobytes(),
+                   "lengths": rule_lengths(rules, 400).astype(np.uint32).tobytes(),
+                   "ends": (np.flatnonzero(marks) + 1).astype(np.uint32).tobytes(),
+                   "doc_ids": np.arange(len(docs)).tobytes(), "null_ids": bytes(len(docs))})
+    assert shard.ids()[0].tolist() == symbols.tolist()

@@ -3,7 +3,8 @@
 Texts are encoded, each followed by an end id, and laid in ascending id order into shards of a
 bounded number of tokens. In each shard the most frequent pairs of neighbouring symbols are
 repeatedly replaced by new symbols; a round replaces all frequent pairs that cannot overlap one
-another. No pair reaches over the end of a document.
+another, and rounds go on until no pair is frequent or the rules are used up. In a run of one
+symbol every other pair counts and is replaced. No pair reaches over the end of a document.
 
 The file format is a table with a row per shard: `part` and `shard` give the order; `rules` has
 the left and right symbol of each new symbol, `lengths` how many ids each stands for, `symbols`
@@ -22,7 +23,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count as counting
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from txscore.llm.tasks import SLICE_BYTES, clean_table, map_batches, shared_dir, slices
 
 END_ID = 2
-#: Tokens after which a shard is closed, rounds of replacements, and the least count of a pair.
-SHARD_TOKENS, ROUNDS, LEAST_COUNT = 1 << 20, 3, 8
+#: Tokens after which a shard is closed, and the least count of a pair.
+SHARD_TOKENS, LEAST_COUNT = 1 << 20, 8
 #: Rules a shard may have: with a vocabulary of 50,257 ids, symbols then fit 16 bits.
 MOST_RULES = 15_000
 #: Chunks of text that a task remembers the ids of.
@@ -47,9 +48,10 @@ FORMAT = ("part int, shard int, n_docs int, n_tokens long, width int, first_rule
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = ROUNDS,
+def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int | None = None,
          least: int = LEAST_COUNT, most_rules: int = MOST_RULES):
-    """Re-Pair of symbols; `last` marks where documents end, and is used up.
+    """Re-Pair of symbols; `last` marks where documents end, and is used up; `rounds` is their
+    greatest number, if there is one.
 
     Returns the symbols left, their end marks, and the rules as rows of (left, right)."""
     kind, half = (np.uint32, 16) if first_rule + most_rules < 1 << 16 else (np.uint64, 32)
@@ -57,11 +59,16 @@ def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = R
     none = kind(np.iinfo(kind).max)  # a pair that is none: no symbol is that large
     rules: list[np.ndarray] = []
     count = 0
-    for _ in range(rounds):
+    for _ in counting() if rounds is None else range(rounds):
         if len(symbols) < 2 or count >= most_rules:
             break
         pairs = (symbols[:-1] << kind(half)) | symbols[1:]
         pairs[last[:-1]] = none
+        twice = np.flatnonzero((symbols[:-1] == symbols[1:]) & ~last[:-1])
+        if len(twice):  # of a run of one symbol, the second, fourth, ... pair overlap others
+            place = np.arange(len(twice))
+            begins = np.maximum.accumulate(np.where(np.diff(twice, prepend=-2) > 1, place, 0))
+            pairs[twice[(place - begins) % 2 == 1]] = none
         ordered = np.sort(pairs)
         first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
         first = np.concatenate([[0], first])
@@ -93,11 +100,11 @@ def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = R
 
 def _apart(codes: np.ndarray, most: int, half: int) -> np.ndarray:
     """The pairs, most frequent first, none of which can share a symbol's place with another:
-    no symbol is the left one of a pair and the right one of a pair."""
+    no symbol is the left one of a pair and the right one of another pair."""
     lefts, rights, chosen = set(), set(), []
     for code in codes.tolist():
         left, right = code >> half, code & ((1 << half) - 1)
-        if left != right and left not in rights and right not in lefts:
+        if left not in rights and right not in lefts:
             lefts.add(left)
             rights.add(right)
             chosen.append(code)
@@ -282,7 +289,7 @@ def text_encoder(path: str) -> TextEncoder:
     return _encoders[path]
 
 
-def _packing(path: str, shard_tokens: int, rounds: int):
+def _packing(path: str, shard_tokens: int, rounds: int | None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -327,7 +334,7 @@ def _packing(path: str, shard_tokens: int, rounds: int):
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, parts: int | None = None,
-              shard_tokens: int = SHARD_TOKENS, rounds: int = ROUNDS) -> None:
+              shard_tokens: int = SHARD_TOKENS, rounds: int | None = None) -> None:
     """Encode (doc_id, text) with the tokenizers file and write shards in ascending id order."""
     own = clean_table(docs, doc_id="doc_id", text="text")
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
