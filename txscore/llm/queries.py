@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txscore.llm.alignment import align_tokens
 from txscore.llm.circulant import near_duplicates
 from txscore.llm.decontaminate import contamination
 from txscore.llm.forest import nearest_neighbours
@@ -156,3 +157,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_block_convolution")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), planted=True).drop("runs", "collapsed")
+
+
+@query("op13_exact_text_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), piece_model())
