@@ -14,6 +14,7 @@ from txscore.llm.pieces import decode, encode
 from txscore.llm.repair import round_trip
 from txscore.llm.pii import find_personal_data, learn_field
 from txscore.llm.registry import ORACLES, QUERIES, query, table
+from txscore.llm.rotations import near_vectors
 from txscore.llm.runs import periodic_runs
 from txscore.llm.secrets import find_secrets, learn_formats
 from txscore.llm.sharding import place
@@ -154,6 +155,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.crc32(raw) == F.col("text_crc32")) & (F.length(raw) == F.col("n_bytes"))).alias("lossless"))
 
 
+@query("op11_rotation_codes")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_block_convolution")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), planted=True).drop("runs", "collapsed")
