@@ -3,11 +3,12 @@
 import hashlib
 import itertools
 import re
+import time
 
 import numpy as np
 
-from txscore.llm.pii import (FEATURES, KINDS, all_spans, base_spans, find_personal_data, fit, learn_field, luhn,
-                             marginals, read_region, viterbi)
+from txscore.llm.pii import (FEATURES, KINDS, Span, all_spans, base_spans, find_personal_data, fit, learn_field, luhn,
+                             marginals, read_region, regions, viterbi)
 from txscore.llm.queries import QUERIES
 
 
@@ -77,7 +78,7 @@ def test_field_splits_what_the_patterns_run_together():
     text = f"call {numbers[3]} {cards[5]} now"
     assert base_spans(text) == []
     spans, base = all_spans(text, field)
-    assert base == 0 and [(s.kind, text[s.start:s.end]) for s in spans] == [("card", cards[5]), ("phone", numbers[3])]
+    assert base == [] and [(s.kind, text[s.start:s.end]) for s in spans] == [("card", cards[5]), ("phone", numbers[3])]
 
 
 def test_edges(edge_docs, no_docs):
@@ -88,3 +89,44 @@ def test_edges(edge_docs, no_docs):
     assert [tuple(s) for s in found[12].base] == brute(text) != []
     assert found[1].spans == found[2].spans == []
     assert find_personal_data(no_docs, learn_field(no_docs)).collect() == []
+
+
+def plain_spans(text, weights):
+    """All spans with every region and every choice compared with every base span."""
+    base = [Span(*s) for s in brute(text)]
+    spans = list(base)
+    for a, b in regions(text or "") if weights is not None else ():
+        if any(s.start <= a and b <= s.end for s in base):
+            continue
+        region = read_region(text[a:b])
+        for i, j, kind in viterbi(region, weights):
+            own = Span(KINDS[kind], a + region.bounds[i], a + region.bounds[j + 1])
+            if not any(s.start < own.end and own.start < s.end for s in base):
+                spans.append(own)
+    return sorted(spans, key=lambda s: (KINDS.index(s.kind), s.start))
+
+
+MORE = "/root/testdata/sf0.01"
+
+
+def test_whole_query_matches_a_plain_version(spark):
+    table = spark.read.parquet(f"{MORE}/documents.parquet")
+    weights = learn_field(table)
+    assert weights is not None
+    rows = {r.doc_id: r.spans for r in QUERIES["op8_semi_markov"](spark, MORE).collect()}
+    for i, text in table.select("doc_id", "text").collect():
+        assert rows[i] == ",".join(f"{k}:{a}:{b}" for k, a, b in plain_spans(text, weights))
+
+
+DENSE = " ".join(f"user{k}@host{k % 7}.example.org, +1 (269) 555-{k % 9000 + 1000}; 10.{k % 250}.3.4 {4000000000000000 + k}"
+                 for k in range(24_000))
+
+
+def test_long_texts_dense_in_hits_take_time_in_proportion(spark):
+    weights = learn_field(spark.read.parquet(f"{MORE}/documents.parquet"))
+    short = DENSE[:20_000]
+    assert all_spans(short, weights)[0] == plain_spans(short, weights)
+    assert len(DENSE) > 1_500_000
+    started = time.monotonic()
+    spans, base = all_spans(DENSE, weights)
+    assert len(base) > 60_000 and time.monotonic() - started < 60

@@ -12,14 +12,16 @@ outside of regions can only be unlabelled, so the regions of a text are independ
 
 Defined results: null and empty texts have no spans; texts are read whole, of any length; equal
 scores prefer unlabelled text, then the shorter span, then the kind listed first; without
-anything to learn from, nothing is added. Repeated rows and null ids are read like others.
-Other columns are not read.
+anything to learn from, nothing is added; an empty table gives no rows. Repeated rows and null
+ids are read like others. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -32,6 +34,8 @@ from txscore.llm.tasks import clean_table, map_batches, written_table
 KINDS = ("email", "ip", "card", "phone")
 #: Regions the field is learned from (per kind of content), passes over them, and step size.
 EXAMPLES, PASSES, STEP = 150, 12, 0.3
+#: Characters up to which a region is an example.
+EXAMPLE_CHARS = 400
 #: Bounds of a candidate span: atoms, and digits where there is no @.
 MOST_ATOMS, LEAST_DIGITS = 24, 7
 
@@ -259,22 +263,46 @@ def fit(examples: list[tuple[str, list[tuple[int, int, str]]]]) -> np.ndarray |
     return weights
 
 
-def all_spans(text: str | None, weights: np.ndarray | None) -> tuple[list[Span], int]:
-    """Base and added spans by kind, then start; and how many of them are base."""
+class _Covered:
+    """Spans by start, asked whether any of them holds or touches a stretch."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans = sorted(spans, key=lambda s: s.start)
+        self.starts = [s.start for s in self.spans]
+        self.furthest = list(accumulate((s.end for s in self.spans), max))
+
+    def holds(self, start: int, end: int) -> bool:
+        k = bisect_right(self.starts, start)
+        return k > 0 and self.furthest[k - 1] >= end
+
+    def touches(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.furthest[k - 1] > start
+
+    def inside(self, start: int, end: int) -> list[Span]:
+        return [s for s in self.spans[bisect_left(self.starts, start):bisect_left(self.starts, end)]
+                if s.end <= end]
+
+
+def all_spans(text: str | None, weights: np.ndarray | None) -> tuple[list[Span], list[Span]]:
+    """Base and added spans by kind, then start; and the base spans alone."""
     if not text:
-        return [], 0
+        return [], []
     base = base_spans(text)
-    spans = list(base)
+    added = []
     if weights is not None:
+        covered = _Covered(base)
         for a, b in regions(text):
-            if any(s.start <= a and b <= s.end for s in base):
+            if covered.holds(a, b):
                 continue  # nothing of the region is free
             region = read_region(text[a:b])
             for i, j, kind in viterbi(region, weights):
                 own = Span(KINDS[kind], a + region.bounds[i], a + region.bounds[j + 1])
-                if not any(s.start < own.end and own.start < s.end for s in base):
-                    spans.append(own)
-    return sorted(spans, key=lambda s: (KINDS.index(s.kind), s.start)), len(base)
+                if not covered.touches(own.start, own.end):
+                    added.append(own)
+    if not added:
+        return base, base
+    return sorted(base + added, key=lambda s: (KINDS.index(s.kind), s.start)), base
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +311,10 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             if not text:
                 continue
-            base = base_spans(text)
+            covered = _Covered(base_spans(text))
             for a, b in regions(text):
-                inside = [s for s in base if a <= s.start and s.end <= b]
-                if b - a <= 400:
+                if b - a <= EXAMPLE_CHARS:
+                    inside = covered.inside(a, b)
                     group = ",".join(sorted({s.kind for s in inside})) or "none"
                     out.append((group, text[a:b], ";".join(
                         f"{s.start - a},{s.end - a},{s.kind}" for s in inside)))
@@ -295,7 +323,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_field(docs: DataFrame, examples: int = EXAMPLES) -> np.ndarray | None:
-    """Weights from at most `examples` different regions (of at most 400 characters) for each
+    """Weights from at most `examples` different regions (of `EXAMPLE_CHARS` at most) for each
     combination of kinds in them, chosen by hash."""
     texts = clean_table(docs, text="text").filter("text is not null")
     found = map_batches(texts, _examples, "content string, region string, spans string").distinct()
@@ -315,11 +343,11 @@ def find_personal_data(docs: DataFrame, weights: np.ndarray | None) -> DataFrame
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            found = [all_spans(x, weights) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
-                "spans": pa.array([[s._asdict() for s in all_spans(x, weights)[0]] for x in texts], _SPANS),
-                "base": pa.array([[s._asdict() for s in base_spans(x or "")] for x in texts], _SPANS)})
+                "spans": pa.array([[s._asdict() for s in spans] for spans, _ in found], _SPANS),
+                "base": pa.array([[s._asdict() for s in base] for _, base in found], _SPANS)})
 
     return map_batches(clean_table(docs, doc_id="doc_id", text="text"), work,
                        f"doc_id long, spans {SPANS}, base {SPANS}")
