@@ -14,9 +14,7 @@ from txscore.llm.repair import (END_ID, Shard, TextEncoder, pack, read_ids, read
 def tokenizer():
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
-    loaded.encode_special_tokens = True
-    return loaded
+    return Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
 
 
 def expected(tokenizer, rows):
@@ -51,7 +49,7 @@ def test_pack_and_expand(docs, first_rule, rounds, data):
     symbols = np.array([x for own in docs for x in (*own, 2)], np.int64)
     last = np.zeros(len(symbols), bool)
     last[np.cumsum([len(own) + 1 for own in docs]) - 1] = True
-    left, marks, rules = pack(symbols, last, first_rule, rounds, least=2, most_rules=50)
+    left, marks, rules = pack(symbols, last, first_rule, rounds, least=2)
     shard = Shard({"first_rule": first_rule, "width": 4, "symbols": left.astype(np.uint32).tobytes(),
                    "rules": rules.astype(np.uint32).tobytes(),
                    "lengths": rule_lengths(rules, first_rule).astype(np.uint32).tobytes(),
@@ -105,3 +103,36 @@ def test_no_frequent_pair_is_left():
                    "ends": (np.flatnonzero(marks) + 1).astype(np.uint32).tobytes(),
                    "doc_ids": np.arange(len(docs)).tobytes(), "null_ids": bytes(len(docs))})
     assert shard.ids()[0].tolist() == symbols.tolist()
+
+
+SPECIAL = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b  <|endoftext|>", "<|endoftext", "plain words here"]
+
+
+def test_special_tokens_are_those_of_the_library(make_docs, spark, tokenizer, tmp_path):
+    assert 50256 in tokenizer.encode(SPECIAL[0], add_special_tokens=False).ids
+    ids, counts = TextEncoder(tokenizer_file("byte_bpe_50k.json")).encode(SPECIAL + SPECIAL[:1])
+    own = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert own == [tokenizer.encode(x, add_special_tokens=False).ids + [END_ID] for x in SPECIAL + SPECIAL[:1]]
+    rows = list(enumerate(SPECIAL))
+    write_ids(make_docs(rows), str(tmp_path / "ids"), tokenizer_file("byte_bpe_50k.json"), parts=2)
+    assert sorted(tuple(r) for r in read_ids(spark, str(tmp_path / "ids")).collect()) == expected(tokenizer, rows)
+
+
+def test_rules_go_on_in_wider_symbols(monkeypatch):
+    import txscore.llm.repair as module
+
+    rng = np.random.default_rng(8)
+    symbols = np.tile(rng.integers(0, 300, 20_000), 8)
+    last = np.zeros(len(symbols), bool)
+    last[19_999::20_000] = True
+    once = pack(symbols, last.copy(), 300)
+    assert len(once[2]) > 5000
+    monkeypatch.setattr(module, "MOST_NARROW", 1000)
+    left, marks, rules = pack(symbols, last.copy(), 300)
+    assert len(rules) > 5000 and len(left) <= 8 * 8
+    shard = Shard({"first_rule": 300, "width": 4, "symbols": left.astype(np.uint32).tobytes(),
+                   "rules": rules.astype(np.uint32).tobytes(),
+                   "lengths": rule_lengths(rules, 300).astype(np.uint32).tobytes(),
+                   "ends": (np.flatnonzero(marks) + 1).astype(np.uint32).tobytes(),
+                   "doc_ids": np.arange(8).tobytes(), "null_ids": bytes(8)})
+    assert shard.ids()[0].tolist() == symbols.tolist()

@@ -3,8 +3,9 @@
 Texts are encoded, each followed by an end id, and laid in ascending id order into shards of a
 bounded number of tokens. In each shard the most frequent pairs of neighbouring symbols are
 repeatedly replaced by new symbols; a round replaces all frequent pairs that cannot overlap one
-another, and rounds go on until no pair is frequent or the rules are used up. In a run of one
+another, and rounds go on until no pair is frequent. In a run of one
 symbol every other pair counts and is replaced. No pair reaches over the end of a document.
+Symbols are packed as 16-bit numbers as long as they fit, and as 32-bit ones from then on.
 
 The file format is a table with a row per shard: `part` and `shard` give the order; `rules` has
 the left and right symbol of each new symbol, `lengths` how many ids each stands for, `symbols`
@@ -35,8 +36,6 @@ from txscore.llm.tasks import SLICE_BYTES, clean_table, map_batches, shared_dir,
 END_ID = 2
 #: Tokens after which a shard is closed, and the least count of a pair.
 SHARD_TOKENS, LEAST_COUNT = 1 << 20, 8
-#: Rules a shard may have: with a vocabulary of 50,257 ids, symbols then fit 16 bits.
-MOST_RULES = 15_000
 #: Chunks of text that a task remembers the ids of.
 REMEMBERED = 600_000
 #: Shard offsets up to this number go to every task; more are joined by a shuffle.
@@ -45,23 +44,30 @@ BROADCAST_SHARDS = 1_000_000
 FORMAT = ("part int, shard int, n_docs int, n_tokens long, width int, first_rule int, "
           "doc_ids binary, null_ids binary, rules binary, lengths binary, symbols binary, ends binary")
 
+#: Symbols below this are packed as 16-bit numbers.
+MOST_NARROW = (1 << 16) - 1
+
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int | None = None,
-         least: int = LEAST_COUNT, most_rules: int = MOST_RULES):
+         least: int = LEAST_COUNT):
     """Re-Pair of symbols; `last` marks where documents end, and is used up; `rounds` is their
     greatest number, if there is one.
 
     Returns the symbols left, their end marks, and the rules as rows of (left, right)."""
-    kind, half = (np.uint32, 16) if first_rule + most_rules < 1 << 16 else (np.uint64, 32)
+    kind, half = (np.uint32, 16) if first_rule < MOST_NARROW else (np.uint64, 32)
     symbols = symbols.astype(kind)
-    none = kind(np.iinfo(kind).max)  # a pair that is none: no symbol is that large
     rules: list[np.ndarray] = []
     count = 0
     for _ in counting() if rounds is None else range(rounds):
-        if len(symbols) < 2 or count >= most_rules:
+        if len(symbols) < 2:
             break
+        if half == 16 and first_rule + count >= MOST_NARROW:
+            kind, half = np.uint64, 32
+            symbols = symbols.astype(kind)
+        room = (MOST_NARROW if half == 16 else 1 << 31) - first_rule - count
+        none = kind(np.iinfo(kind).max)  # a pair that is none: no symbol is that large
         pairs = (symbols[:-1] << kind(half)) | symbols[1:]
         pairs[last[:-1]] = none
         twice = np.flatnonzero((symbols[:-1] == symbols[1:]) & ~last[:-1])
@@ -76,14 +82,14 @@ def pack(symbols: np.ndarray, last: np.ndarray, first_rule: int, rounds: int | N
         frequent = np.flatnonzero(counts >= least)
         codes, counts = ordered[first[frequent]], counts[frequent]
         codes, counts = codes[codes != none], counts[codes != none]
-        chosen = _apart(codes[np.argsort(-counts, kind="stable")], most_rules - count, half)
+        chosen = _apart(codes[np.argsort(-counts, kind="stable")], room, half)
         if not len(chosen):
             break
         left, right = chosen >> kind(half), chosen & kind((1 << half) - 1)
         rules.append(np.stack([left, right], axis=1).astype(np.int64))
         order = np.argsort(chosen)
         ranked = chosen[order]
-        is_left, is_right = (np.zeros(first_rule + most_rules + 1, bool) for _ in range(2))
+        is_left, is_right = (np.zeros(first_rule + count + 1, bool) for _ in range(2))
         is_left[left] = is_right[right] = True
         places = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
         at = np.minimum(np.searchsorted(ranked, pairs[places]), len(ranked) - 1)
@@ -205,14 +211,16 @@ class TextEncoder:
     """Encodes texts with a tokenizers file, remembering chunks: their ids lie in one pool.
 
     A text is cut at each single blank between two characters that are not blank: the byte-level
-    pattern always starts a new word there, so chunks are encoded independently.
+    pattern always starts a new word there, so chunks are encoded independently. A text that
+    holds the string of a special token is left to the library as a whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.whole, self.tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.special = [x.content for x in self.whole.get_added_tokens_decoder().values()]
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
         blank = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
@@ -254,6 +262,12 @@ class TextEncoder:
         """Ids of all texts end to end, each text's end id included, and how many each has."""
         if len(self.sizes) > REMEMBERED:
             self._forget()
+        special = [k for k, text in enumerate(texts) if any(x in text for x in self.special)]
+        wholes = [texts[k] for k in special]
+        if special:
+            texts = texts.copy()
+            for k in special:
+                texts[k] = ""
         cut = [text.split(" ") for text in texts]
         heads = [own.pop(0) for own in cut]
         numbers = self._numbers(self.words, cut, " ")
@@ -264,6 +278,12 @@ class TextEncoder:
         for k, own in zip(careful, self._numbers(self.chunks, [cut[k] for k in careful], " ")):
             numbers[k] = own
         [first] = self._numbers(self.heads, [heads], "")
+        if special:
+            found = [x.ids for x in self.whole.encode_batch_fast(wholes, add_special_tokens=False)]
+            for k, number in zip(special, range(len(self.sizes), len(self.sizes) + len(found))):
+                first[k] = number
+            self.pool = np.concatenate([self.pool, *(np.array(x, np.int32) for x in found)])
+            self.sizes = np.concatenate([self.sizes, [len(x) for x in found]]).astype(np.int64)
         flat: list[int] = []
         last = []
         for head, own in zip(first, numbers):
