@@ -15,11 +15,11 @@ from brute import lower, union_smallest
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
 
-def brute(rows):
+def brute(rows, size=4):
     sets = {}
     for i, text in rows:
         words = WORD.findall(lower(text or ""))
-        sets[i] = frozenset(tuple(words[k:k + 4]) for k in range(max(1, len(words) - 3))) if words else frozenset()
+        sets[i] = frozenset(tuple(words[k:k + size]) for k in range(max(1, len(words) - size + 1))) if words else frozenset()
     ids = sorted(sets)
     links = [(a, b) for n, a in enumerate(ids) for b in ids[:n]
              if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]

@@ -19,8 +19,11 @@ CLASSES = {**{c: "d" for c in "0123456789"}, **{c: "h" for c in "abcdef"},
 UNSEEN = 1e-4
 
 
+_TABLE = str.maketrans(CLASSES)
+
+
 def classes(text: str) -> str:
-    return "".join(CLASSES.get(c, c) for c in text)
+    return text.translate(_TABLE)
 
 
 class Automaton:
@@ -38,21 +41,24 @@ class Automaton:
         return len(self.visits) - 1
 
     @classmethod
-    def learn(cls, examples: list[str], alpha: float = 0.05) -> Automaton:
-        """The prefix tree of the examples with compatible states merged."""
+    def learn(cls, examples: list[str], alpha: float = 0.05, most: int | None = None) -> Automaton:
+        """The prefix tree of the examples with compatible states merged.
+
+        Of an example longer than `most` only the beginning is read, and no end."""
         self = cls()
         self._new()
         for text, n in sorted(Counter(classes(x) for x in examples).items()):
             state = 0
             self.visits[0] += n
-            for symbol in text:
+            for symbol in text[:most]:
                 step = self.steps[state].get(symbol)
                 if step is None:
                     step = self.steps[state][symbol] = [self._new(), 0]
                 step[1] += n
                 state = step[0]
                 self.visits[state] += n
-            self.ends[state] += n
+            if most is None or len(text) <= most:
+                self.ends[state] += n
         self._merge(math.sqrt(0.5 * math.log(2 / alpha)))
         return self
 
@@ -119,9 +125,13 @@ class Automaton:
 
     def score(self, text: str) -> float:
         """Mean log-likelihood of a step, the end included."""
+        return self.score_classes(classes(text))
+
+    def score_classes(self, text: str) -> float:
+        """The same for a text already read as classes."""
         state, total = 0, 0.0
         floor = math.log(UNSEEN)
-        for symbol in classes(text):
+        for symbol in text:
             step = self.steps[state].get(symbol)
             if step is None:
                 total += floor

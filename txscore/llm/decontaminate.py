@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txscore.llm.tasks import clean_table, map_batches, slices, written_table
+from txscore.llm.tasks import clean_table, keep_texts, map_batches, slices, written_table
 from txscore.llm.words import ALNUM, U64, grams, split_words
 
 #: Words in a window, and words in a fingerprinted gram.
@@ -180,7 +180,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, g
     """The rows, with all their columns, that are not contaminated."""
     hashed, parts = _indexed(items, index_bytes)
     if parts == 1:
-        return map_batches(docs, _dropping(_load(hashed, window, gram)), docs.schema)
+        return keep_texts(docs, _keeping(_load(hashed, window, gram)))
     rows = written_table(docs.select(F.struct(*docs.columns).alias("whole"), F.col("text")), "rows")
     judged = _by_parts(rows, hashed, parts, window, gram).filter("not contaminated")
     return judged.select("whole.*")
@@ -221,18 +221,13 @@ def _judging(index: ItemIndex):
     return work
 
 
-def _dropping(index: ItemIndex):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, offsets in slices(batch):
-                words = split_words(data, offsets, ALNUM)
-                keep = []
-                for a, b in zip(words.first[:-1], words.first[1:]):
-                    hit, _ = judge(words.hash[a:b], index)
-                    keep.append(not _contaminated(hit, int(b - a)))
-                yield rows.filter(pa.array(keep, pa.bool_()))
+def _keeping(index: ItemIndex):
+    def judged(data: np.ndarray, offsets: np.ndarray) -> list[bool]:
+        words = split_words(data, offsets, ALNUM)
+        return [not _contaminated(judge(words.hash[a:b], index)[0], int(b - a))
+                for a, b in zip(words.first[:-1], words.first[1:])]
 
-    return work
+    return judged
 
 
 def _contaminated(hit: int, words: int) -> bool:

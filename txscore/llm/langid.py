@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txscore.llm.tasks import clean_table, map_batches, slices, written_table
+from txscore.llm.tasks import clean_table, keep_texts, map_batches, slices, written_table
 from txscore.llm.words import LOWER
 
 #: n-grams in a profile, and their longest length in bytes.
@@ -243,18 +243,15 @@ def accept(docs: DataFrame, profiles: Profiles,
     `least` or more, one number or what `least_scores` learned; where no language was learned,
     all texts with a letter."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, offsets in slices(batch):
-                keep = []
-                for a, b in zip(offsets[:-1], offsets[1:]):
-                    lang, score = profiles.predict(data[a:b])
-                    bound = least_of(least, lang, b - a) if isinstance(least, dict) else least
-                    keep.append(score >= bound and lang != UNKNOWN if profiles.names
-                                else has_letter(data[a:b]))
-                yield rows.filter(pa.array(keep, pa.bool_()))
-
-    return map_batches(docs, work, docs.schema)
+    def judge(data: np.ndarray, offsets: np.ndarray) -> list[bool]:
+        keep = []
+        for a, b in zip(offsets[:-1], offsets[1:]):
+            lang, score = profiles.predict(data[a:b])
+            bound = least_of(least, lang, b - a) if isinstance(least, dict) else least
+            keep.append(bool(score >= bound and lang != UNKNOWN if profiles.names else has_letter(data[a:b])))
+        return keep
+
+    return keep_texts(docs, judge)
 
 
 def identify(docs: DataFrame, size: int = PROFILE) -> DataFrame:

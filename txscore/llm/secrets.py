@@ -1,21 +1,28 @@
 """Secret scans: fixed patterns, and formats learned from what they find.
 
 The patterns give the base spans. The strings they find, labelled by pattern, teach one
-probabilistic automaton per label (see `automata`), and strings that look alike but that no
-pattern found teach one of ordinary text. Every candidate, a run of 16 or more letters, digits
-and `+/_=-` with a letter and a digit outside the base spans, is scored by how likely its
-format is; it is added if it is at least as likely as all but the least likely hundredth of a
-label's examples, and likelier than as ordinary text. Base spans always stay.
+probabilistic automaton per label (see `automata`), and strings that no pattern found teach one of
+ordinary text. Candidates are all runs of the characters that labelled strings are made of,
+letters, digits and `+/_.=-`, of `SHORTEST` or more, as the patterns label, and what base spans
+leave of such runs. Each is scored by how likely its format is; it is added if it is at least
+as likely as all but the least likely hundredth of a label's examples, and likelier than as
+ordinary text. Base spans always stay.
+
+Scores depend on the classes of a string's characters only, so a task remembers them by these;
+runs and base spans are walked once, side by side, so a text takes time in proportion to its length.
 
 Defined results: null and empty texts have no spans; texts are scanned whole, of any length; a
-label without examples has no automaton; equal scores go to the label listed first; repeated
-rows and null ids are scanned like others. Other columns are not read by `find_secrets`, and
-passed through by `mask_secrets`.
+label without examples has no automaton, and without any nothing is added; equal scores go to the
+label listed first; repeated rows and null ids are scanned like others; an empty table gives no
+rows, and teaches nothing. Other columns are not read by `find_secrets`, and passed through by
+`mask_secrets`.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -23,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txscore.llm.automata import Automaton
-from txscore.llm.tasks import clean_table, map_batches, written_table
+from txscore.llm.automata import Automaton, classes
+from txscore.llm.tasks import clean_table, map_batches, prepare, written_table
 
 KINDS = ("assign", "access", "hex")
-#: Examples that each automaton is learned from, and characters of each that are used.
+#: Examples that each automaton is learned from, and characters of each that are used; an example
+#: that is longer teaches no end.
 EXAMPLES, EXAMPLE_CHARS = 2000, 128
+#: Formats whose scores a task remembers, and characters up to which they are.
+REMEMBERED, SHORT = 100_000, 64
 #: Share of a label's examples that may be less likely than a candidate that is added.
 LEAST_LIKELY = 0.01
 
@@ -39,8 +49,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
+#: Runs that hold what the other two patterns find.
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
+#: The least length of a string that a pattern labels, and so of a candidate.
+SHORTEST = 6
 
 
 class Span(NamedTuple):
@@ -69,11 +81,22 @@ def base_spans(text: str) -> list[Span]:
     return [Span(KINDS[k], start, end, 0.0) for start, k, end in sorted(found)]
 
 
-def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """Runs that may be credentials and touch no base span."""
-    return [(m.start(), m.end()) for m in _RUN.finditer(text)
-            if _MIXED.match(m.group())
-            and not any(s.start < m.end() and m.start() < s.end for s in base)]
+def candidates(text: str, base: list[Span], least: int = SHORTEST) -> Iterator[tuple[int, int, str]]:
+    """Runs of at least `least` characters outside of base spans, which are sorted by start; and
+    the classes of their characters."""
+    shape = classes(text)
+    k, n, covered = 0, len(base), 0
+    for m in re.finditer(r"[dhlHL+/_.=-]{%d,}" % least, shape):
+        at, end = m.span()
+        at = max(at, covered)
+        while k < n and base[k].start < end:
+            if base[k].start - at >= least:
+                yield at, base[k].start, shape[at:base[k].start]
+            covered = max(covered, base[k].end)
+            at = max(at, covered)
+            k += 1
+        if end - at >= least:
+            yield at, end, shape[at:end]
 
 
 class Formats(NamedTuple):
@@ -82,55 +105,88 @@ class Formats(NamedTuple):
     labels: tuple[tuple[str, Automaton, float], ...]
     ordinary: Automaton | None
 
-    def judge(self, text: str) -> tuple[str, float] | None:
-        usual = self.ordinary.score(text) if self.ordinary else None
+    def judge(self, shape: str) -> tuple[str, float] | None:
+        """The label, if any, and the score of a string given by the classes of its characters."""
+        usual = self.ordinary.score_classes(shape) if self.ordinary else None
         best = None
         for kind, automaton, least in self.labels:
-            score = automaton.score(text)
+            score = automaton.score_classes(shape)
             if score >= least and (usual is None or score > usual) and (not best or score > best[1]):
                 best = kind, score
         return best
 
 
-def all_spans(text: str | None, formats: Formats) -> tuple[list[Span], int]:
+class _Judge(dict):
+    """Judgements by shape, remembered for short ones."""
+
+    def __init__(self, formats: Formats):
+        super().__init__()
+        self.formats = formats
+
+    def __missing__(self, shape: str):
+        found = self.formats.judge(shape)
+        if len(shape) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[shape] = found
+        return found
+
+
+def all_spans(text: str | None, formats: Formats, judge: dict | None = None) -> tuple[list[Span], int]:
     """Base spans and learned ones by start, base first; and how many are base."""
     if not text:
         return [], 0
+    judge = _Judge(formats) if judge is None else judge
     base = base_spans(text)
     spans = [(s.start, KINDS.index(s.kind), s) for s in base]
-    for start, end in candidates(text, base):
-        judged = formats.judge(text[start:end])
+    for start, end, shape in candidates(text, base) if formats.labels else ():
+        judged = judge[shape]
         if judged:
             spans.append((start, len(KINDS) + KINDS.index(judged[0]),
                           Span(f"like_{judged[0]}", start, end, judged[1])))
     return [s for _, _, s in sorted(spans, key=lambda x: x[:2])], len(base)
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        kinds, values = [], []
-        for text in batch.column("text").to_pylist():
-            if not text:
-                continue
-            base = base_spans(text)
-            for s in base:
-                value = text[s.start:s.end]
-                if s.kind == "assign":
-                    value = _ASSIGN.match(value).group(2)
-                kinds.append(s.kind)
-                values.append(value[:EXAMPLE_CHARS])
-            for start, end in candidates(text, base):
-                kinds.append("ordinary")
-                values.append(text[start:min(end, start + EXAMPLE_CHARS)])
-        yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()),
-                                          "value": pa.array(values, pa.string())})
+def _examples(most: int):
+    """The `most` different examples of each kind in a task that come first by hash."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps: dict[str, list[tuple[int, str]]] = {}
+        known: dict[str, set[str]] = {}
+
+        def offer(kind: str, value: str) -> None:
+            heap, own = heaps.setdefault(kind, []), known.setdefault(kind, set())
+            order = zlib.crc32(value.encode())
+            if value in own or len(heap) >= most and order > -heap[0][0]:
+                return
+            heapq.heappush(heap, (-order, value))
+            own.add(value)
+            if len(heap) > most:
+                own.discard(heapq.heappop(heap)[1])
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                if not text:
+                    continue
+                base = base_spans(text)
+                for s in base:
+                    value = text[s.start:s.end]
+                    offer(s.kind, _ASSIGN.match(value).group(2) if s.kind == "assign" else value)
+                for start, end, _ in candidates(text, base):
+                    offer("ordinary", text[start:end])
+        rows = [(kind, value, -order) for kind, heap in heaps.items() for order, value in heap]
+        yield pa.RecordBatch.from_pydict({
+            name: pa.array([row[k] for row in rows], kind) for k, (name, kind) in enumerate((
+                ("kind", pa.string()), ("value", pa.string()), ("place", pa.int64())))})
+
+    return work
 
 
 def learn_formats(docs: DataFrame, examples: int = EXAMPLES) -> Formats:
     """Automata from at most `examples` different strings per label, chosen by hash."""
     texts = clean_table(docs, text="text").filter("text is not null")
-    found = map_batches(texts, _examples, "kind string, value string").distinct()
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
+    found = map_batches(texts, _examples(examples), "kind string, value string, place long").distinct()
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("place", "value"))
     chosen = written_table(found.withColumn("rank", rank).filter(F.col("rank") <= examples)
                            .select("kind", "value"), "examples").collect()
     by_kind: dict[str, list[str]] = {}
@@ -139,11 +195,11 @@ def learn_formats(docs: DataFrame, examples: int = EXAMPLES) -> Formats:
     labels = []
     for kind in KINDS:
         if own := sorted(by_kind.get(kind, [])):
-            automaton = Automaton.learn(own)
+            automaton = Automaton.learn(own, most=EXAMPLE_CHARS)
             scores = sorted(automaton.score(x) for x in own)
             labels.append((kind, automaton, scores[int(len(scores) * LEAST_LIKELY)]))
     ordinary = sorted(by_kind.get("ordinary", []))
-    return Formats(tuple(labels), Automaton.learn(ordinary) if ordinary else None)
+    return Formats(tuple(labels), Automaton.learn(ordinary, most=EXAMPLE_CHARS) if ordinary else None)
 
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
@@ -155,8 +211,9 @@ def find_secrets(docs: DataFrame, formats: Formats) -> DataFrame:
     """(doc_id, spans, n_base) of each row; the base spans have score 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _Judge(formats)
         for batch in batches:
-            found = [all_spans(text, formats) for text in batch.column("text").to_pylist()]
+            found = [all_spans(text, formats, judge) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
                 "spans": pa.array([[s._asdict() for s in spans] for spans, _ in found], _SPANS),
@@ -166,9 +223,9 @@ def find_secrets(docs: DataFrame, formats: Formats) -> DataFrame:
                        f"doc_id long, spans {SPANS}, n_base long")
 
 
-def masked(text: str | None, formats: Formats, mark: str) -> str | None:
+def masked(text: str | None, formats: Formats, mark: str, judge: dict | None = None) -> str | None:
     """The text with every stretch of spans replaced by the mark."""
-    spans, _ = all_spans(text, formats)
+    spans, _ = all_spans(text, formats, judge)
     parts, at = [], 0
     for s in spans:
         if s.start >= at:
@@ -178,14 +235,13 @@ def masked(text: str | None, formats: Formats, mark: str) -> str | None:
 
 
 def mask_secrets(docs: DataFrame, formats: Formats, mark: str = "[SECRET]") -> DataFrame:
-    """The rows with all their columns, their secrets replaced."""
+    """The rows with all their columns, their secrets replaced; only texts go to Python."""
+    prepare(docs.sparkSession)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = [masked(x, formats, mark) for x in batch.column(at).to_pylist()]
-            columns = batch.columns
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+    @F.arrow_udf("string")
+    def masking(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        judge = _Judge(formats)
+        for batch in texts:
+            yield pa.array([masked(x, formats, mark, judge) for x in batch.to_pylist()], pa.string())
 
-    return map_batches(docs, work, docs.schema)
+    return docs.withColumn("text", masking(F.col("text")))

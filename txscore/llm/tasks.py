@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 import txscore
 from txscore.session import shared_dir
 
-__all__ = ["SLICE_BYTES", "clean_table", "col", "map_batches", "shared_dir", "ship", "slices",
+__all__ = ["SLICE_BYTES", "clean_table", "col", "keep_texts", "map_batches", "prepare", "shared_dir", "ship", "slices",
            "text_bytes", "written_table"]
 
 #: Text bytes that are expanded to arrays at once; one text longer than this is one slice.
@@ -83,15 +83,35 @@ def written_table(df: DataFrame, name: str, at_most: int | None = None,
     return df.sparkSession.read.option("parquet.hadoop.vectored.io.enabled", "false").parquet(path)
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Ship the package, and bound the session's Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return ship(spark)
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
     """`mapInArrow` with the package shipped first and batches bounded."""
-    spark = ship(df.sparkSession)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    prepare(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
+def keep_texts(df: DataFrame, judge: Callable[[np.ndarray, np.ndarray], list[bool]],
+               text: str = "text") -> DataFrame:
+    """The rows whose text is kept by `judge`, which gets the bytes of several texts and their
+    offsets. Only texts go to Python and only flags come back; the rows stay where they are."""
+    prepare(df.sparkSession)
+
+    @F.arrow_udf("boolean")
+    def kept(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            rows = pa.RecordBatch.from_arrays([batch], names=["text"])
+            yield pa.array([x for _, data, offsets in slices(rows) for x in judge(data, offsets)], pa.bool_())
+
+    return df.filter(kept(col(text)))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and n + 1 offsets into them; null counts as empty."""
     if column.null_count:
