@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which `run` writes as Parquet to
 the shared folder and reads back, so every stage works on all its predecessor kept and a lost
-executor costs part of one stage. All but the last return the columns of documents.
+executor costs part of one stage. All but the last return the columns of documents. Stages that
+only drop rows send texts to Python and get flags or ids back.
+
+Defined results: null texts and those without a letter go in the first stage, so the others see
+them only in tests, where they stay as they are; rows that repeat an id and a text are judged
+alike and stay or go together; a null id groups with nothing; of ties the smallest id stays; an
+empty table passes through all stages empty. Other columns are passed through, whatever their
+names, up to the last stage.
 """
 
 from __future__ import annotations
@@ -19,6 +26,10 @@ from txscore.llm.secrets import learn_formats, mask_secrets
 from txscore.llm.tasks import written_table
 
 
+#: Ids that are sent to every task; more meet the documents in a shuffled join.
+BROADCAST_IDS = 1_000_000
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that their labels teach; the others go."""
     teachers = docs.filter(~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
@@ -27,8 +38,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    """One document, that with the smallest id, of each group of near duplicates.
+
+    A stage on word shingles takes five words; documents with a null id stay. The ids that go are
+    counted: up to `BROADCAST_IDS` of them reach every task, so texts are not shuffled."""
+    gone = written_table(near_duplicates(docs, shingle=5).filter("not kept and doc_id is not null")
+                         .select("doc_id").distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
