@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txscore.operators import cleaning, serving
+from txscore.sources import readers, writers
 
 
 def names(df):
@@ -27,6 +28,48 @@ def test_latest_sorts_the_text_and_filters_first(make_scored):
     assert serving.lookup_one(serving.latest(df), "C").count() == 1
 
 
+@pytest.fixture
+def stored(spark, make_scored, tmp_path):
+    """Forty rows on twenty days, every fifth one predicted positive, and two without a day."""
+    rows = [{"trans_num": f"A{k:02}", "trans_date_trans_time": f"2024-01-{1 + k // 2:02} {k % 24:02}:00:00",
+             "prediction": float(k % 5 == 0)} for k in range(40)]
+    rows += [{"trans_num": "B0", "trans_date_trans_time": "no date"},
+             {"trans_num": "B1", "trans_date_trans_time": "", "prediction": 1.0}]
+    writers.write_scored(make_scored(*rows), str(tmp_path / "scored"))
+    return readers.read_scored(spark, str(tmp_path / "scored"))
+
+
+@pytest.mark.parametrize("fraud_only", [False, True])
+@pytest.mark.parametrize("limit", [1, 2, 3, 9, 40, 1000])
+def test_latest_of_a_stored_table_is_that_of_all_rows(stored, limit, fraud_only):
+    got = serving.latest_stored(stored, limit, fraud_only).collect()
+    assert got == serving.latest(stored, limit, fraud_only).collect()
+
+
+def test_latest_of_a_stored_table_reads_the_newest_days(stored):
+    def days(rows):
+        return {r[0] for r in rows.select("trans_day").distinct().collect()} - {None}
+
+    def folders(rows):
+        return {r[0].split("trans_day=")[1].split("/")[0] for r in rows.select(F.input_file_name()).distinct().collect()}
+
+    one = serving.newest_days(stored, 2)
+    assert folders(one) == {"2024-01-20", "__HIVE_DEFAULT_PARTITION__"}
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert "trans_day" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(days(serving.newest_days(stored, 3))) == 3  # one day, then two
+    assert len(days(serving.newest_days(stored, 1, fraud_only=True))) <= 3
+    known = stored.filter("trans_day is not null")
+    assert folders(serving.newest_days(known, 1)) == {"2024-01-20"}
+
+
+def test_days_come_from_folder_names(spark, stored):
+    days = serving.stored_days(stored)
+    assert days[0] == dt.date(2024, 1, 20) and days[19] == dt.date(2024, 1, 1) and days[20:] == [None]
+    assert spark.conf.get("spark.sql.optimizer.metadataOnly") == "false"
+    assert serving.latest_stored(stored.limit(0)).collect() == []
+
+
 def test_search_wildcards_and_bounds(make_scored):
     df = make_scored(
         {"trans_num": "A", "merchant": "Fraud_Store", "amt": 10.0, "cc_num": 5},

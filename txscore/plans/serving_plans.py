@@ -25,16 +25,20 @@ _RATES = f"""count(*) AS total_count,
          AS predicted_fraud_rate"""
 
 
-def _as_of():
+def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
-@query("latest", _WITH + _STATUS + f"FROM scored {_NEWEST} LIMIT 1000")
+def newest_sql(limit: int, where: str = "") -> str:
+    return _WITH + _STATUS + f"FROM scored {where} {_NEWEST} LIMIT {limit}"
+
+
+@query("latest", newest_sql(1000))
 def latest(spark, sf_dir):
     return serving.latest(fixtures.scored(spark, sf_dir))
 
 
-@query("latest_positive", _WITH + _STATUS + f"FROM scored WHERE prediction >= 1 {_NEWEST} LIMIT 50")
+@query("latest_positive", newest_sql(50, "WHERE prediction >= 1"))
 def latest_positive(spark, sf_dir):
     return serving.latest(fixtures.scored(spark, sf_dir), 50, fraud_only=True)
 
@@ -76,7 +80,7 @@ def lookup_one(spark, sf_dir):
 
 @query("trailing_window", _WITH + f"SELECT trans_num, amt FROM scored WHERE {_SINCE}")
 def trailing_window(spark, sf_dir):
-    return serving.trailing_window(fixtures.scored(spark, sf_dir), 24, _as_of()).select(
+    return serving.trailing_window(fixtures.scored(spark, sf_dir), 24, as_of()).select(
         "trans_num", "amt")
 
 
@@ -84,7 +88,7 @@ def trailing_window(spark, sf_dir):
 SELECT * REPLACE ({r6("prob_0")} AS prob_0, {r6("prob_1")} AS prob_1)
 FROM scored WHERE {_SINCE} {_NEWEST}""")
 def report(spark, sf_dir):
-    return serving.report(fixtures.scored(spark, sf_dir), as_of=_as_of())
+    return serving.report(fixtures.scored(spark, sf_dir), as_of=as_of())
 
 
 @query("overall_stats", _WITH + f"""
@@ -104,7 +108,7 @@ SELECT date_trunc('hour', {TIME}) AS hour, count(*) AS total_count,
        count(*) FILTER (prediction >= 1) AS predicted_fraud_count
 FROM scored WHERE {TIME} >= TIMESTAMP '{AS_OF}' - INTERVAL 72 HOUR GROUP BY 1""")
 def hourly_series(spark, sf_dir):
-    return serving.hourly_series(fixtures.scored(spark, sf_dir), 72, _as_of())
+    return serving.hourly_series(fixtures.scored(spark, sf_dir), 72, as_of())
 
 
 @query("hourly_rate", _WITH + f"""
@@ -115,7 +119,7 @@ SELECT date_trunc('hour', {TIME}) AS hour, count(*) AS total_count,
 FROM scored WHERE {_SINCE} GROUP BY 1""")
 def hourly_rate(spark, sf_dir):
     return serving.with_hourly_rate(
-        serving.hourly_series(fixtures.scored(spark, sf_dir), 24, _as_of()))
+        serving.hourly_series(fixtures.scored(spark, sf_dir), 24, as_of()))
 
 
 @query("by_category", _WITH + f"SELECT category, {_RATES} FROM scored GROUP BY category")
