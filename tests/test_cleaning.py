@@ -118,3 +118,52 @@ def test_label_split(make):
     df = make({}, {"trans_num": "T2", "is_fraud": 1}, {"trans_num": "T3", "is_fraud": None})
     positives, negatives = cleaning.label_split(df)
     assert (keys(positives), keys(negatives)) == (["T2"], ["T1"])
+
+
+def first_child_of_union(df):
+    """The lines of a plan below the first child of its union."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = next(k for k, line in enumerate(lines) if line.strip().split("- ")[-1].startswith("Union"))
+    column = lines[at + 1].index(":-")
+    own = [lines[at + 1]]
+    for line in lines[at + 2:]:
+        if line[column] != ":":
+            break
+        own.append(line)
+    return "\n".join(own)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_rows_of_single_keys_are_not_sorted(spark, sf_dir, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(cleaning, "BROADCAST_ROWS", 0)
+    dirty = fixtures.tx_dirty(spark, sf_dir)
+    for df in (cleaning.clean_stream(dirty, order=["copy_no"]), cleaning.dedup(dirty)):
+        text = first_child_of_union(df)
+        assert "LeftAnti" in text and "Sort " not in text and "SortAggregate" not in text
+        assert ("Exchange hashpartitioning" not in text) == broadcast
+        assert df.count() == df.select("trans_num").distinct().count()
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_survivors_among_repeats_nulls_and_hot_keys(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(cleaning, "BROADCAST_BYTES", 0)
+    rows = [(None, 1, 5), (None, 1, 4), (1, None, 3), (1, None, 2), (1, 1, 1), (2, 2, 9), (2, 2, 8)]
+    rows += [(7, 7, k) for k in range(100, 200)] + [(8, k, 0) for k in range(50)]
+    df = spark.createDataFrame(rows, "a int, b int, n int").repartition(3)
+    least = {}
+    for a, b, n in rows:
+        least[a, b] = min(n, least.get((a, b), n))
+    got = cleaning.dedup_first(df, ["a", "b"], ["n"]).collect()
+    assert sorted(map(str, got)) == sorted(str(type(got[0])(a=a, b=b, n=n)) for (a, b), n in least.items())
+    anyone = cleaning.dedup(df, ["a", "b"]).collect()
+    assert {(r.a, r.b) for r in anyone} == set(least) and len(anyone) == len(least)
+    assert {tuple(r) for r in anyone} <= set(rows)
+
+
+def test_a_table_without_repeats_passes_as_it_is(spark):
+    df = spark.range(5).selectExpr("id", "id * 2 as x")
+    assert cleaning.dedup(df, ["id"]) is df
+    assert cleaning.dedup(df.limit(0), ["id"]).collect() == []
+    assert cleaning.dedup(df.select("id").union(df.select("id")), ["id"]).count() == 5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -14,8 +14,9 @@ from txscore.constants import (
 )
 from txscore.functions import class_probability, parse_ts
 from txscore.functions.numeric import missing
-from txscore.operators.features import with_model_features
+from txscore.operators.features import BROADCAST_BYTES, BROADCAST_ROWS, with_model_features
 from txscore.schema import SCORED
+from txscore.session import written_table
 
 
 def drop_missing(df: DataFrame, required: Sequence[str] | None = None) -> DataFrame:
@@ -35,9 +36,40 @@ def drop_column_if_present(df: DataFrame, name: str = ORDINAL) -> DataFrame:
     return df.drop(name)
 
 
+def pick_among_repeated(
+    df: DataFrame, keys: Sequence[str], pick: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """`pick` a survivor per key where there is a choice; rows of single keys pass as they are.
+
+    The first phase counts the keys alone and writes those that repeat. In the second, rows
+    whose key is not among them are neither sorted nor, while the repeated keys are few by
+    count and size, shuffled; more of them are hashed in a shuffled join. Only rows of repeated
+    keys reach `pick`. Null is a key like others. `df` is read three times, once for its keys
+    only, so it should be a table at rest and give the same rows each time.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    repeated = written_table(counted.toDF(*[f"_key_{k}" for k in range(len(keys))]), "repeated-keys")
+    size = F.coalesce(F.sum(reduce(lambda x, y: x + y, [
+        F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in repeated.columns])), F.lit(0))
+    rows, key_bytes = repeated.agg(F.count("*"), size).first()
+    if not rows:
+        return df
+    small = rows <= BROADCAST_ROWS and key_bytes <= BROADCAST_BYTES
+    repeated = F.broadcast(repeated) if small else repeated.hint("shuffle_hash")
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_key_{k}")) for k, name in enumerate(keys)])
+    return df.join(repeated, same, "left_anti").unionByName(pick(df.join(repeated, same, "left_semi")))
+
+
 def dedup(df: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
-    """One row per key, any of them. Partial aggregation keeps a hot key to one row per task."""
-    return df.dropDuplicates(list(keys))
+    """One row per key, any of them; on a stream for the life of the query.
+
+    Partial aggregation keeps a hot key to one row per task.
+    """
+    if df.isStreaming:
+        return df.dropDuplicates(list(keys))
+    if set(df.columns) == set(keys):  # no row is wider than its key
+        return df.distinct()
+    return pick_among_repeated(df, keys, lambda rows: rows.dropDuplicates(list(keys)))
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -47,11 +79,10 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     key sends one row per task.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_position", F.row_number().over(window))
+    return pick_among_repeated(df, keys, lambda rows: (
+        rows.withColumn("_position", F.row_number().over(window))
         .filter(F.col("_position") == 1)
-        .drop("_position")
-    )
+        .drop("_position")))
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
