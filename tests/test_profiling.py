@@ -21,16 +21,53 @@ def test_percentile_like_numpy(spark, values, p):
     assert got == pytest.approx(np.quantile(values, p), rel=1e-9, abs=1e-9)
 
 
-def test_percentile_with_a_coarse_sketch_and_a_hot_value(spark):
-    # A third of the rows share one value, and brackets are wide: still exact.
+@pytest.fixture
+def coarse(monkeypatch):
+    """Sketches that are off by much, brackets that miss, and hardly any values counted one by one."""
+    monkeypatch.setattr(percentiles, "SKETCH_K", 8)
+    monkeypatch.setattr(percentiles, "FEW", 300)
+    monkeypatch.setattr(percentiles, "SALTS", (3, 2))
+    return lambda margin: monkeypatch.setattr(percentiles, "MARGIN", margin)
+
+
+PROBABILITIES = [0.0, 0.01, 0.3, 0.5, 0.62, 0.75, 0.99, 0.9999, 1.0]
+
+
+@pytest.mark.parametrize("margin", [0.0, 0.05])
+def test_percentile_with_a_coarse_sketch_and_a_hot_value(spark, coarse, margin):
+    # A third of the rows share one value; without a margin most brackets miss: still exact.
+    coarse(margin)
     rng = np.random.default_rng(3)
     values = np.concatenate([np.full(5000, 40.0), rng.exponential(30, 10000)])
-    probabilities = [0.01, 0.3, 0.5, 0.62, 0.75, 0.99, 0.9999]
-    df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(8)
-    got = percentiles.percentiles(df, {"x": F.col("x")}, probabilities, accuracy=50)
-    found = {r["probability"]: r["percentile"] for r in got.collect()}
-    for p in probabilities:
-        assert found[p] == pytest.approx(np.quantile(values, p), rel=1e-12)
+    df = spark.createDataFrame(pd.DataFrame({"x": values, "y": rng.integers(0, 2, len(values)) * 1.0,
+                                             "z": np.arange(len(values)) * 1e300 / len(values)})).repartition(8)
+    got = percentiles.percentiles(df, {"x": F.col("x"), "y": F.col("y"), "z": F.col("z")}, PROBABILITIES).toPandas()
+    assert len(got) == 3 * len(PROBABILITIES)
+    pdf = df.toPandas()
+    for row in got.itertuples():
+        assert row.percentile == pytest.approx(np.quantile(pdf[row.name], row.probability), rel=1e-12)
+
+
+def test_a_missed_bracket_goes_on_beside_it():
+    w = percentiles._Wanted("x", 50, inside=100)
+    w.bracket = (10.0, 20.0)
+    assert not w.narrow(60, 1, 9, 1) and (w.low, w.high, w.before, w.inside) == (None, 10.0, 0, 60)
+    w.bracket = (1.0, 5.0)
+    assert not w.narrow(20, 5, 20, 3) and (w.low, w.high, w.before, w.inside) == (5.0, 10.0, 48, 12)
+    w.bracket = (6.0, 6.0)
+    assert not w.narrow(49, 4, 0, 4) and w.value == 6.0
+
+
+def test_no_step_takes_a_sketch_from_every_task(spark):
+    df = spark.range(0, 1000, numPartitions=40).select(
+        (F.col("id") % 2).cast("string").alias("name"), F.col("id").cast("double").alias("value"))
+    tree = percentiles.in_a_tree(df, [percentiles._sketch(F.col("value")).alias("s"), F.count("*").alias("n")],
+                                 [F.kll_merge_agg_double("s").alias("s"), F.sum("n").alias("n")])
+    text = tree._jdf.queryExecution().executedPlan().toString()
+    # By task and name, by salt and name, and only then by name.
+    assert [x.split(", 4)")[0].count(",") for x in text.split("Exchange hashpartitioning(")[1:]] == [0, 1, 1]
+    rows = tree.select("n", F.kll_sketch_get_n_double("s").alias("m")).collect()
+    assert [(r["n"], r["m"]) for r in rows] == [(500, 500)] * 2
 
 
 def test_percentile_of_nothing_has_no_row(spark):
@@ -126,6 +163,35 @@ def test_density_like_numpy(spark):
     assert len(rows) == 40 and max(r["x"] for r in rows) == pytest.approx(pdf.x.quantile(0.99))
 
 
+def test_density_evaluates_only_points_in_reach(spark):
+    # Two tight heaps far apart, a class far beyond the grid, and one value out on its own.
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(10, 0.5, 3000), rng.normal(12, 0.5, 3000), [400.0]])
+    pdf = pd.DataFrame({"x": x, "is_fraud": np.zeros(len(x), int)})
+    pdf = pd.concat([pdf, pd.DataFrame({"x": [1e6, 1e6 + 1], "is_fraud": [1, 1]})])
+    df = spark.createDataFrame(pdf)
+    spread, _, _ = exploration.kernel_rows(df, "x", upto=0.9997)
+    assert spread.count() < 0.8 * 200 * df.distinct().count()
+    rows = exploration.density_by_class(df, "x", upto=0.9997).collect()
+    assert len(rows) == 400
+    for r in rows:
+        own = pdf[pdf.is_fraud == r["is_fraud"]].x.to_numpy()
+        h = own.std(ddof=1) * len(own) ** -0.2
+        want = np.exp(-0.5 * ((r["x"] - own) / h) ** 2).sum() / (len(own) * h * np.sqrt(2 * np.pi))
+        assert r["density"] == pytest.approx(want, rel=1e-9, abs=1e-300)
+
+
+def test_moments_keep_their_digits(spark, monkeypatch):
+    monkeypatch.setattr(percentiles, "SALTS", (5, 2))
+    values = 1e9 + np.random.default_rng(1).normal(0, 1e-3, 2000)
+    df = frame(spark, [float(v) for v in values]).repartition(16)
+    row = exploration.moments(percentiles.long_values(df, {"x": F.col("x")})).first()
+    assert row["std"] == pytest.approx(values.std(ddof=1), rel=1e-6)
+    assert (row["count"], row["min"], row["max"]) == (2000, values.min(), values.max())
+    one = exploration.moments(percentiles.long_values(frame(spark, [3.0]), {"x": F.col("x")})).first()
+    assert (one["mean"], one["std"]) == (3.0, None)
+
+
 def test_density_without_spread_is_null(spark):
     df = spark.createDataFrame([(1.0, 0), (1.0, 0), (2.0, 1)], "x DOUBLE, is_fraud INT")
     assert {r["density"] for r in exploration.density_by_class(df, "x", points=3).collect()} == {None}
