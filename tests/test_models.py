@@ -178,3 +178,72 @@ def test_undersampling_treats_a_null_key_as_the_split_does(spark):
 
     df = spark.createDataFrame([(None, 0)] * 5 + [("T1", 1)], "trans_num string, is_fraud int")
     assert hash_undersample(df, 1.0).count() == 6 and hash_undersample(df, 0.0).count() == 1
+
+
+def plain_areas(scores):
+    """Both areas from every threshold, highest first."""
+    p, n = sum(y for _, y in scores), sum(1 - y for _, y in scores)
+    roc, pr = [(0.0, 0.0)], []
+    for t in sorted({s for s, _ in scores}, reverse=True):
+        tp, fp = sum(y for s, y in scores if s >= t), sum(1 - y for s, y in scores if s >= t)
+        roc.append((fp / n if n else 0.0, tp / p if p else 0.0))
+        pr.append((tp / p if p else 0.0, tp / (tp + fp)))
+    roc.append((1.0, 1.0))
+    pr.insert(0, (0.0, pr[0][1]))
+    return [sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(line, line[1:])) for line in (roc, pr)]
+
+
+@pytest.mark.parametrize("a_task", [7, 1_000_000])
+def test_areas_from_prefix_sums(spark, monkeypatch, a_task):
+    monkeypatch.setattr(evaluation, "SCORES_A_TASK", a_task)
+    rng = np.random.default_rng(4)
+    for digits, share in ((1, 0.3), (6, 0.02), (2, 1.0), (2, 0.0)):
+        scores = [(float(round(s, digits)), int(y)) for s, y in zip(rng.random(120), rng.random(120) < share)]
+        df = spark.createDataFrame([(y, 0.0, s) for s, y in scores], "is_fraud INT, prediction DOUBLE, p DOUBLE")
+        got = evaluation.areas(evaluation.score_counts(df.repartition(3), "p"))
+        assert got == pytest.approx(plain_areas(scores), abs=1e-12)
+    empty = evaluation.score_counts(df.limit(0), "p")
+    assert evaluation.areas(empty) == (0.0, 0.0)
+
+
+def test_only_sizes_of_ranges_meet(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "SCORES_A_TASK", 10)
+    df = spark.range(100).select((F.col("id") % 2).alias("is_fraud"), F.lit(1.0).alias("prediction"),
+                                 F.col("id").cast("double").alias("p"))
+    sums = evaluation._prefix_sums(evaluation.score_counts(df, "p"), "is_fraud")
+    assert sums.count() == 100 and sums.agg(F.max("higher_p"), F.max("all_n")).first()[:] == (50.0, 50.0)
+    text = sums._jdf.queryExecution().executedPlan().toString()
+    single = [line for line in text.split("\n") if "Exchange SinglePartition" in line]
+    assert len(single) <= 2 and "score" in text.split("Sort [part")[1][:40] and "rangepartitioning" not in text
+
+
+@pytest.mark.parametrize("a_task", [3, 500_000])
+def test_frequency_index_is_that_of_the_indexer(spark, monkeypatch, a_task):
+    from pyspark.ml.feature import StringIndexer
+
+    monkeypatch.setattr(modeling, "LABELS_A_TASK", a_task)
+    values = ["b", "a", "b", None, "c", "a", "", "zz", "é"] + ["hot"] * 20 + [f"v{k}" for k in range(30)]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "n int, v string").repartition(4)
+    plain = StringIndexer(inputCol="v", outputCol="i", handleInvalid="keep").fit(df).transform(df)
+    index = modeling.frequency_index(df, "v")
+    got = modeling.with_frequency_index(df, "v", index)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()), key=lambda r: r[0])
+    new = spark.createDataFrame([(1, "unseen"), (2, None), (3, "hot")], df.schema)
+    assert [r["v_idx"] for r in modeling.with_frequency_index(new, "v", index).orderBy("n").collect()] == [37.0, 37.0, 0.0]
+    monkeypatch.setattr(modeling, "BROADCAST_ROWS", 0)
+    shuffled = modeling.with_frequency_index(df, "v", index)
+    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, got.collect()))
+    none = modeling.frequency_index(df.limit(0), "v")
+    assert none.collect() == [] and modeling.with_frequency_index(new, "v", none).first()["v_idx"] == 0.0
+
+
+def test_search_does_not_depend_on_how_rows_are_dealt(parts):
+    grid = {"maxIter": [2], "maxDepth": [1, 3]}
+    one = modeling.grid_search(parts[0], modeling.boosted_trees(), grid)
+    other = modeling.grid_search(parts[0].repartition(9), modeling.boosted_trees(), grid)
+    # Trees choose splits from a sample of rows, so they may differ a little; the hold-out does not.
+    assert one.metrics == pytest.approx(other.metrics, abs=0.05)
+    labels = [m.model.stages[0].labelsArray for m in (one, other)]
+    assert labels[0] == labels[1]
+    assert [type(s).__name__ for s in one.model.stages] == [
+        "StringIndexerModel", "VectorAssembler", "GBTClassificationModel"]

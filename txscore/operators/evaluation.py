@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.constants import BOOSTED_NAME, ENSEMBLE_NAME, FOREST_NAME, KEY, LABEL, METRICS
 from txscore.functions import class_probability, probability_vector, threshold_label
 from txscore.schema import METRICS_RECORD
+from txscore.session import written_table
 
 # Areas use every distinct score; a number of bins makes the curve an approximation.
 CURVE_BINS = 0
+#: Distinct scores that a task puts in order.
+SCORES_A_TASK = 1_000_000
 
 
 def _count_where(label: str, actual: int, predicted: int, weight: Column) -> Column:
@@ -75,21 +77,78 @@ def area(
         numBins=bins).evaluate(counts)
 
 
+def _prefix_sums(counts: DataFrame, label: str) -> DataFrame:
+    """For each distinct score its positives and negatives, those with a higher score, and all.
+
+    The scores are dealt by range, summed up within each range in its own task, and the sums of
+    the ranges before are added: one sort, whatever the number of areas that follow.
+    """
+    positive = F.when(F.col(label) == 1, F.col("weight")).otherwise(F.lit(0.0))
+    by_score = counts.groupBy("score").agg(
+        F.sum(positive).alias("p"), F.sum(F.col("weight") - positive).alias("n"))
+    parts = max(1, -(-counts.count() // SCORES_A_TASK))
+    if parts == 1:
+        dealt = by_score.withColumn("part", F.lit(0))
+    else:
+        dealt = written_table(by_score.repartitionByRange(parts, F.desc("score")).withColumn(
+            "part", F.spark_partition_id()), "scores-by-range")
+    sums = dealt.groupBy("part").agg(F.sum("p").alias("part_p"), F.sum("n").alias("part_n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(F.lit(0))
+    # One row per range.
+    before = sums.select("part", *(F.coalesce(F.sum(f"part_{c}").over(earlier), F.lit(0.0)).alias(f"before_{c}")
+                                   for c in "pn"), *(F.sum(f"part_{c}").over(every).alias(f"all_{c}") for c in "pn"))
+    higher = Window.partitionBy("part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.withColumns({
+        f"within_{c}": F.coalesce(F.sum(c).over(higher), F.lit(0.0)) for c in "pn"
+    }).join(F.broadcast(before), "part").select(
+        "p", "n", *((F.col(f"before_{c}") + F.col(f"within_{c}")).alias(f"higher_{c}") for c in "pn"),
+        "all_p", "all_n")
+
+
+def with_areas(counts: DataFrame, label: str = LABEL) -> DataFrame:
+    """One row (auc_roc, auc_pr) of counted scores, both by the trapezoids between all distinct
+    scores; without positives both are 0, without negatives both are 1."""
+    p, n, tp, fp = (F.col(c) for c in ("p", "n", "higher_p", "higher_n"))
+    all_p, all_n = F.max("all_p"), F.max("all_n")
+    after = F.try_divide(tp + p, tp + p + fp + n)
+    # The curve starts at the precision of the highest score.
+    before = F.when(tp + fp > 0, F.try_divide(tp, tp + fp)).otherwise(after)
+    below = F.sum(n * (tp + p * 0.5))
+    lifted = F.sum(p * (before + after) * 0.5)
+    return _prefix_sums(counts, label).agg(
+        F.when(F.coalesce(all_p, F.lit(0.0)) == 0, F.lit(0.0)).when(all_n == 0, F.lit(1.0))
+        .otherwise(below / (all_p * all_n)).alias("auc_roc"),
+        F.coalesce(F.try_divide(lifted, all_p), F.lit(0.0)).alias("auc_pr"))
+
+
+def areas(counts: DataFrame, label: str = LABEL) -> tuple[float, float]:
+    """areaUnderROC and areaUnderPR of counted scores, exact."""
+    row = with_areas(written_table(counts, "score-counts"), label).first()
+    return row["auc_roc"], row["auc_pr"]
+
+
 def evaluate(
     predictions: DataFrame, name: str, raw_col: str = "rawPrediction", label: str = LABEL,
     train_seconds: float | None = None, bins: int = CURVE_BINS,
 ) -> DataFrame:
-    """The metrics record of one model as one row."""
-    counts = score_counts(predictions, raw_col, label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        roc = area(counts, "areaUnderROC", label, bins)
-        pr = area(counts, "areaUnderPR", label, bins)
-        cells = with_precision_recall(confusion(counts, label, F.col("weight"))).first()
-    finally:
-        counts.unpersist()
+    """The metrics record of one model as one row.
+
+    The counted scores are written once; areas and confusion counts come from them in one plan.
+    With bins the areas are Spark's approximation.
+    """
+    counts = written_table(score_counts(predictions, raw_col, label), "score-counts")
+    cells = with_precision_recall(confusion(counts, label, F.col("weight")))
+    if bins:
+        both = counts.sparkSession.range(1).select(
+            F.lit(area(counts, "areaUnderROC", label, bins)).alias("auc_roc"),
+            F.lit(area(counts, "areaUnderPR", label, bins)).alias("auc_pr"))
+    else:
+        both = with_areas(counts, label)
+    row = cells.withColumn("areas", both.select(F.struct("auc_roc", "auc_pr")).scalar()).first()
     record = (
-        name, roc, pr, cells["precision"], cells["recall"], cells["f1"],
-        int(cells["tp"]), int(cells["tn"]), int(cells["fp"]), int(cells["fn"]), train_seconds)
+        name, row["areas"]["auc_roc"], row["areas"]["auc_pr"], row["precision"], row["recall"], row["f1"],
+        int(row["tp"]), int(row["tn"]), int(row["fp"]), int(row["fn"]), train_seconds)
     return predictions.sparkSession.createDataFrame([record], METRICS_RECORD)
 
 

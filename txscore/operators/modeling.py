@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.constants import (
@@ -20,6 +20,13 @@ from txscore.constants import (
     MAX_BINS, NUMERIC_FEATURES, SEED, TRAIN_SHARE,
 )
 from txscore.functions import class_probability
+from txscore.operators.evaluation import areas, score_counts
+from txscore.operators.features import BROADCAST_BYTES, BROADCAST_ROWS
+from txscore.operators.sampling import hash_split
+from txscore.session import written_table
+
+#: Labels of an index that a task ranks.
+LABELS_A_TASK = 500_000
 
 
 def index_names(columns: Sequence[str] = tuple(CATEGORICAL_FEATURES)) -> list[str]:
@@ -35,6 +42,47 @@ def string_indexer() -> StringIndexer:
         inputCols=CATEGORICAL_FEATURES, outputCols=index_names(), handleInvalid="keep")
 
 
+def frequency_index(df: DataFrame, column: str) -> DataFrame:
+    """(label, index, labels): the values of a column by falling frequency, ties by value, and how
+    many there are.
+
+    As the indexer above has it, for columns with more values than a driver or a task should
+    hold: the counts are dealt by range of rank, each range is numbered in its own task, and only
+    the sizes of the ranges meet.
+    """
+    label = F.col(column).cast("string")
+    counts = written_table(df.filter(F.col(column).isNotNull()).groupBy(label.alias("label")).agg(
+        F.count("*").alias("n")), "label-counts")
+    parts = max(1, -(-counts.count() // LABELS_A_TASK))
+    order = [F.desc("n"), F.asc("label")]
+    dealt = written_table(counts.repartitionByRange(parts, *order).withColumn(
+        "part", F.spark_partition_id()), "ranked-labels")
+    sizes = dealt.groupBy("part").agg(F.count("*").alias("size"))
+    # One row per range.
+    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"),
+                          F.sum("size").over(Window.partitionBy(F.lit(0))).alias("labels"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return dealt.withColumn("own", own).join(F.broadcast(before), "part").select(
+        "label", (F.col("before") + F.col("own")).cast("double").alias("index"),
+        F.col("labels").cast("double").alias("labels"))
+
+
+def with_frequency_index(df: DataFrame, column: str, index: DataFrame) -> DataFrame:
+    """Add `<column>_idx`; null and values that the index has not seen get the number of labels.
+
+    A small index, by rows and bytes, goes to every task; a larger one is joined by a shuffle, in
+    which adaptive execution splits hot values.
+    """
+    index = written_table(index, "index")
+    rows, size, labels = index.agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length("label")), F.lit(0)), F.max("labels")).first()
+    own = index.select(F.col("label").alias("_label"), F.col("index").alias(f"{column}_idx"))
+    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+        own = F.broadcast(own)
+    joined = df.join(own, F.col(column).cast("string") == F.col("_label"), "left").drop("_label")
+    return joined.withColumn(f"{column}_idx", F.coalesce(f"{column}_idx", F.lit(float(labels or 0))))
+
+
 def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=NUMERIC_FEATURES + index_names(), outputCol="features")
 
@@ -78,28 +126,34 @@ def grid_search(
 ) -> Fitted:
     """Single hold-out search decided by the area under the precision-recall curve.
 
-    The training rows are read once and kept for all fits.
+    Indexers and assembler are fitted once, for all points and the final model, and the rows of
+    vectors are kept for all fits. The hold-out is drawn by key, so metrics do not depend on how
+    rows are dealt. The best point, the first among equals, is fitted again on all rows.
     """
-    needed = [KEY, LABEL, "classWeight", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
-    rows = train.select(*[c for c in needed if c in train.columns]).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    search = TrainValidationSplit(
-        estimator=pipeline(classifier),
-        estimatorParamMaps=param_grid(classifier, grid),
-        evaluator=BinaryClassificationEvaluator(
-            labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderPR", numBins=0),
-        trainRatio=TRAIN_SHARE, parallelism=parallelism, seed=seed)
     started = time.monotonic()
+    needed = [KEY, LABEL, "classWeight", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
+    stages = Pipeline(stages=[string_indexer(), assembler()]).fit(train)
+    rows = stages.transform(train.select(*[c for c in needed if c in train.columns])).select(
+        KEY, LABEL, "classWeight", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    points = param_grid(classifier, grid)
+    fitting, held_out = hash_split(rows, TRAIN_SHARE, salt=f"grid-{seed}")
+
+    def metric(point: dict) -> float:
+        model = without_summary(classifier.copy(point).fit(fitting))
+        return areas(score_counts(model.transform(held_out)))[1]
+
     try:
-        fitted = search.fit(rows)
+        with ThreadPoolExecutor(min(parallelism, len(points))) as pool:
+            metrics = list(pool.map(inheritable_thread_target(train.sparkSession)(metric), points))
+        best = points[metrics.index(max(metrics))]
+        model = classifier.copy(best).fit(rows)
     finally:
         rows.unpersist()
-    return Fitted(
-        without_summary(fitted.bestModel), list(fitted.validationMetrics),
-        time.monotonic() - started)
+    # As an unfitted pipeline's model would be: the fitted stages, then the classifier.
+    return Fitted(without_summary(PipelineModel([*stages.stages, model])), metrics, time.monotonic() - started)
 
 
-def without_summary(model: PipelineModel) -> PipelineModel:
+def without_summary(model):
     """The same model without its training summary.
 
     A fresh forest's summary holds the session, and once the session has observed a query

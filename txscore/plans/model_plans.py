@@ -92,6 +92,20 @@ def string_index(spark, sf_dir):
         "trans_num", *modeling.index_names())
 
 
+_LARGE = [_index("merchant"), _index("trans_num")]
+
+
+@query("string_index_large", over(TX, *_LARGE) + """
+SELECT trans_num, merchant_idx, trans_num_idx FROM tx JOIN merchant_index USING (merchant)
+JOIN trans_num_index USING (trans_num)""")
+def string_index_large(spark, sf_dir):
+    """Indexes that no driver or task holds, of a column with hot values and of one with a value per row."""
+    rows = fixtures.tx(spark, sf_dir).select("trans_num", "merchant")
+    for column in ("merchant", "trans_num"):
+        rows = modeling.with_frequency_index(rows, column, modeling.frequency_index(rows, column))
+    return rows.select("trans_num", "merchant_idx", "trans_num_idx")
+
+
 @query("feature_vector", over(TX, FEATURES, *_INDEXES) + "SELECT trans_num, " + ", ".join(
     f"{r6(f'CAST({c} AS DOUBLE)')} AS f{i}" for i, c in enumerate(
         NUMERIC_FEATURES + [f"{c}_idx" for c in CATEGORICAL_FEATURES])) + f"""
