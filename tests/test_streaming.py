@@ -1,3 +1,5 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -7,9 +9,10 @@ from txscore import fixtures
 from txscore.operators import modeling, sampling
 from txscore.operators.cleaning import clean_stream, project_scored
 from txscore.operators.features import fit_reference, prepare_features
-from txscore.sources.readers import decode_messages
-from txscore.sources.writers import encode_messages, parquet_writer
+from txscore.sources.readers import decode_messages, read_committed
+from txscore.sources.writers import compact_committed, encode_messages, manifest_writer, parquet_writer
 from txscore.streaming import scoring
+from txscore.streaming.expiry import dedup_for
 
 
 @pytest.fixture
@@ -172,3 +175,67 @@ def test_two_checkpoints_write_side_by_side(spark, make, topic, tmp_path):
             scoring.clean_incoming(decode_messages(topic.stream())), parquet_writer(out),
             str(tmp_path / name), trigger=None).awaitTermination()
     assert keys(spark, out) == ["T1", "T1", "T2", "T2"]
+
+
+def test_a_reader_during_a_replay_sees_each_batch_once(spark, make_scored, tmp_path):
+    out = str(tmp_path / "out")
+    first = make_scored({}, {"trans_num": "T2"})
+    write = manifest_writer(out, run="r")
+    write(first, 0)
+    write(make_scored({"trans_num": "T3"}), 1)
+    assert keys_of(read_committed(spark, out)) == ["T1", "T2", "T3"]
+    before = read_committed(spark, out)  # begins here, reads during and after the replay
+    # The replay of batch 0 has written its rows, and is not committed yet.
+    half = f"{out}/run_id=r/batch_id=0/attempt={2 ** 62}"
+    from txscore.sources.writers import commits_of, write_scored
+    write_scored(make_scored({"trans_num": "T9"}), half)
+    assert keys_of(read_committed(spark, out)) == ["T1", "T2", "T3"]
+    assert keys_of(spark.read.parquet(out)) == ["T1", "T2", "T3", "T9"]  # without the manifest
+    spark.createDataFrame([("r", 0, 2 ** 62)], "run_id STRING, batch_id BIGINT, attempt BIGINT").write.mode(
+        "append").parquet(commits_of(out))
+    assert keys_of(read_committed(spark, out)) == ["T3", "T9"]
+    assert keys_of(before) == ["T1", "T2", "T3"]
+    compact_committed(spark, out, str(tmp_path / "days"))
+    assert keys(spark, str(tmp_path / "days")) == ["T3", "T9"]
+    manifest_writer(out, run="7")(first, 0)  # another run, with a name that looks like a number
+    assert keys_of(read_committed(spark, out)) == ["T1", "T2", "T3", "T9"]
+
+
+def keys_of(df):
+    return sorted(r["trans_num"] for r in df.select("trans_num").collect())
+
+
+def test_a_failed_attempt_leaves_no_commit(spark, make_scored, tmp_path, monkeypatch):
+    import txscore.sources.writers as module
+
+    out = str(tmp_path / "out")
+    manifest_writer(out, run="r")(make_scored({}), 0)
+    monkeypatch.setattr(module, "write_scored", lambda *a, **k: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        manifest_writer(out, run="r")(make_scored({"trans_num": "T2"}), 1)
+    assert keys_of(read_committed(spark, out)) == ["T1"]
+
+
+def at(minutes, **more):
+    return {"trans_date_trans_time": f"2024-01-07 {minutes // 60:02}:{minutes % 60:02}:00", **more}
+
+
+def test_keys_live_for_a_time_and_repeats_are_counted(spark, make, topic, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        scoring.configure_state(spark, 2)
+        topic.send("a", *texts(make(at(0), at(50), at(0, trans_num="T2"), at(200, trans_num="T2", job=None))))
+        topic.send("b", *texts(make(at(30), at(61), at(5, trans_num="T3"), at(100, trans_num="T2"))))
+        topic.send("c", *texts(make(at(119), at(122), at(1, trans_num="T3", trans_date_trans_time="no date"))))
+        query = scoring.start_scoring(
+            dedup_for(decode_messages(topic.stream()), timedelta(hours=1)),
+            manifest_writer(str(tmp_path / "out")), str(tmp_path / "checkpoint"), trigger=None)
+        query.awaitTermination()
+        got = read_committed(spark, str(tmp_path / "out")).collect()
+        assert sorted((r["trans_num"], r["trans_date_trans_time"][11:16]) for r in got) == [
+            ("T1", "00:00"), ("T1", "01:01"), ("T1", "02:02"), ("T2", "00:00"), ("T2", "01:40"), ("T2", "03:20"), ("T3", "00:05")]
+        assert {r["job"] for r in got if r["trans_date_trans_time"][11:16] == "03:20"} == {None}
+        counted = [(batch, n) for batch, _, name, n in scoring.progress_rows(query) if name == "repeats"]
+        assert counted == [(0, 1), (1, 1), (2, 2)]
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)

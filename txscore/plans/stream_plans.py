@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from txscore import fixtures
@@ -12,9 +14,11 @@ from txscore.plans.model_plans import agreement, split_sets, written_features
 from txscore.plans.oracle import FEATURES, SCORED, TX, over, r6
 from txscore.plans.registry import query
 from txscore.session import shared_dir, written_table
-from txscore.sources.readers import decode_messages
-from txscore.sources.writers import encode_messages, parquet_writer
+from txscore.schema import TRANSACTION
+from txscore.sources.readers import decode_messages, read_committed
+from txscore.sources.writers import encode_messages, manifest_writer, parquet_writer
 from txscore.streaming import scoring
+from txscore.streaming.expiry import dedup_for
 
 
 def message_stream(spark, sf_dir):
@@ -28,18 +32,23 @@ def doubled_messages(spark, sf_dir):
     return once.unionByName(junk).unionByName(message_stream(spark, sf_dir))
 
 
-def run(spark, df, path: str, checkpoint: str) -> None:
-    """Process what is there and stop.
+def run(spark, df, path: str, checkpoint: str, writer=parquet_writer, trigger: str | None = None):
+    """Process what is there and stop; returns the stopped query.
 
     State partitions are fixed in the checkpoint; here they follow the cores at hand.
     """
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     try:
-        stream = scoring.start_scoring(df, parquet_writer(path), checkpoint, trigger=None)
-        stream.awaitTermination()
+        stream = scoring.start_scoring(df, writer(path), checkpoint, trigger=trigger)
+        if trigger:
+            stream.processAllAvailable()
+            stream.stop()
+        else:
+            stream.awaitTermination()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+    return stream
 
 
 def written(spark, df, name: str):
@@ -98,3 +107,59 @@ def stream_score(spark, sf_dir):
     scored = scoring.score_stream(doubled_messages(spark, sf_dir), reference, fitted.model)
     return agreement(written(spark, scored, "scored"),
                      project_scored(modeling.score(rows, fitted.model)))
+
+
+_LATER = "strftime(trans_date_trans_time::TIMESTAMP + INTERVAL {} MINUTE, '%Y-%m-%d %H:%M:%S')"
+
+
+@query("stream_dedup_expiry", over(TX) + f"""
+SELECT trans_num, trans_date_trans_time, amt FROM tx
+UNION ALL SELECT trans_num, {_LATER.format(180)}, amt FROM tx WHERE unix_time % 7 = 0""")
+def stream_dedup_expiry(spark, sf_dir):
+    """A time to live of an hour: a copy ten minutes on is dropped, one three hours on comes
+    through, whether it arrives with the first or after a restart."""
+    once = fixtures.transactions_from(fixtures.stream_events(spark, sf_dir))
+    moved = {minutes: F.date_format(F.col("trans_date_trans_time").cast("timestamp")
+                                    + F.make_dt_interval(mins=F.lit(minutes)), "yyyy-MM-dd HH:mm:ss")
+             for minutes in (10, 180)}
+    early = once.filter("unix_time % 5 = 0").withColumn("trans_date_trans_time", moved[10])
+    late = once.filter("unix_time % 7 = 0").withColumn("trans_date_trans_time", moved[180])
+    path, checkpoint = shared_dir(spark, "expiry"), shared_dir(spark, "expiry-checkpoint")
+    scoring.configure_state(spark)
+    rows = once.unionByName(early).unionByName(late)
+    run(spark, dedup_for(rows.select(*TRANSACTION.names), timedelta(hours=1)), path, checkpoint)
+    return spark.read.parquet(path).select("trans_num", "trans_date_trans_time", "amt")
+
+
+_UNSCORABLE = "unix_time % 31 = 0 OR unix_time % 37 = 0"
+
+
+@query("stream_progress", over(TX) + f"""
+SELECT CAST(unix_time % 2 AS INTEGER) AS run, 3::BIGINT AS batches, count(*) AS input_rows,
+       count(*) FILTER ({_UNSCORABLE}) AS unscorable, count(*) FILTER (NOT ({_UNSCORABLE})) AS scored
+FROM tx GROUP BY 1""")
+def stream_progress(spark, sf_dir):
+    """Two runs by the clock over one checkpoint, three batches each, as their progress records
+    them: rows read, rows without a full set of features, and rows written."""
+    topic, path = shared_dir(spark, "topic"), shared_dir(spark, "progress")
+    checkpoint = shared_dir(spark, "progress-checkpoint")
+    clean = fixtures.tx(spark, sf_dir)
+    reference = fit_reference(clean)
+    spoiled = clean.withColumns({
+        "dob": F.expr("CASE WHEN unix_time % 31 = 0 THEN 'unknown' ELSE dob END"),
+        "trans_date_trans_time": F.expr(
+            "CASE WHEN unix_time % 37 = 0 THEN 'no date' ELSE trans_date_trans_time END")})
+    found = []
+    for part in range(2):
+        # Dealt by hash, so each of the three files has rows.
+        encode_messages(spoiled.filter(F.col("unix_time") % 2 == part)).repartition(3, "key").write.mode(
+            "append").parquet(topic)
+        messages = spark.readStream.schema("key STRING, value STRING").option("maxFilesPerTrigger", 1).parquet(topic)
+        stream = run(spark, scoring.stream_features(messages, reference), path, checkpoint, manifest_writer, "1 second")
+        found += [(part, *row) for row in scoring.progress_rows(stream)]
+    progress = spark.createDataFrame(found, "run INT, batch_id LONG, input_rows LONG, counter STRING, n LONG")
+    written = read_committed(spark, path).groupBy((F.col("unix_time") % 2).cast("int").alias("run")).agg(
+        F.count("*").alias("scored"))
+    return progress.filter("counter = 'unscorable'").groupBy("run").agg(
+        F.countDistinct("batch_id").alias("batches"), F.sum("input_rows").alias("input_rows"),
+        F.sum("n").alias("unscorable")).join(written, "run")

@@ -85,6 +85,30 @@ def read_scored(
     return spark.read.parquet(path)
 
 
+#: What a batch is known by in the manifest, and which of its attempts counts.
+COMMIT = "run_id STRING, batch_id BIGINT, attempt BIGINT"
+
+
+def commits_of(path: str) -> str:
+    """Where the manifest of a folder of batches is; readers of the folder itself pass over it."""
+    return f"{path}/_commits"
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a folder with a manifest: of each batch the last attempt that was committed.
+
+    The manifest's files are listed before the rows' files, so every attempt in it is found. There
+    is nothing to read before the first commit: that raises as for a folder that is not there.
+    """
+    commits = spark.read.schema(COMMIT).parquet(commits_of(path))
+    latest = commits.groupBy("run_id", "batch_id").agg(F.max("attempt").alias("attempt"))
+    rows = spark.read.parquet(path)
+    named = rows.withColumns({"run_id": F.col("run_id").cast("string"), "batch_id": F.col("batch_id").cast("long"),
+                              "attempt": F.col("attempt").cast("long")})
+    return named.join(latest, ["run_id", "batch_id", "attempt"], "left_semi").select(
+        [c for c in rows.columns if c != "attempt"])
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

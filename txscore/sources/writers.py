@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txscore.operators.serving import report, with_event_time
+from txscore.sources.readers import COMMIT, commits_of, read_committed
 
 log = logging.getLogger(__name__)
 
@@ -99,12 +101,34 @@ def parquet_writer(path: str, run: str | None = None) -> BatchWriter:
     return write
 
 
+def manifest_writer(path: str, run: str | None = None) -> BatchWriter:
+    """Each attempt at a micro-batch has a folder of its own, and counts once it is in the manifest.
+
+    A replay writes beside the attempt before it and replaces it with one appended line, so
+    readers that follow the manifest (`read_committed`) see the batch whole, once, at any moment,
+    and a reader that has begun keeps its files. Attempts are ordered by the driver's clock.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own, attempt = run or run_of(batch), time.time_ns()
+        write_scored(batch, f"{path}/run_id={own}/batch_id={batch_id}/attempt={attempt}", mode="error")
+        batch.sparkSession.createDataFrame([(own, batch_id, attempt)], COMMIT).coalesce(1).write.mode(
+            "append").parquet(commits_of(path))
+
+    return write
+
+
 def compact(spark: SparkSession, path: str, to: str) -> None:
     """The scored rows of all batches as one folder per day, in a new place."""
     rows = spark.read.parquet(path)
     write_scored(rows.drop("trans_day"), to, mode="error")
 
 
+def compact_committed(spark: SparkSession, path: str, to: str) -> None:
+    """The same for a folder with a manifest: of each batch the attempt that counts."""
+    write_scored(read_committed(spark, path).drop("trans_day"), to, mode="error")
+
+
 def skip_if_empty(writer: BatchWriter) -> BatchWriter:
     """Skip empty batches. The batch is kept, so the test does not run it twice.
 

@@ -67,6 +67,16 @@ def score_stream(
     return project_scored(model.transform(stream_features(messages, reference, watermark)))
 
 
+def progress_rows(query: StreamingQuery) -> list[tuple[int, int, str, int]]:
+    """(batch_id, input_rows, counter, rows) of each recorded batch that had input, for every
+    counter it observed, such as `unscorable` or `repeats`."""
+    return [
+        (batch.batchId, batch.numInputRows, name, counted["rows"])
+        for batch in query.recentProgress if batch.numInputRows
+        for name, counted in batch.observedMetrics.items()
+    ]
+
+
 def start_scoring(
     df: DataFrame, writer: BatchWriter, checkpoint: str, trigger: str | None = TRIGGER,
     name: str | None = None, state_partitions: int | None = None,
