@@ -71,6 +71,36 @@ def tx_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+def tx_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions whose amounts reach every bucket, in twenty categories, and whose label follows
+    amount and hour but for one row in nineteen, which no feature tells apart."""
+    amt = F.expr("amt * (1 + unix_time % 7)")
+    risky = F.expr("amt * (1 + unix_time % 7) >= 400 AND CAST(substring(trans_date_trans_time, 12, 2) AS INT) >= 8")
+    flipped = F.expr("unix_time % 19 = 0")
+    return tx(spark, sf_dir).withColumns({
+        "amt": amt,
+        "category": F.expr("concat(category, '_', CAST(unix_time % 4 AS STRING))"),
+        "is_fraud": (risky != flipped).cast("int"),
+    })
+
+
+def tx_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of transactions with nulls, NaN, dates that are none, negatives and conflicting
+    repeats; `copy_no` orders the repeats."""
+    clean = tx(spark, sf_dir)
+    spoiled = clean.withColumns({
+        "trans_date_trans_time": F.expr("CASE WHEN unix_time % 13 = 0 THEN 'no date' ELSE trans_date_trans_time END"),
+        "dob": F.expr("CASE WHEN unix_time % 31 = 0 THEN 'unknown' ELSE dob END"),
+        "amt": F.expr("CASE WHEN unix_time % 17 = 0 THEN NULL WHEN unix_time % 19 = 0 THEN double('NaN') "
+                      "WHEN unix_time % 23 = 0 THEN -amt ELSE amt END"),
+        "city_pop": F.expr("CASE WHEN unix_time % 29 = 0 THEN -1 ELSE city_pop END"),
+        "merchant": F.expr("CASE WHEN unix_time % 37 = 0 THEN NULL ELSE merchant END"),
+        "lat": F.expr("CASE WHEN unix_time % 43 = 0 THEN double('NaN') ELSE lat END"),
+    }).withColumn("copy_no", F.lit(0))
+    again = clean.filter("unix_time % 10 = 0").withColumns({"amt": F.col("amt") + 1, "copy_no": F.lit(1)})
+    return spoiled.unionByName(again)
+
+
 def tx_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions with every tenth row repeated exactly."""
     clean = tx(spark, sf_dir)

@@ -35,14 +35,17 @@ def with_time_features(df: DataFrame) -> DataFrame:
     })
 
 
+#: What the features that need no lookup are made from.
+FEATURE_SOURCES = ("trans_date_trans_time", "dob", "lat", "long", "merch_lat", "merch_long")
+
+
 def with_model_features(df: DataFrame) -> DataFrame:
-    """The features that need no lookup. Needs their source columns; others are skipped."""
-    present = set(df.columns)
-    if {"trans_date_trans_time", "dob"} <= present:
-        df = with_time_features(df)
-    if {"lat", "long", "merch_lat", "merch_long"} <= present:
-        df = with_distance(df)
-    return df
+    """The features that need no lookup. A table without one of their sources is refused: a model
+    would be trained or asked without them."""
+    absent = [name for name in FEATURE_SOURCES if name not in df.columns]
+    if absent:
+        raise ValueError(f"features need the columns {', '.join(absent)}")
+    return with_distance(with_time_features(df))
 
 
 def with_exploration_features(df: DataFrame) -> DataFrame:

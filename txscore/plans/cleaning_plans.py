@@ -3,36 +3,67 @@
 from pyspark.sql import functions as F
 
 from txscore import fixtures
+from txscore.constants import COERCED_NUMERIC
 from txscore.functions import probability_vector
 from txscore.operators import cleaning
 from txscore.operators.serving import latest
-from txscore.plans.oracle import DIRTY, REPEATED, SCORED, TX, over, r6
+from txscore.plans.oracle import DIRTY, DISTANCE, REPEATED, SCORED, SPOILED, TX, over, r6
 from txscore.plans.registry import query
 
 _DIRTY_COLUMNS = f"trans_num, category, unix_time, is_fraud, {r6('amt')} AS amt, city_pop, copy_no"
 _FIRST_COPY = "row_number() OVER (PARTITION BY trans_num ORDER BY copy_no)"
 
 
-@query("clean_stream", over(TX, DIRTY) + f"""
-SELECT {_DIRTY_COLUMNS} FROM (
-  SELECT *, {_FIRST_COPY} AS n FROM dirty WHERE amt IS NOT NULL)
-WHERE n = 1 AND amt >= 0 AND city_pop >= 0""")
-def clean_stream(spark, sf_dir):
-    return cleaning.clean_stream(fixtures.tx_dirty(spark, sf_dir), order=["copy_no"])
+# A NaN is no number to compare or print: it stands as -999 in results.
+_PLAIN = "CASE WHEN isnan({0}) THEN -999 ELSE {0} END"
+_NO_GAP = "amt IS NOT NULL AND NOT isnan(amt) AND merchant IS NOT NULL AND NOT isnan(lat)"
 
 
-@query("clean_train", over(TX, DIRTY) + f"""
-SELECT {_DIRTY_COLUMNS} FROM (SELECT *, {_FIRST_COPY} AS n FROM dirty)
-WHERE n = 1 AND amt IS NOT NULL AND amt >= 0 AND city_pop >= 0""")
+@query("clean_stream", over(TX, SPOILED) + f"""
+SELECT trans_num, category, unix_time, is_fraud, trans_date_trans_time, dob, merchant, {r6("amt")} AS amt,
+       city_pop, lat, copy_no
+FROM (SELECT *, {_FIRST_COPY} AS n FROM spoiled WHERE {_NO_GAP})
+WHERE n = 1 AND amt >= 0 AND city_pop >= 0""")
+def clean_stream(spark, sf_dir):
+    """Rows without null or NaN, the first copy that is left, no negatives; bad dates stay."""
+    return cleaning.clean_stream(fixtures.tx_spoiled(spark, sf_dir), order=["copy_no"]).select(
+        "trans_num", "category", "unix_time", "is_fraud", "trans_date_trans_time", "dob", "merchant", "amt",
+        "city_pop", "lat", "copy_no")
+
+
+@query("clean_train", over(TX, SPOILED) + f"""
+, timed AS (SELECT *, try_cast(trans_date_trans_time AS TIMESTAMP) AS t, try_cast(dob AS DATE) AS born,
+                   {_FIRST_COPY} AS n FROM spoiled)
+SELECT trans_num, category, unix_time, is_fraud, {r6("amt")} AS amt, city_pop, copy_no,
+       CAST(hour(t) AS INTEGER) AS hour, CAST(dayofweek(t) + 1 AS INTEGER) AS day_of_week,
+       CAST(month(t) AS INTEGER) AS month, CAST(year(t) - year(born) AS DOUBLE) AS age,
+       {r6(DISTANCE)} AS distance
+FROM timed WHERE n = 1 AND {_NO_GAP} AND amt >= 0 AND city_pop >= 0""")
 def clean_train(spark, sf_dir):
-    return cleaning.clean_train(fixtures.tx_dirty(spark, sf_dir), order=["copy_no"])
-
-
-@query("clean_explore", over(TX, DIRTY) + f"""
-SELECT {_DIRTY_COLUMNS} FROM (SELECT *, {_FIRST_COPY} AS n FROM dirty)
-WHERE n = 1 AND coalesce(amt, 0) >= 0 AND coalesce(city_pop, 0) >= 0""")
+    """The first copy of each row, without null or NaN, with features; bad dates give none."""
+    return cleaning.clean_train(fixtures.tx_spoiled(spark, sf_dir), order=["copy_no"]).select(
+        "trans_num", "category", "unix_time", "is_fraud", "amt", "city_pop", "copy_no",
+        "hour", "day_of_week", "month", "age", "distance")
+
+
+@query("clean_explore", over(TX, SPOILED) + f"""
+, typed AS (SELECT * REPLACE (try_cast(trans_date_trans_time AS TIMESTAMP) AS trans_date_trans_time,
+                              try_cast(dob AS TIMESTAMP) AS dob), {_FIRST_COPY} AS n FROM spoiled)
+SELECT trans_num, trans_date_trans_time, dob, merchant, copy_no,
+       {r6("CASE WHEN unix_time % 41 = 0 AND copy_no = 0 THEN NULL ELSE " + _PLAIN.format("amt") + " END")} AS amt,
+       {_PLAIN.format("lat")} AS lat, CAST(city_pop AS DOUBLE) AS city_pop, merch_long,
+       CAST(unix_time AS DOUBLE) AS unix_time
+FROM typed WHERE n = 1 AND (coalesce(amt, 0) >= 0 OR (unix_time % 41 = 0 AND copy_no = 0)) AND city_pop >= 0""")
 def clean_explore(spark, sf_dir):
-    return cleaning.clean_explore(fixtures.tx_dirty(spark, sf_dir), order=["copy_no"])
+    """All numbers come as text here, some of them unreadable, as from a file without a schema."""
+    rows = fixtures.tx_spoiled(spark, sf_dir)
+    text = rows.withColumns({name: F.col(name).cast("string") for name in COERCED_NUMERIC}).withColumn(
+        "amt", F.expr("CASE WHEN unix_time % 41 = 0 AND copy_no = 0 THEN 'n/a' ELSE amt END"))
+    clean = cleaning.clean_explore(text, order=["copy_no"])
+    plain = {name: F.when(F.isnan(name), -999.0).otherwise(F.col(name)) for name in ("amt", "lat")}
+    return clean.withColumns(plain).select(
+        "trans_num", "trans_date_trans_time", "dob", "merchant", "copy_no", "amt", "lat", "city_pop", "merch_long",
+        "unix_time")
 
 
 @query("drop_missing", over(TX, DIRTY) + f"SELECT {_DIRTY_COLUMNS} FROM dirty WHERE amt IS NOT NULL")
@@ -75,19 +106,24 @@ def dedup_rows(spark, sf_dir):
     return cleaning.dedup_rows(fixtures.tx_repeated(spark, sf_dir))
 
 
+_SPOILED_NUMBERS = dict(zip(COERCED_NUMERIC, (19, 23, 29, 31, 37, 41, 43)))
+
+
 @query("coerce_text", over(TX) + """
 SELECT trans_num,
        CASE WHEN unix_time % 13 = 0 THEN NULL ELSE trans_date_trans_time::TIMESTAMP END
          AS trans_date_trans_time,
-       dob::TIMESTAMP AS dob,
-       CASE WHEN unix_time % 19 = 0 THEN NULL ELSE amt END AS amt
-FROM tx""")
+       dob::TIMESTAMP AS dob, """ + ", ".join(
+    f"CASE WHEN unix_time % {k} = 0 THEN NULL ELSE CAST({c} AS DOUBLE) END AS {c}"
+    for c, k in _SPOILED_NUMBERS.items()) + " FROM tx")
 def coerce_text(spark, sf_dir):
+    """Every date and number column as text, each with unreadable values of its own."""
     text = fixtures.tx(spark, sf_dir).select(
         "trans_num", "dob",
         F.expr("CASE WHEN unix_time % 13 = 0 THEN 'no date' ELSE trans_date_trans_time END")
         .alias("trans_date_trans_time"),
-        F.expr("CASE WHEN unix_time % 19 = 0 THEN 'n/a' ELSE CAST(amt AS STRING) END").alias("amt"))
+        *(F.expr(f"CASE WHEN unix_time % {k} = 0 THEN 'n/a' ELSE CAST({c} AS STRING) END").alias(c)
+          for c, k in _SPOILED_NUMBERS.items()))
     return cleaning.coerce_numbers(cleaning.coerce_timestamps(text))
 
 

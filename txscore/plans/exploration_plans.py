@@ -5,7 +5,7 @@ from txscore.operators import exploration, percentiles
 from txscore.operators.cleaning import coerce_timestamps
 from txscore.operators.features import fit_reference, with_exploration_features, with_mapped_average
 from txscore.operators.sampling import hash_split
-from txscore.plans.oracle import EXPLORE, TX, over, r6
+from txscore.plans.oracle import EXPLORE, TX, WIDE, over, r6
 from txscore.plans.registry import query
 from txscore.sources.readers import tag_split
 
@@ -30,6 +30,15 @@ def category_risk(spark, sf_dir):
     return exploration.category_risk(fixtures.tx(spark, sf_dir))
 
 
+@query("category_risk_wide", over(TX, WIDE) + f"""
+SELECT category, count(*) AS total_transactions, {r6("avg(is_fraud)")} AS fraud_rate,
+       {r6("avg(amt)")} AS avg_amount
+FROM wide GROUP BY category ORDER BY avg(is_fraud) DESC, category LIMIT 12""")
+def category_risk_wide(spark, sf_dir):
+    """Twenty categories, of which twelve are shown."""
+    return exploration.category_risk(fixtures.tx_wide(spark, sf_dir))
+
+
 @query("label_mean_pivot", _WITH + "SELECT day_of_week, " + ", ".join(
     f'{r6(f"avg(is_fraud) FILTER (hour = {h})")} AS "{h}"' for h in range(24)) + """
 FROM explore GROUP BY day_of_week""")
@@ -49,6 +58,23 @@ def bucket_summary(spark, sf_dir):
     return exploration.bucket_summary(spark, timed(spark, sf_dir))
 
 
+_EXPLORE_WIDE = EXPLORE.replace("explore AS", "explore_wide AS").replace("tx", "wide")
+
+
+@query("bucket_summary_wide", over(TX, WIDE, _EXPLORE_WIDE) + f"""
+, buckets(bucket_no, low, high, amount_bucket) AS (VALUES
+  (0, 0, 10, '0-10'), (1, 10, 50, '10-50'), (2, 50, 100, '50-100'), (3, 100, 200, '100-200'),
+  (4, 200, 500, '200-500'), (5, 500, 1000, '500-1000'), (6, 1000, 'infinity'::DOUBLE, '1000+'))
+SELECT bucket_no, amount_bucket, count(trans_num) AS total_transactions,
+       {r6("avg(is_fraud)")} AS fraud_rate,
+       {r6("quantile_cont(distance_km, 0.5)")} AS median_distance_km
+FROM buckets LEFT JOIN explore_wide ON amt > low AND amt <= high GROUP BY bucket_no, amount_bucket""")
+def bucket_summary_wide(spark, sf_dir):
+    """Amounts of all seven buckets."""
+    rows = with_exploration_features(coerce_timestamps(fixtures.tx_wide(spark, sf_dir)))
+    return exploration.bucket_summary(spark, rows)
+
+
 @query("label_counts", over(TX) + "SELECT is_fraud, count(*) AS count FROM tx GROUP BY is_fraud")
 def label_counts(spark, sf_dir):
     return exploration.label_counts(fixtures.tx(spark, sf_dir))

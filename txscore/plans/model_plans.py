@@ -16,7 +16,7 @@ from txscore.operators import evaluation, modeling, sampling
 from txscore.operators.cleaning import clean_stream, project_scored
 from txscore.operators.features import fit_reference, prepare_features
 from txscore.plans.feature_plans import model_rows
-from txscore.plans.oracle import FEATURES, SCORED, TX, over, r6
+from txscore.plans.oracle import FEATURES, SCORED, TX, WIDE, over, r6
 from txscore.plans.registry import query
 from txscore.schema import SCORED as SCORED_SCHEMA
 from txscore.session import shared_dir, written_table
@@ -316,6 +316,25 @@ def gbt_train_score(spark, sf_dir):
         modeling.score(valid, fitted.model), BOOSTED_NAME, train_seconds=fitted.seconds))
 
 
+_CLEAN_WIDE = "clean AS (SELECT * FROM wide WHERE amt >= 0 AND city_pop >= 0)"
+#: What a label with noise allows: better than chance by far, and not without errors.
+NOISY_ROC = (0.7, 0.995)
+
+
+@query("noisy_label_train", over(TX, WIDE, _CLEAN_WIDE) + "\nUNION ALL ".join(
+    _held(m, f"{_BUCKET} >= 8000") for m in (BOOSTED_NAME, FOREST_NAME)))
+def noisy_label_train(spark, sf_dir):
+    """Both models on a label that follows two features and that noise turns in places."""
+    clean = written_table(clean_stream(fixtures.tx_wide(spark, sf_dir)), "clean")
+    train, valid = split_sets(written_features(prepare_features(clean, fit_reference(clean))))
+    models = {FOREST_NAME: modeling.train_forest(train).model, BOOSTED_NAME: modeling.train_boosted(train).model}
+    record = evaluation.compare(*[
+        evaluation.evaluate(modeling.score(valid, model), name) for name, model in models.items()])
+    return held(record).withColumn("good", F.lit(True)).join(
+        record.select("model", F.col("auc_roc").between(*NOISY_ROC).alias("_between")), "model").select(
+        "model", "rows", "positives", (F.col("good") & F.col("_between")).alias("good"))
+
+
 def _points(fitted, classifier, grid, *names):
     """A row per point of a grid, and whether its metric is above the bound."""
     return [tuple(int(point[classifier.getParam(n)]) for n in names) + (float(metric) >= LEAST_PR,)

@@ -38,6 +38,25 @@ DIRTY = """dirty AS (
   SELECT trans_num, category, unix_time, is_fraud, amt + 1 AS amt, city_pop, 1 AS copy_no
   FROM tx WHERE unix_time % 10 = 0)"""
 
+WIDE = """wide AS (
+  SELECT * REPLACE (amt * (1 + unix_time % 7) AS amt,
+                    concat(category, '_', CAST(unix_time % 4 AS VARCHAR)) AS category,
+                    CAST((amt * (1 + unix_time % 7) >= 400
+                          AND CAST(substr(trans_date_trans_time, 12, 2) AS INTEGER) >= 8)
+                         <> (unix_time % 19 = 0) AS INTEGER) AS is_fraud)
+  FROM tx)"""
+
+SPOILED = """spoiled AS (
+  SELECT * REPLACE (
+           CASE WHEN unix_time % 13 = 0 THEN 'no date' ELSE trans_date_trans_time END AS trans_date_trans_time,
+           CASE WHEN unix_time % 31 = 0 THEN 'unknown' ELSE dob END AS dob,
+           CASE WHEN unix_time % 17 = 0 THEN NULL WHEN unix_time % 19 = 0 THEN 'nan'::DOUBLE
+                WHEN unix_time % 23 = 0 THEN -amt ELSE amt END AS amt,
+           CASE WHEN unix_time % 29 = 0 THEN -1 ELSE city_pop END AS city_pop,
+           CASE WHEN unix_time % 37 = 0 THEN NULL ELSE merchant END AS merchant,
+           CASE WHEN unix_time % 43 = 0 THEN 'nan'::DOUBLE ELSE lat END AS lat), 0 AS copy_no FROM tx
+  UNION ALL SELECT * REPLACE (amt + 1 AS amt), 1 AS copy_no FROM tx WHERE unix_time % 10 = 0)"""
+
 REPEATED = """repeated AS (
   SELECT * FROM tx UNION ALL SELECT * FROM tx WHERE unix_time % 10 = 0)"""
 
@@ -49,6 +68,10 @@ SCORED = """scored AS (
   FROM tx)"""
 
 
+#: The scored table of the wide transactions.
+SCORED_WIDE = SCORED.replace("scored AS", "scored_wide AS").replace("FROM tx", "FROM wide")
+
+
 def r6(expression: str) -> str:
     """Six places, half to even."""
     return f"round_even(({expression}) * 1e6, 0) / 1e6"

@@ -120,6 +120,21 @@ def table_contract(spark, sf_dir):
     return profiling.table_contract(spark, fixtures.scored(spark, sf_dir), SCORED_SCHEMA)
 
 
+@query("table_contract_mismatch", over(TX, SCORED) + """
+SELECT "column", expected, CASE "column" WHEN 'amt' THEN 'string' WHEN 'is_fraud' THEN 'bigint'
+                                          WHEN 'merchant' THEN NULL ELSE expected END AS found,
+       "column" NOT IN ('amt', 'is_fraud', 'merchant') AS matches, (SELECT count(*) FROM scored) AS row_count
+FROM (VALUES """ + ", ".join(f"('{c}', '{t}')" for c, t in _SCORED_TYPES.items()) + """) v("column", expected)
+UNION ALL SELECT 'note', NULL, 'string', FALSE, (SELECT count(*) FROM scored)""")
+def table_contract_mismatch(spark, sf_dir):
+    """Two columns of another type, one that is absent, and one too many."""
+    from pyspark.sql import functions as F
+
+    rows = fixtures.scored(spark, sf_dir).withColumns({
+        "amt": F.col("amt").cast("string"), "is_fraud": F.col("is_fraud").cast("bigint"), "note": F.lit("x")})
+    return profiling.table_contract(spark, rows.drop("merchant"), SCORED_SCHEMA)
+
+
 @query("stage_counts", over(TX, DIRTY) + """
 SELECT 'in' AS stage, count(*) AS "rows" FROM dirty
 UNION ALL SELECT 'known', count(*) FROM dirty WHERE amt IS NOT NULL

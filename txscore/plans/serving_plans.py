@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from txscore import fixtures
 from txscore.operators import serving
-from txscore.plans.oracle import SCORED, TIME, TX, over, r6
+from txscore.plans.oracle import SCORED, SCORED_WIDE, TIME, TX, WIDE, over, r6
 from txscore.plans.registry import query
 
 AS_OF = "2024-01-30 12:00:00"
@@ -156,6 +156,30 @@ def by_amount(spark, sf_dir):
     return serving.amount_distribution(fixtures.scored(spark, sf_dir))
 
 
+def scored_wide(spark, sf_dir):
+    return fixtures.scored_from(fixtures.tx_wide(spark, sf_dir))
+
+
+_WITH_WIDE = over(TX, WIDE, SCORED_WIDE)
+
+
+@query("by_amount_wide", _WITH_WIDE + f"""
+SELECT CASE WHEN amt < 100 THEN 'Less than $100' WHEN amt < 500 THEN '$100-$500'
+       WHEN amt < 1000 THEN '$500-$1000' ELSE 'Over $1000' END AS amount_category, {_RATES}
+FROM scored_wide GROUP BY 1""")
+def by_amount_wide(spark, sf_dir):
+    """Amounts of all four buckets."""
+    return serving.amount_distribution(scored_wide(spark, sf_dir))
+
+
+@query("top_categories_wide", _WITH_WIDE + f"""
+SELECT category, {_RATES} FROM scored_wide GROUP BY category
+ORDER BY count(*) FILTER (prediction >= 1) / count(*)::DOUBLE DESC, category LIMIT 15""")
+def top_categories_wide(spark, sf_dir):
+    """Twenty categories, of which fifteen are shown."""
+    return serving.top_categories(scored_wide(spark, sf_dir))
+
+
 _DAY_HOUR = f"""rates AS (
   SELECT CAST(dayofweek({TIME}) AS INTEGER) AS day_of_week,
          CAST(hour({TIME}) AS INTEGER) AS hour_of_day, count(*) AS total_count,
