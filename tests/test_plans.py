@@ -8,7 +8,7 @@ from txscore.plans import ORACLES, PLANS
 
 TRAINED = {
     "rf_train_score", "gbt_train_score", "grid_search", "ensemble_train_score", "external_test", "full_mode",
-    "model_export", "stream_score",
+    "model_export", "stream_score", "noisy_label_train",
 }
 
 
