@@ -6,7 +6,6 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from brute import union_smallest
-from conftest import CLASHING
 from pyspark.sql import functions as F
 
 from txscore.llm.queries import QUERIES
@@ -14,6 +13,9 @@ from txscore.llm.rotations import (Plan, directions, encode, key_plan, least_est
                                    spanning, units)
 
 
+CLASHING = ("node", "weight", "key", "key_a", "code", "factor", "keys", "n", "hub", "label", "kept", "component_id")
+
+
 def plain(rows, least=0.9):
     """Rows (id, n_links, component_id, kept) from all pairs of distinct rows."""
     def taken(i, v):
@@ -69,8 +71,9 @@ def mixed():
     return [(int(i), [float(x) for x in v]) for i, v in zip(ids, vectors)]
 
 
-@pytest.mark.parametrize("block", [512, 7])
-def test_groups_chains_and_copies(spark, mixed, block):
+@pytest.mark.parametrize("block, small", [(512, 32), (512, 2), (7, 4)])
+def test_groups_chains_and_copies(spark, mixed, block, small, monkeypatch):
+    monkeypatch.setattr("txscore.llm.rotations.SMALL", small)
     df = spark.createDataFrame(mixed, "vec_id long, embedding array<double>").repartition(3)
     got = rows_of(near_vectors(df, plan=Plan(miss=1e-6, block=block)))
     assert got == plain(mixed)
@@ -92,7 +95,7 @@ def test_edges(spark):
             (16, [1e300, 1e300]), (17, [1e-300, 1e-300]), (18, [1.0, 0.0]), (19, v), (19, [-x for x in v]),
             (20, [-x for x in v])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select(
-        "*", *(F.lit("clash").alias(name) for name in CLASHING), F.lit(1).alias("key"), F.lit(2).alias("id"))
+        "*", *(F.lit("clash").alias(name) for name in CLASHING), F.lit(2).alias("id"))
     got = near_vectors(df)
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert rows_of(got) == plain(rows)

@@ -58,8 +58,9 @@ class Plan(NamedTuple):
 
 #: Directions in a part of a key at most, and bits of a key beyond those that number the vectors.
 WIDTH, SPARE_BITS = 32, 4
-#: Rows of buckets that are compared together, if the buckets are small.
-PACK = 4000
+#: Members of a bucket up to which it is compared whole, beside others, and rows that are then
+#: compared side by side.
+SMALL, PACK = 32, 4000
 #: Numbers in an array of coordinates.
 AT_ONCE = 1 << 22
 
@@ -281,42 +282,78 @@ def spanning(adjacent: np.ndarray) -> np.ndarray:
 def _comparing(plan: Plan):
     """Sums of links and spanning links between the blocks of buckets in a frame."""
 
-    def compare(own: pd.DataFrame, key: int, out: list[pd.DataFrame]) -> None:
-        side, label = own["side"].to_numpy(), own["label"].to_numpy()
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    def confirmed(own: pd.DataFrame, i: np.ndarray, j: np.ndarray, bucket: np.ndarray,
+                  out: list[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+        """Of these pairs of rows those that are linked; sums go out for pairs whose first shared
+        bucket is the one given."""
         vectors = np.stack(own["vector"].to_numpy()).astype(np.float64)
-        codes = np.frombuffer(b"".join(own["code"]), np.uint8).reshape(len(own), -1)
-        factor = own["factor"].to_numpy()[right]
-        turned = (units(vectors[left]) @ rotation(vectors.shape[1], plan.seed)).astype(np.float32)
-        estimate = turned @ directions(codes[right]).T / factor
-        bound = least_estimate(factor, turned.shape[1], plan.least, plan.sigmas)
-        i, j = np.nonzero((estimate >= bound) & (label[left][:, None] != label[right]))
-        i, j = left[i], right[j]
-        # Both in one block: each pair once.
-        once = (side[i] != 2) | (side[j] != 2) | (i < j)
-        i, j = i[once], j[once]
-        linked = np.zeros((len(own), len(own)), bool)
         keys, weight = np.stack(own["keys"].to_numpy()), own["weight"].to_numpy()
-        sums = np.zeros(len(own), np.int64)
+        sums, kept = np.zeros(len(own), np.int64), []
         for k in range(0, len(i), 1 << 15):
-            x, y = i[k:k + (1 << 15)], j[k:k + (1 << 15)]
+            x, y, at = i[k:k + (1 << 15)], j[k:k + (1 << 15)], bucket[k:k + (1 << 15)]
             near = cosines(vectors[x], vectors[y]) >= plan.least
-            x, y = x[near], y[near]
-            linked[x, y] = linked[y, x] = True
-            shared = (keys[x] == keys[y]).argmax(axis=1)
-            here = keys[x, shared] == key
+            x, y, at = x[near], y[near], at[near]
+            here = keys[x, (keys[x] == keys[y]).argmax(axis=1)] == at
             np.add.at(sums, x[here], weight[y[here]])
             np.add.at(sums, y[here], weight[x[here]])
-        node = own["node"].to_numpy()
+            kept.append(np.stack([x, y]))
         some = np.flatnonzero(sums)
-        out.append(pd.DataFrame({"a": node[some], "b": -1, "n": sums[some]}))
-        edges = spanning(linked)
-        out.append(pd.DataFrame({"a": node[edges[:, 0]], "b": node[edges[:, 1]], "n": 0}))
+        out.append(pd.DataFrame({"a": own["node"].to_numpy()[some], "b": -1, "n": sums[some]}))
+        x, y = np.concatenate(kept, axis=1) if kept else np.zeros((2, 0), np.int64)
+        return x, y
+
+    def linked(own: pd.DataFrame, i: np.ndarray, j: np.ndarray, out: list[pd.DataFrame]) -> None:
+        node = own["node"].to_numpy()
+        out.append(pd.DataFrame({"a": node[i], "b": node[j], "n": 0}))
+
+    def parts(own: pd.DataFrame):
+        codes = np.frombuffer(b"".join(own["code"]), np.uint8).reshape(len(own), -1)
+        unit = units(np.stack(own["vector"].to_numpy()).astype(np.float64))
+        turned = (unit @ rotation(unit.shape[1], plan.seed)).astype(np.float32)
+        factor = own["factor"].to_numpy()
+        return turned, directions(codes), factor, least_estimate(factor, turned.shape[1], plan.least, plan.sigmas)
+
+    def compare(own: pd.DataFrame, key: int, out: list[pd.DataFrame]) -> None:
+        """Block against block."""
+        side, label = own["side"].to_numpy(), own["label"].to_numpy()
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        turned, signs, factor, bound = parts(own)
+        estimate = turned[left] @ signs[right].T / factor[right]
+        i, j = np.nonzero((estimate >= bound[right]) & (label[left][:, None] != label[right]))
+        i, j = left[i], right[j]
+        # Both in one block: each pair once.
+        once = (side[i] != 2) | (side[j] != 2) | (i < j)
+        i, j = confirmed(own, i[once], j[once], np.full(int(once.sum()), key), out)
+        adjacent = np.zeros((len(own), len(own)), bool)
+        adjacent[i, j] = adjacent[j, i] = True
+        edges = spanning(adjacent)
+        linked(own, edges[:, 0], edges[:, 1], out)
+
+    def side_by_side(own: pd.DataFrame, out: list[pd.DataFrame]) -> None:
+        """Many small buckets, whole: each row with those after it in its bucket."""
+        own = own.sort_values("key", kind="stable", ignore_index=True)
+        key, label = own["key"].to_numpy(), own["label"].to_numpy()
+        turned, signs, factor, bound = parts(own)
+        pairs = [np.zeros((2, 0), np.int64)]
+        for step in range(1, min(SMALL, len(own))):
+            i = np.flatnonzero((key[step:] == key[:-step]) & (label[step:] != label[:-step]))
+            j = i + step
+            estimate = (turned[i] * signs[j]).sum(axis=1) / factor[j]
+            near = estimate >= bound[j]
+            pairs.append(np.stack([i[near], j[near]]))
+        i, j = np.concatenate(pairs, axis=1)
+        # A bucket has few links at most.
+        linked(own, *confirmed(own, i, j, key[i], out), out)
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"a": [], "b": [], "n": []})]
-        for (key, _, _, _), own in frame.groupby(["key", "kind", "i", "j"], sort=False):
-            compare(own, key, out)
+        dims = frame["vector"].map(len)
+        for _, same in frame.groupby(dims):
+            whole = same["kind"] == 2
+            if whole.any():
+                side_by_side(same[whole], out)
+            for (key, _, _, _), own in same[~whole].groupby(["key", "kind", "i", "j"], sort=False):
+                compare(own, key, out)
         return pd.concat(out).astype(np.int64)
 
     return work
@@ -326,15 +363,17 @@ def _blocks(open_: DataFrame, nodes: DataFrame, rows: int, plan: Plan) -> DataFr
     """(a, b, n): for -1 as b, how many vectors a is linked with between different labels within
     the buckets; else a link.
 
-    Members with the bucket's most common label are compared with the others, and the others
-    with each other, a block against a block."""
+    Small buckets are compared whole. In others members with the bucket's most common label are
+    compared with the others, and the others with each other, a block against a block."""
     sizes = open_.groupBy("key", "label").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
     parts = lambda n: F.ceil(n / F.lit(plan.block)).cast("int")
     members = open_.join(sizes, "key").select(
         "key", "node", "label", "n", (F.col("label") == F.col("main.label")).alias("is_main"),
         parts(F.col("main.n")).alias("n_main"), parts(F.col("n") - F.col("main.n")).alias("n_rest"))
-    members = members.withColumn("own", F.expr(
+    small = members.filter(F.col("n") <= SMALL).select(
+        "key", "node", "label", *(F.lit(k).alias(c) for c, k in (("kind", 2), ("i", 0), ("j", 0), ("side", 2))))
+    members = members.filter(F.col("n") > SMALL).withColumn("own", F.expr(
         "cast(pmod(xxhash64(node), if(is_main, n_main, n_rest)) as int)"))
     meets = F.expr("""
         if(is_main,
@@ -342,12 +381,11 @@ def _blocks(open_: DataFrame, nodes: DataFrame, rows: int, plan: Plan) -> DataFr
            concat(transform(sequence(0, n_main - 1), j -> struct(0 as kind, own as i, j as j, 0 as side)),
                   transform(sequence(0, n_rest - 1), j -> struct(1 as kind, least(own, j) as i,
                       greatest(own, j) as j, if(own = j, 2, if(own < j, 0, 1)) as side))))""")
-    placed = members.select("key", "node", "label", "n", F.explode(meets).alias("at")).select(
-        "key", "node", "label", "n", "at.*")
-    packs = max(1, rows // PACK)
+    placed = members.select("key", "node", "label", F.explode(meets).alias("at")).select(
+        "key", "node", "label", "at.*").unionByName(small)
     placed = placed.withColumn("pack", F.when(
-        F.col("n") <= PACK // 8, F.pmod(F.xxhash64("key"), F.lit(packs))).otherwise(
-        F.xxhash64("key", "kind", "i", "j"))).drop("n")
+        F.col("kind") == 2, F.pmod(F.xxhash64("key"), F.lit(max(1, rows // PACK)))).otherwise(
+        F.xxhash64("key", "kind", "i", "j")))
     placed = placed.join(nodes.select("node", "weight", "vector", "code", "factor", "keys"), "node")
     return placed.groupBy("pack").applyInPandas(_comparing(plan), "a long, b long, n long")
 
