@@ -55,7 +55,7 @@ def dedup_for(df: DataFrame, live: timedelta, key: str = KEY) -> DataFrame:
 
     A key's state goes by a timer of its own once the stream's event time, less `live` for what
     comes late, has passed its time to live; so the state is bounded by the keys of twice that
-    time. Needs state in RocksDB. Rows of a key meet in one task, which keeps its last time only.
+    time. A row that comes later than that may be dropped, as by any watermark. Needs state in RocksDB. Rows of a key meet in one task, which keeps its last time only.
     """
     seen = parse_ts(F.col("trans_date_trans_time"))
     timed = df.withColumns({"_seen_at": seen, "_seen_ms": F.unix_millis(seen)}).withWatermark(
