@@ -20,7 +20,7 @@ stands in a text, are written as bytes, so decoding gives back every text exactl
 
 Defined results: null stays null in both directions; an empty text is one blank piece, as every
 text gets a blank in front, and decodes to an empty text; a null id counts as the CRC of the text;
-repeated rows get equal ids. Other columns are not read.
+repeated rows get equal ids; an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,14 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from txscore.llm.tasks import clean_table, map_batches, text_bytes
+from txscore.llm.tasks import SLICE_BYTES, clean_table, map_batches, text_bytes
 from txscore.llm.words import U64, mix
 
 DROPOUT, SEED = 0.1, 0
 #: Results that a task remembers, and characters up to which chunks are encoded side by side.
 REMEMBERED, SIDE_BY_SIDE = 200_000, 48
 #: Skipped merges up to which results are remembered, and chunks that are looked up at once.
-DEPTH, AT_ONCE = 3, 1 << 17
+DEPTH, AT_ONCE = 3, 1 << 16
 #: Numbers that a document's key is one of.
 DOCUMENT_KEYS = 1 << 62
 BLANK = "▁"
@@ -424,7 +424,7 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
             row = 0
             _, offsets = text_bytes(batch.column("text"))
             while row < batch.num_rows:
-                stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + (4 << 20))))
+                stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES)))
                 part = batch.slice(row, stop - row)
                 row = stop
                 texts = part.column("text").to_pylist()
