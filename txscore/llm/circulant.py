@@ -19,7 +19,8 @@ margin, below 1e-7 at s = 0.8.
 Defined results: null, empty and wordless texts have no shingles and are linked with nothing;
 rows with a null id take no part, and stay (component null, kept true); rows that repeat an id
 and text get equal results; if an id comes with several texts, each row follows its own text,
-and links of any of them count. Other columns are not read. Shingles are 64-bit hashes.
+and links of any of them count; an empty
+table gives no rows. Other columns are not read. Shingles are 64-bit hashes.
 """
 
 from __future__ import annotations

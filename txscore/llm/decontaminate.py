@@ -7,8 +7,8 @@ document's words in it. An item shorter than a window is one window, found by it
 
 Defined results: a null, empty or wordless text has no words, no hits, and is not contaminated;
 an item without words is found nowhere; an item id that repeats counts once per document, as do
-equal passages; repeated documents are judged one by one; null item ids are not listed. Other
-columns are not read, so their names do not matter. Words are compared by 64-bit hashes.
+equal passages; repeated documents are judged one by one; null item ids are not listed;
+an empty table of documents gives no rows, an empty benchmark no hits. Other columns are not read, so their names do not matter. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations

@@ -17,8 +17,8 @@ The score is how much nearer the best language is than the largest possible dist
 
 Defined results: `und` with score 0 for null, empty and letterless texts, and where nothing was
 learned; equal distances go to the language that is first by name; a null id gives held_out
-null. Rows with null lang teach nothing. Repeated rows count as often as they occur. Other
-columns are not read.
+null. Rows with null lang teach nothing. Repeated rows count as often as they occur. An
+empty table gives no rows, and teaches no language. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from txscore.llm.tasks import clean_table, keep_texts, map_batches, slices, written_table
 from txscore.llm.words import LOWER
 
-#: n-grams in a profile, and their longest length in bytes.
-PROFILE, LONGEST = 300, 3
+#: n-grams in a profile.
+PROFILE = 300
 #: n-gram counts a task gathers per language before it hands them on.
 FLUSH = 1 << 20
 #: Languages that profiles are held for in every task: a bound on what is broadcast.

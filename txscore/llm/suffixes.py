@@ -18,7 +18,8 @@ of tasks share.
 
 Equal texts are one text that occurs several times. Defined results: null and empty texts have
 no bytes; texts shorter than `LENGTH` lose nothing; repeated rows are copies of one another, so
-they lose all bytes if they have `LENGTH` or more; null ids are like others. Other columns are
+they lose all bytes if they have `LENGTH` or more; null ids are like others; an
+empty table gives no rows. Other columns are
 not read.
 """
 
