@@ -4,6 +4,8 @@ folder, and Arrow batches cut to a bounded number of text bytes."""
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -90,11 +92,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     return ship(spark)
 
 
+def _give_back() -> None:
+    """Return the memory of a finished task: workers are used again, and would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which keeps what it has
+
+
+def _tidily(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
     """`mapInArrow` with the package shipped first and batches bounded."""
     prepare(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(_tidily(work), schema)
 
 
 def keep_texts(df: DataFrame, judge: Callable[[np.ndarray, np.ndarray], list[bool]],
@@ -108,6 +130,7 @@ def keep_texts(df: DataFrame, judge: Callable[[np.ndarray, np.ndarray], list[boo
         for batch in texts:
             rows = pa.RecordBatch.from_arrays([batch], names=["text"])
             yield pa.array([x for _, data, offsets in slices(rows) for x in judge(data, offsets)], pa.bool_())
+        _give_back()
 
     return df.filter(kept(col(text)))
 
