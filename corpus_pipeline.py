@@ -63,9 +63,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, lossless): ids with merge-dropout, decoded again and compared."""
+    """(doc_id, n_tokens, ids, lossless): ids with merge-dropout, decoded again and compared.
+
+    The ids are written in between, so that a task has one Python worker at a time."""
     path, raw = piece_model(), F.col("text").cast("binary")
-    return decode(encode(docs, path), path).select(
+    return decode(written_table(encode(docs, path), "encoded"), path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         ((F.crc32(raw) == F.col("text_crc32")) & (F.length(raw) == F.col("n_bytes"))).alias("lossless"))
 
