@@ -3,9 +3,9 @@
 A profile is a text's most frequent n-grams in order. Each language's profile is learned from
 all labelled texts; a text is compared with each by the out-of-place distance: the sum, over
 the text's profile, of how far each n-gram's rank is from its rank in the language, or the
-largest possible distance where the language does not have it. n-grams are 1 to 3 bytes of the
-lower-cased text with everything but letters (ASCII letters and bytes beyond ASCII) read as one
-blank between words; equal counts are ordered by the n-gram.
+largest possible distance where the language does not have it. n-grams are 1 to 3 characters of the
+lower-cased text, in any script, with everything but letters and the marks on them read as one
+blank between words; equal counts are ordered by the n-gram's code points.
 
 `least_scores` learns which scores texts of a language have: of all labelled texts, cut to each of
 `CUTS` lengths, a low quantile of the scores in their own language, less a margin. `accept` takes
@@ -17,14 +17,18 @@ The score is how much nearer the best language is than the largest possible dist
 
 Defined results: `und` with score 0 for null, empty and letterless texts, and where nothing was
 learned; equal distances go to the language that is first by name; a null id gives held_out
-null. Rows with null lang teach nothing. Repeated rows count as often as they occur. An
+null and teaches nothing. Rows with null lang teach nothing. Of more than `MOST_LANGUAGES`
+labels those with the most text are learned. Repeated rows count as often as they occur. An
 empty table gives no rows, and teaches no language. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,7 @@ from txscore.llm.words import LOWER
 PROFILE = 300
 #: n-gram counts a task gathers per language before it hands them on.
 FLUSH = 1 << 20
-#: Languages that profiles are held for in every task: a bound on what is broadcast.
+#: Languages that profiles are held for in every task, 2.4 kB each: a bound on what is broadcast.
 MOST_LANGUAGES = 5000
 UNKNOWN = "und"
 #: Score below which a text is in no learned language, whatever was learned: texts of other
@@ -48,23 +52,38 @@ LEAST_SCORE = 0.15
 #: and the part of that quantile a text must reach: labelled texts may be half codes or junk.
 CUTS, LOW_SHARE, LOW_PART = (8, 32, 128, 512, 2048), 0.01, 0.75
 
-_LETTER = np.zeros(256, bool)
-_LETTER[97:123] = _LETTER[128:] = True
+#: Bits of a code point; three of them fill an n-gram's 63-bit number.
+_WIDTH = 21
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter or a mark on one."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)),
+                       bool, sys.maxunicode + 1)
+
+
+def code_points(data: np.ndarray) -> np.ndarray:
+    """The lower-cased characters of UTF-8 bytes as numbers."""
+    if not (data >= 128).any():
+        return LOWER[data]
+    return np.frombuffer(data.tobytes().decode("utf-8", "replace").lower().encode("utf-32-le"), np.uint32)
 
 
 def ngram_keys(data: np.ndarray) -> np.ndarray:
-    """All n-grams of a text as sorted 32-bit numbers: the bytes, left-aligned, over the length."""
-    low = LOWER[data]
-    letters = _LETTER[low]
+    """All n-grams of a text as sorted 63-bit numbers: the code points, left-aligned."""
+    low = code_points(data)
+    letters = _letters()[low]
     keep = letters.copy()
     keep[1:] |= letters[:-1]
-    text = np.where(letters, low, np.uint8(32))[keep]
-    text = np.concatenate([np.array([32], np.uint8), text, np.array([32], np.uint8)]).astype(np.uint32)
-    parts = [(text[text != 32] << np.uint32(24)) + np.uint32(1)]
-    two = (text[:-1] << np.uint32(24)) | (text[1:] << np.uint32(16))
-    parts.append(two + np.uint32(2))
-    parts.append((two[:-1] | (text[2:] << np.uint32(8))) + np.uint32(3))
-    keys = np.concatenate(parts)
+    kept = np.where(letters, low, 32)[keep]
+    if len(kept) and kept[-1] == 32:
+        kept = kept[:-1]  # both ends have one blank
+    text = np.full(len(kept) + 2, 32, np.int64)
+    text[1:-1] = kept
+    one = text << 2 * _WIDTH
+    two = one[:-1] | (text[1:] << _WIDTH)
+    keys = np.concatenate([one[text != 32], two, two[:-1] | text[2:]])
     keys.sort()
     return keys
 
@@ -80,16 +99,16 @@ def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def profile(keys: np.ndarray, size: int = PROFILE) -> np.ndarray:
     """The most frequent n-grams in order of rank."""
     grams, counts = counted(keys)
-    order = (counts.astype(np.uint64) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - grams)
-    if len(order) > size:
-        order = np.partition(order, len(order) - size)[-size:]
-    order.sort()
-    return (np.uint64(0xFFFFFFFF) - (order[::-1] & np.uint64(0xFFFFFFFF))).astype(np.uint32)
+    if len(grams) > size:
+        keep = counts >= np.partition(counts, len(counts) - size)[len(counts) - size]
+        grams, counts = grams[keep], counts[keep]
+    return grams[np.argsort(-counts, kind="stable")[:size]]
 
 
 def has_letter(data: np.ndarray) -> bool:
     """Whether UTF-8 bytes hold a letter of any script."""
-    if _LETTER[LOWER[data[data < 128]]].any():
+    low = LOWER[data]
+    if ((low >= 97) & (low <= 122)).any():
         return True
     if not (data >= 128).any():
         return False
@@ -141,14 +160,14 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def merged(chunks: list) -> tuple[np.ndarray, np.ndarray]:
         grams = np.concatenate([g for g, _ in chunks])
         order = np.argsort(grams, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(grams[order].astype(np.int64)) != 0])
+        first = np.flatnonzero(np.r_[True, np.diff(grams[order]) != 0])
         return grams[order][first], np.add.reduceat(np.concatenate([n for _, n in chunks])[order], first)
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, chunks in pending.items():
             grams, counts = merged(chunks)
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(grams)), "gram": pa.array(grams.astype(np.int64)),
+                "lang": pa.array([lang] * len(grams)), "gram": pa.array(grams),
                 "n": pa.array(counts)})
 
     for batch in batches:
@@ -177,13 +196,12 @@ def learn(docs: DataFrame, size: int = PROFILE) -> Profiles:
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranked = counts.withColumn("rank", F.row_number().over(
         Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).filter(F.col("rank") <= size)
-    ranked = written_table(ranked.select("lang", "rank", "gram"), "profiles")
-    languages = ranked.select("lang").distinct().count()
-    if languages > MOST_LANGUAGES:
-        raise ValueError(f"{languages} languages; profiles are broadcast for {MOST_LANGUAGES} at most")
-    frame = ranked.toPandas().sort_values(["lang", "rank"])
-    return Profiles({lang: rows["gram"].to_numpy().astype(np.uint32)
-                     for lang, rows in frame.groupby("lang")}, size)
+    ranked = written_table(ranked.select("lang", "rank", "gram", "n"), "profiles")
+    languages = ranked.groupBy("lang").agg(F.sum("n").alias("n")) \
+        .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang")
+    frame = ranked.join(F.broadcast(languages), "lang", "left_semi").drop("n").toPandas() \
+        .sort_values(["lang", "rank"])
+    return Profiles({lang: rows["gram"].to_numpy() for lang, rows in frame.groupby("lang")}, size)
 
 
 def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
