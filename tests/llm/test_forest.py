@@ -1,9 +1,11 @@
 """Nearest neighbours against all pairs."""
 
+from collections import Counter
+
 import numpy as np
 import pyarrow.parquet as pq
 
-from txscore.llm.forest import Forest, nearest_neighbours, planes, strings
+from txscore.llm.forest import _MEETING, Forest, _dealt, nearest_neighbours, planes, strings
 from txscore.llm.queries import QUERIES
 
 
@@ -64,9 +66,39 @@ def test_groups_parts_and_copies(spark):
     found = rows_of(nearest_neighbours(make(spark, rows), forest=Forest(group=16, group_most=24)))
     assert set(found) == set(expected) and all(len(own) == 5 for own in found.values())
     assert recall(found, expected) >= 0.9
+    split = rows_of(nearest_neighbours(make(spark, rows), step=10, forest=Forest(group=16, group_most=24)))
+    assert recall(split, brute(rows, step=10)) >= 0.9
     assert [i for i, _ in found[50]] == [600, 601, 602, 603, 604] and [i for i, _ in found[600]] == [50, 601, 602, 603, 604]
 
 
+def test_no_meeting_holds_many_vectors_or_queries(spark):
+    """All vectors in one group, every other one a query: both sides are cut, and each query meets
+    each vector of the group once."""
+    rng = np.random.default_rng(5)
+    forest = Forest(trees=2, group=16, group_most=32)
+    codes = strings(rng.normal(size=(400, 4)), forest)
+    nodes = spark.createDataFrame([(k, 4, row.tolist(), [0.0]) for k, row in enumerate(codes)],
+                                  "node long, dim int, codes array<long>, vector array<double>")
+    index, own = _dealt(nodes, nodes.filter("node % 2 = 0"), forest, 0)
+    left, right = ([tuple(r) for r in df.select(*_MEETING, "node").collect()] for df in (index, own))
+    assert max(Counter(r[:-1] for r in left).values()) <= 2 * forest.group_most
+    assert max(Counter(r[:-1] for r in right).values()) <= 2 * forest.group_most
+    assert len({r[3] for r in left}) == 13 and len({r[4] for r in left}) == 7
+    beside = {}
+    for *meeting, node in right:
+        beside.setdefault(tuple(meeting), []).append(node)
+    met = Counter((r[0], r[-1], query) for r in left for query in beside.get(r[:-1], ()))
+    assert len(met) == 2 * 400 * 200 and set(met.values()) == {1}
+
+
+def test_vectors_of_groups_without_queries_stay(spark):
+    forest = Forest(trees=1, bits=4)
+    nodes = spark.createDataFrame([(k, 4, [k], [0.0]) for k in range(16)],
+                                  "node long, dim int, codes array<long>, vector array<double>")
+    index, _ = _dealt(nodes, nodes.filter("node = 5"), forest, 2)
+    assert sorted(r.node for r in index.collect()) == [4, 5, 6, 7]
+
+
 def test_edges(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, []), (5, [nan, 1.0]), (6, [inf, 1.0]),

@@ -7,8 +7,10 @@ all of them until they hold enough candidates. Their cosines are computed on the
 vectors.
 
 Sorted arrays are cut by the first bits of the string into groups of about `GROUP` vectors, and
-a group that is larger into parts by hash, which its queries visit all; so no array grows with
-the data, and what the parts hold adds up. Equal vectors are one node of the forest, named by
+a group that is larger into parts by hash, which its queries visit all; a group's queries are cut
+into blocks by hash in the same way, and each block meets each part in a task of its own. So
+neither an array nor the queries beside it grow with the data, and what the parts hold adds up;
+vectors of groups without queries stay where they are. Equal vectors are one node of the forest, named by
 their smallest id. A query that finds fewer neighbours than asked for within its groups goes
 through whole trees instead, up to all vectors.
 
@@ -26,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.llm.tasks import clean_table, map_batches, ship, written_table
@@ -37,7 +39,8 @@ TREES, BITS, SEED = 16, 48, 11
 #: the trees must hold before a query stops ascending, and the share of their true neighbours
 #: that these candidates must contain.
 TUNING, RECALL = 128, 0.95
-#: Vectors in a group of a sorted array, on average at least, and in a part of it at most.
+#: Vectors in a group of a sorted array, on average at least, and in a part of it, or queries in
+#: a block, on average at most.
 GROUP, GROUP_MOST = 1024, 2048
 #: Queries are those rows whose id is divisible by this.
 QUERY_STEP = 50
@@ -237,18 +240,35 @@ def _fresh(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(name).alias(name) for name in names))
 
 
+#: What a cogroup is named by: one part of a group's vectors and one block of its queries.
+_MEETING = ("tree", "dim", "group", "part", "block")
+
+
+def _dealt(nodes: DataFrame, queries: DataFrame, forest: Forest, prefix: int) -> tuple[DataFrame, DataFrame]:
+    """Vectors and queries, a row per tree and meeting of a part with a block."""
+    group = ["tree", "dim", "group"]
+    index, own = _in_groups(nodes, forest, prefix), _in_groups(queries, forest, prefix)
+
+    def pieces(rows: DataFrame, name: str) -> DataFrame:
+        return _fresh(rows, *group).groupBy(group).agg(
+            F.ceil(F.count("*") / F.lit(forest.group_most)).cast("int").alias(name))
+
+    def every(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+    sizes = written_table(pieces(index, "parts").join(pieces(own, "blocks"), group), "sizes")
+    index = index.join(sizes, group).withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("block", every("blocks"))
+    own = own.join(sizes, group).withColumn(
+        "block", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("blocks")).cast("int")).withColumn("part", every("parts"))
+    return index.drop("parts", "blocks"), own.drop("parts", "blocks")
+
+
 def _search(nodes: DataFrame, queries: DataFrame, forest: Forest, candidates: float, prefix: int,
             nearest: int) -> DataFrame:
     """(query, node, score): the nearest candidates of each tree and part."""
-    keys = ["tree", "dim", "group", "part"]
-    index = _in_groups(nodes, forest, prefix)
-    parts = index.groupBy("tree", "dim", "group").agg(
-        F.ceil(F.count("*") / F.lit(forest.group_most)).cast("int").alias("parts"))
-    parts = written_table(parts, "parts")
-    index = index.join(parts, ["tree", "dim", "group"]).withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts")
-    own = _in_groups(queries, forest, prefix).join(parts, ["tree", "dim", "group"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    keys = list(_MEETING)
+    index, own = _dealt(nodes, queries, forest, prefix)
     counts = _fresh(index, *keys, "node", "code").groupBy(keys).cogroup(
         _fresh(own, *keys, "node", "code").groupBy(keys)).applyInPandas(
         _counting(forest, prefix), "query long, counts array<int>")
