@@ -240,3 +240,32 @@ def test_keys_live_for_a_time_and_repeats_are_counted(spark, make, topic, tmp_pa
         assert counted[:3] == [(0, 1), (1, 1), (2, 2)]
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_a_call_to_the_state_serves_many_keys(spark, tmp_path):
+    """Far fewer groups than keys: rows come through as they are, state goes by a timer a group."""
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    own = tmp_path / "own"
+    schema = "trans_num STRING, trans_date_trans_time STRING, amt DOUBLE, cc BIGINT, odd STRUCT<x: DECIMAL(20, 3), y: TIMESTAMP>"
+    odd = "named_struct('x', 12345678901234567.125BD, 'y', timestamp'2024-01-01 00:00:00.123456')"
+    first = spark.range(300).selectExpr(
+        "IF(id = 7, NULL, concat('T', id)) AS trans_num", "'2024-01-07 00:00:00' AS trans_date_trans_time",
+        "CASE id WHEN 1 THEN NULL WHEN 2 THEN double('NaN') WHEN 3 THEN double('-Infinity') ELSE id / 3 END AS amt",
+        "IF(id = 4, NULL, 9007199254740993 + id) AS cc", f"IF(id = 5, NULL, {odd}) AS odd")
+    again = first.withColumn("trans_date_trans_time", F.lit("2024-01-07 00:30:00"))
+    later = first.withColumn("trans_date_trans_time", F.lit("2024-01-07 05:00:00")).limit(10)
+    try:
+        scoring.configure_state(spark, 2)
+        for batch in (first.unionByName(again), later):
+            batch.coalesce(1).write.mode("append").parquet(str(own))
+            query = scoring.start_scoring(
+                dedup_for(spark.readStream.schema(schema).parquet(str(own)), timedelta(hours=1), groups=8),
+                manifest_writer(str(tmp_path / "out")), str(tmp_path / "checkpoint"), trigger=None)
+            query.awaitTermination()
+        got = read_committed(spark, str(tmp_path / "out")).select(*first.columns)
+        wanted = first.unionByName(later)
+        assert got.exceptAll(wanted).count() == wanted.exceptAll(got).count() == 0
+        state = query.lastProgress["stateOperators"][0]
+        assert state["numRowsTotal"] <= 3 * 8
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
