@@ -101,6 +101,17 @@ def test_remembered_results_are_the_agenda(documents, dropout):
         assert cut(*encoder.encode(texts, list(numbers))) == expected
 
 
+def test_results_wanted_once_are_not_remembered():
+    words = [f"unrepeatable{k}x" for k in range(200)]
+    encoder = Encoder(PATH, 0.3, 3)
+    keys = chunk_keys([5], [200], 3).tolist()
+    ids, _ = encoder.encode([" ".join(words)], [5])
+    assert ids.tolist() == [i for w, k in zip(words, keys) for i in agenda(load(PATH), " " + w, k, 0.3)]
+    assert not encoder.next
+    encoder.encode(["again " * 500], [6])
+    assert encoder.next
+
+
 def test_ids_depend_on_the_document(make_docs):
     text = "internationalization of characteristically unpredictable vocabulary " * 3
     rows = encode(make_docs([(i, text) for i in range(40)]), PATH).collect()

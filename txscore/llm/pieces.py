@@ -12,8 +12,9 @@ the document, so a word is cut anew wherever it stands.
 
 A task remembers for each chunk which merges are made without dropout and what comes of them.
 Where none of them is skipped that is the result; where one is, the result is that of the chunk
-without this merge, which is remembered in the same way, up to `DEPTH` skipped merges. What
-skips more, and long chunks, are encoded on their own each time. All give what the agenda gives.
+without this merge, which is remembered in the same way where chunks looked up together want it
+more than once, up to `DEPTH` skipped merges. What skips more, results wanted once, and long
+chunks are encoded on their own each time. All give what the agenda gives.
 
 Blanks are written as U+2581 in pieces. Characters without a piece, and U+2581 itself where it
 stands in a text, are written as bytes, so decoding gives back every text exactly.
@@ -323,9 +324,10 @@ class Encoder:
         return range(number, number + len(chunks))
 
     def _skip(self, node: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """The numbers of the results that come of skipping these merges of results."""
-        wanted, inverse = np.unique(node * 64 + which, return_inverse=True)
-        missing = [x for x in wanted.tolist() if x not in self.next]
+        """The numbers of the results that come of skipping these merges of results; -1 for one that
+        is not known yet and wanted once only, which is not worth remembering."""
+        wanted, inverse, times = np.unique(node * 64 + which, return_inverse=True, return_counts=True)
+        missing = [x for x, n in zip(wanted.tolist(), times.tolist()) if n > 1 and x not in self.next]
         if missing:
             from_, at = np.divmod(np.array(missing), 64)
             first = np.cumsum(self.counts) - self.counts
@@ -333,7 +335,7 @@ class Encoder:
             self.next.update(zip(missing, self._learn(
                 [self.chunk[x] for x in from_], [(*self.gone[x], p) for x, p in zip(from_, place)],
                 [self.lead[x] + k for x, k in zip(from_, at.tolist())])))
-        return np.array([self.next[x] for x in wanted.tolist()], np.int64)[inverse]
+        return np.array([self.next.get(x, -1) for x in wanted.tolist()], np.int64)[inverse]
 
     def _first_skipped(self, node: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of these results have a merge that is skipped under these keys, and the first."""
@@ -347,15 +349,18 @@ class Encoder:
 
     def _resolve(self, node: np.ndarray, key: np.ndarray) -> np.ndarray:
         """Put the results under these keys in place of those without skipped merges; where more
-        than `DEPTH` are skipped stays open, and is returned."""
-        open_ = np.arange(len(node))
+        than `DEPTH` are skipped, or a result is not remembered, stays open, and is returned."""
+        open_, left = np.arange(len(node)), []
         for depth in range(DEPTH + 1):
             some, which = self._first_skipped(node[open_], key[open_])
             open_ = open_[some]
             if not len(open_) or depth == DEPTH:
                 break
-            node[open_] = self._skip(node[open_], which)
-        return open_
+            found = self._skip(node[open_], which)
+            left.append(open_[found < 0])
+            open_, found = open_[found >= 0], found[found >= 0]
+            node[open_] = found
+        return np.concatenate([*left, open_])
 
     def encode(self, texts: list[str], documents: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and how many belong to each text; `documents` are
