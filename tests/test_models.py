@@ -247,3 +247,38 @@ def test_search_does_not_depend_on_how_rows_are_dealt(parts):
     assert labels[0] == labels[1]
     assert [type(s).__name__ for s in one.model.stages] == [
         "StringIndexerModel", "VectorAssembler", "GBTClassificationModel"]
+
+
+def test_rows_of_a_fit_are_dealt_evenly_and_always_alike(spark, rows, monkeypatch):
+    def dealt(df):
+        parts = modeling.dealt_for_training(df).withColumn("part", F.spark_partition_id()).collect()
+        return [[r["trans_num"] for r in parts if r["part"] == k] for k in range(max(r["part"] for r in parts) + 1)]
+
+    cores = spark.sparkContext.defaultParallelism
+    one = dealt(rows.coalesce(1))
+    assert len(one) == cores and max(map(len, one)) < 1.5 * rows.count() / cores
+    assert sum(map(len, one)) == rows.count() and one == dealt(rows.repartition(9))
+    monkeypatch.setattr(modeling, "TRAINING_ROWS_A_TASK", 200)
+    assert len(dealt(rows)) == cores * -(-rows.count() // (cores * 200))
+
+
+def test_fewer_boosted_trees_come_from_the_fit_of_most(parts, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    own, fits = GBTClassifier.fit, []
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *a: fits.append(self.getMaxIter()) or own(self, df, *a))
+    noisy = parts[0].withColumn("is_fraud", F.when(F.crc32("trans_num") % 5 == 0, 1).otherwise(F.col("is_fraud")))
+    found = modeling.grid_search(noisy, modeling.boosted_trees(), {"maxIter": [1, 4], "maxDepth": [2]})
+    assert fits == [4, found.model.stages[-1].getNumTrees]
+    each = [modeling.grid_search(noisy, modeling.boosted_trees(), {"maxIter": [n], "maxDepth": [2]}).metrics[0]
+            for n in (1, 4)]
+    assert found.metrics == pytest.approx(each, abs=1e-12) and len(set(each)) == 2
+    assert modeling.longest_fits([{}, {}], modeling.random_forest()) == [[0], [1]]
+
+
+def test_first_trees_answer_as_a_shorter_fit(parts):
+    classifier = modeling.boosted_trees()
+    df = modeling.Pipeline(stages=[modeling.string_indexer(), modeling.assembler()]).fit(parts[0]).transform(parts[0])
+    short, long = (classifier.copy({classifier.maxIter: n, classifier.maxDepth: 3}).fit(df) for n in (2, 5))
+    plain = evaluation.score_counts(short.transform(df))
+    assert sorted(plain.collect()) == sorted(evaluation.score_counts(modeling.boosted_prefix(long, 2, df)).collect())

@@ -6,6 +6,7 @@ import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import chain
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,6 +28,8 @@ from txscore.session import written_table
 
 #: Labels of an index that a task ranks.
 LABELS_A_TASK = 500_000
+#: Rows that a task of a fit goes over in each pass.
+TRAINING_ROWS_A_TASK = 2_000_000
 
 
 def index_names(columns: Sequence[str] = tuple(CATEGORICAL_FEATURES)) -> list[str]:
@@ -120,6 +123,47 @@ class Fitted:
     seconds: float
 
 
+def dealt_for_training(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly by hash, in a number of parts that keeps all cores busy, and in order
+    within each.
+
+    A fit goes over its rows hundreds of times, and files give it as many tasks, of as many rows, as
+    they happen to have row groups. What is drawn for a row follows its place in a part, so the same
+    rows in as many parts also give the same model.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = cores * max(1, -(-df.count() // (cores * TRAINING_ROWS_A_TASK)))
+    return df.repartition(parts, *df.columns).sortWithinPartitions(*df.columns)
+
+
+def boosted_prefix(model, trees: int, df: DataFrame) -> DataFrame:
+    """`df` scored by the first trees of a boosted model: what a fit of that many answers.
+
+    Boosting adds tree after tree, so a longer fit on the same rows starts with the trees of a
+    shorter one.
+    """
+    margin = F.lit(0.0)
+    kept = df.columns
+    for k, (tree, weight) in enumerate(zip(model.trees[:trees], model.treeWeights[:trees])):
+        df = tree.copy().setFeaturesCol("features").setPredictionCol(f"_tree_{k}").transform(df)
+        margin = margin + F.col(f"_tree_{k}") * F.lit(float(weight))
+    return df.select(*kept, margin.alias("rawPrediction")).withColumn(
+        "prediction", F.when(F.col("rawPrediction") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
+def longest_fits(points: Sequence[dict], classifier) -> list[list[int]]:
+    """The numbers of the points, those together that one fit serves: points of a boosted model that
+    differ in the number of trees alone, the most trees first."""
+    if not isinstance(classifier, GBTClassifier):
+        return [[k] for k in range(len(points))]
+    trees = [point.get(classifier.maxIter, classifier.getMaxIter()) for point in points]
+    together: dict[tuple, list[int]] = {}
+    for k, point in enumerate(points):
+        rest = tuple(sorted((p.name, v) for p, v in point.items() if p != classifier.maxIter))
+        together.setdefault(rest, []).append(k)
+    return [sorted(own, key=lambda k: -trees[k]) for own in together.values()]
+
+
 def grid_search(
     train: DataFrame, classifier, grid: Mapping[str, Sequence],
     parallelism: int = FIT_PARALLELISM, seed: int = SEED,
@@ -127,24 +171,33 @@ def grid_search(
     """Single hold-out search decided by the area under the precision-recall curve.
 
     Indexers and assembler are fitted once, for all points and the final model, and the rows of
-    vectors are kept for all fits. The hold-out is drawn by key, so metrics do not depend on how
-    rows are dealt. The best point, the first among equals, is fitted again on all rows.
+    vectors are dealt evenly and kept for all fits. The hold-out is drawn by key, so metrics do not
+    depend on how rows are dealt. Points that differ in the number of boosted trees alone come from
+    one fit. The best point, the first among equals, is fitted again on all rows.
     """
     started = time.monotonic()
     needed = [KEY, LABEL, "classWeight", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
+    train = train.select(*[c for c in needed if c in train.columns])
     stages = Pipeline(stages=[string_indexer(), assembler()]).fit(train)
-    rows = stages.transform(train.select(*[c for c in needed if c in train.columns])).select(
+    rows = stages.transform(dealt_for_training(train)).select(
         KEY, LABEL, "classWeight", "features").persist(StorageLevel.MEMORY_AND_DISK)
     points = param_grid(classifier, grid)
     fitting, held_out = hash_split(rows, TRAIN_SHARE, salt=f"grid-{seed}")
 
-    def metric(point: dict) -> float:
-        model = without_summary(classifier.copy(point).fit(fitting))
-        return areas(score_counts(model.transform(held_out)))[1]
+    def metrics_of(own: list[int]) -> list[tuple[int, float]]:
+        model = without_summary(classifier.copy(points[own[0]]).fit(fitting))
+        found = [(own[0], areas(score_counts(model.transform(held_out)))[1])]
+        for k in own[1:]:
+            trees = points[k].get(classifier.maxIter, classifier.getMaxIter())
+            found.append((k, areas(score_counts(boosted_prefix(model, trees, held_out)))[1]))
+        return found
 
     try:
-        with ThreadPoolExecutor(min(parallelism, len(points))) as pool:
-            metrics = list(pool.map(inheritable_thread_target(train.sparkSession)(metric), points))
+        fits = longest_fits(points, classifier)
+        with ThreadPoolExecutor(min(parallelism, len(fits))) as pool:
+            by_point = dict(chain.from_iterable(
+                pool.map(inheritable_thread_target(train.sparkSession)(metrics_of), fits)))
+        metrics = [by_point[k] for k in range(len(points))]
         best = points[metrics.index(max(metrics))]
         model = classifier.copy(best).fit(rows)
     finally:
