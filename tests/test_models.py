@@ -282,3 +282,17 @@ def test_first_trees_answer_as_a_shorter_fit(parts):
     short, long = (classifier.copy({classifier.maxIter: n, classifier.maxDepth: 3}).fit(df) for n in (2, 5))
     plain = evaluation.score_counts(short.transform(df))
     assert sorted(plain.collect()) == sorted(evaluation.score_counts(modeling.boosted_prefix(long, 2, df)).collect())
+
+
+def test_training_rows_are_written_once(spark):
+    from txscore.plans.model_plans import split_sets, written_clean
+
+    rows = spark.range(400).selectExpr("concat('T', id) AS trans_num", "CAST(id % 4 = 0 AS INT) AS is_fraud",
+                                       "id * 1.0D AS amt", "'x' AS street")
+    train, valid = split_sets(written_clean(rows))
+    assert train.inputFiles() and all("/train-" in x for x in train.inputFiles())
+    assert "md5" not in train._jdf.queryExecution().optimizedPlan().toString()
+    assert "street" not in train.columns
+    assert train.intersect(valid.select(train.columns)).isEmpty()
+    kept, _ = split_sets(rows, undersampled=False)
+    assert kept.count() + valid.count() == 400 and train.count() < kept.count()

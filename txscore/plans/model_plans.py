@@ -14,7 +14,7 @@ from txscore.constants import (
 from txscore.functions import threshold_label
 from txscore.operators import evaluation, modeling, sampling
 from txscore.operators.cleaning import clean_stream, project_scored
-from txscore.operators.features import fit_reference, prepare_features
+from txscore.operators.features import FEATURE_SOURCES, fit_reference, prepare_features
 from txscore.plans.feature_plans import model_rows
 from txscore.plans.oracle import FEATURES, SCORED, TX, WIDE, over, r6
 from txscore.plans.registry import query
@@ -281,6 +281,12 @@ def held(record):
         ((F.col("auc_roc") >= LEAST_ROC) & (F.col("auc_pr") >= LEAST_PR)).alias("good"))
 
 
+def written_clean(rows):
+    """Clean rows, written once; of their columns those that features and scoring need."""
+    needed = [*SCORED_SCHEMA.names[:7], *FEATURE_SOURCES, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, LABEL]
+    return written_table(rows.select(*(c for c in dict.fromkeys(needed) if c in rows.columns)), "clean")
+
+
 def written_features(rows):
     """The columns that training and scoring need, written once."""
     needed = [*SCORED_SCHEMA.names[:7], *NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
@@ -288,10 +294,11 @@ def written_features(rows):
 
 
 def split_sets(rows, undersampled: bool = True):
-    """Weighted training rows and validation rows."""
+    """Weighted training rows, written once as a fit goes over them several times, and validation rows."""
     train, valid = sampling.hash_split(rows)
     if undersampled:
         train = sampling.hash_undersample(train)
+    train = written_table(train, "train")
     weighted = sampling.with_class_weight(train, sampling.class_weight_of(train))
     return weighted, sampling.with_class_weight(valid)
 
@@ -325,7 +332,7 @@ NOISY_ROC = (0.7, 0.995)
     _held(m, f"{_BUCKET} >= 8000") for m in (BOOSTED_NAME, FOREST_NAME)))
 def noisy_label_train(spark, sf_dir):
     """Both models on a label that follows two features and that noise turns in places."""
-    clean = written_table(clean_stream(fixtures.tx_wide(spark, sf_dir)), "clean")
+    clean = written_clean(clean_stream(fixtures.tx_wide(spark, sf_dir)))
     train, valid = split_sets(written_features(prepare_features(clean, fit_reference(clean))))
     models = {FOREST_NAME: modeling.train_forest(train).model, BOOSTED_NAME: modeling.train_boosted(train).model}
     record = evaluation.compare(*[
@@ -390,7 +397,7 @@ FROM clean WHERE {_TEST} >= 9000""")
 def external_test(spark, sf_dir):
     """The better of two models, chosen on validation rows, on a test table that neither the
     averages nor the indexers nor the models have seen."""
-    clean = written_table(clean_stream(fixtures.tx(spark, sf_dir)), "clean")
+    clean = written_clean(clean_stream(fixtures.tx(spark, sf_dir)))
     seen, unseen = sampling.hash_split(clean, 0.9, salt="test")
     reference = fit_reference(seen)
     train, valid = split_sets(written_features(prepare_features(seen, reference)))
