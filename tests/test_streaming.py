@@ -269,3 +269,34 @@ def test_a_call_to_the_state_serves_many_keys(spark, tmp_path):
         assert state["numRowsTotal"] <= 3 * 8
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_messages_are_encoded_once(spark, tmp_path):
+    import datetime
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from txscore.plans.stream_plans import doubled_messages
+
+    pq.write_table(pa.table({
+        "event_id": pa.array(range(5), pa.int64()), "ts": pa.array([datetime.datetime(2024, 1, 1, 10)] * 5, pa.timestamp("us")),
+        "user_id": pa.array([3] * 5, pa.int64()), "event_type": ["view"] * 5, "value": [1.5] * 5, "props": ["{}"] * 5}),
+        tmp_path / "events.parquet")
+    messages = doubled_messages(spark, str(tmp_path))
+    assert messages._jdf.queryExecution().analyzed().toString().count("to_json") == 1
+    messages.writeStream.format("parquet").trigger(availableNow=True).option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).start().awaitTermination()
+    counts = spark.read.parquet(str(tmp_path / "out")).groupBy("key", F.substring("value", 1, 7).alias("begin")).count()
+    assert sorted(map(tuple, counts.collect())) == sorted(
+        x for k in range(5) for x in ((f"T{k}", f"junk T{k}", 1), (f"T{k}", '{"trans', 2)))
+
+
+def test_text_without_a_brace_is_not_parsed(spark):
+    odd = ["junk T1", "", " ", None, "null", "12", '"a"', "[]", "[1]", "{", "}", "{}", ' {"trans_num": "T2"}',
+           '[{"trans_num": "T3"}]', '{"trans_num": "T4", "amt": "x"}', 'x{"trans_num": "T5"}']
+    messages = spark.createDataFrame([(x,) for x in odd], "value STRING")
+    plain = messages.select(F.inline(F.array(F.from_json("value", decode_messages(messages).schema))))
+    as_rows = lambda df: sorted(map(str, df.collect()))
+    assert as_rows(decode_messages(messages)) == as_rows(plain)
+    assert "Contains(value" in decode_messages(messages)._jdf.queryExecution().optimizedPlan().toString()

@@ -10,26 +10,31 @@ from txscore import fixtures
 from txscore.operators import modeling
 from txscore.operators.cleaning import clean_stream, project_scored
 from txscore.operators.features import fit_reference, prepare_features
-from txscore.plans.model_plans import agreement, split_sets, written_features
+from txscore.plans.model_plans import agreement, split_sets, written_clean, written_features
 from txscore.plans.oracle import FEATURES, SCORED, TX, over, r6
 from txscore.plans.registry import query
-from txscore.session import shared_dir, written_table
+from txscore.session import shared_dir
 from txscore.schema import TRANSACTION
 from txscore.sources.readers import decode_messages, read_committed
 from txscore.sources.writers import encode_messages, manifest_writer, parquet_writer
 from txscore.streaming import scoring
 from txscore.streaming.expiry import dedup_for
 
+#: Tasks that encode and decode messages, for each core.
+TASKS_A_CORE = 3
+
 
 def message_stream(spark, sf_dir):
-    return encode_messages(fixtures.transactions_from(fixtures.stream_events(spark, sf_dir)))
+    """The files' row groups give few and uneven tasks, so events are dealt out before they get wide."""
+    events = fixtures.stream_events(spark, sf_dir).repartition(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    return encode_messages(fixtures.transactions_from(events))
 
 
 def doubled_messages(spark, sf_dir):
-    """Every message twice, and one unreadable one in between."""
-    once = message_stream(spark, sf_dir)
-    junk = once.select("key", F.concat(F.lit("junk "), F.col("key")).alias("value"))
-    return once.unionByName(junk).unionByName(message_stream(spark, sf_dir))
+    """Every message twice, and one unreadable one in between; each is encoded once."""
+    junk = F.concat(F.lit("junk "), F.col("key"))
+    return message_stream(spark, sf_dir).select(F.inline(F.array(
+        F.struct("key", "value"), F.struct("key", junk.alias("value")), F.struct("key", "value"))))
 
 
 def run(spark, df, path: str, checkpoint: str, writer=parquet_writer, trigger: str | None = None):
@@ -99,7 +104,7 @@ SELECT count(*) AS "rows", 0::BIGINT AS differing, TRUE AS good FROM tx
 WHERE amt >= 0 AND city_pop >= 0""")
 def stream_score(spark, sf_dir):
     """The stream scored by a forest trained on the batch: every row as the batch scores it."""
-    clean = written_table(clean_stream(fixtures.tx(spark, sf_dir)), "clean")
+    clean = written_clean(clean_stream(fixtures.tx(spark, sf_dir)))
     reference = fit_reference(clean)
     rows = written_features(prepare_features(clean, reference))
     train, _ = split_sets(rows)
