@@ -118,3 +118,34 @@ def test_ids_depend_on_the_document(make_docs):
     assert len({tuple(r.ids) for r in rows}) > 30
     again = encode(make_docs([(i, text) for i in range(39, -1, -1)]), PATH).collect()
     assert {r.doc_id: r.ids for r in rows} == {r.doc_id: r.ids for r in again}
+
+
+def test_a_chunk_is_looked_up_once_however_often_it_stands():
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, chunk):
+            self.asked += 1
+            return super().__getitem__(chunk)
+
+    path = PATH
+    encoder = Encoder(path, 0.1, 0)
+    encoder.known = Counting()
+    text = "one two " * 500
+    ids, counts = encoder.encode([text, "", text], [1, 2, 3])
+    assert encoder.known.asked <= 10
+    assert counts.sum() == len(ids) and decode_ids(load(path), ids[:counts[0]]) == text
+
+
+def test_joins_by_hash_are_those_of_the_model():
+    pieces = load(PATH)
+    rng = np.random.default_rng(0)
+    left, right = rng.integers(-1, pieces.count, (2, 200_000)).astype(np.int32)
+    keys = pieces.keys
+    left = np.r_[left, (keys // pieces.count).astype(np.int32)]
+    right = np.r_[right, (keys % pieces.count).astype(np.int32)]
+    want = [-1 if a < 0 or b < 0 else pieces.join_of.get(a * pieces.count + b, -1)
+            for a, b in zip(left.tolist(), right.tolist())]
+    assert pieces.join(left, right).tolist() == want
+    # Most keys are found at their slot, without a search.
+    assert np.count_nonzero(pieces.slots[pieces._slot(keys)] == np.arange(len(keys))) > 0.8 * len(keys)

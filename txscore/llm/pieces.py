@@ -27,9 +27,7 @@ repeated rows get equal ids; an empty table gives no rows. Other columns are not
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +43,10 @@ REMEMBERED, SIDE_BY_SIDE = 200_000, 48
 DEPTH, AT_ONCE = 3, 1 << 16
 #: Numbers that a document's key is one of.
 DOCUMENT_KEYS = 1 << 62
+#: Slots of the table of joins, as a power of two.
+SLOT_BITS = 21
 BLANK = "▁"
 
-_CHUNK = re.compile(r" +[^ ]*")
 _SEEDED, _PLACED = 0x632BE59BD9B4E019, 0xA0761D6478BD642F
 _ALL = 0xFFFFFFFFFFFFFFFF
 
@@ -92,12 +91,25 @@ class Pieces:
         self.keys = np.array(keys, np.int64)[order]
         self.joins = np.array(joins, np.int32)[order]
         self.join_of = dict(zip(keys, joins))
+        #: Where a key is by its hash; of keys with the same one the last.
+        self.slots = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that two pieces join to, or -1; -1 joins with nothing."""
         key = left.astype(np.int64) * self.count + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.joins[at], -1)
+        at = self.slots[self._slot(key)]
+        found = np.full(len(key), -1, np.int32)
+        some = np.flatnonzero((at >= 0) & (left >= 0) & (right >= 0))
+        wanted, at = key[some], at[some]
+        other = np.flatnonzero(self.keys[at] != wanted)
+        at[other] = np.minimum(np.searchsorted(self.keys, wanted[other]), len(self.keys) - 1)
+        found[some] = np.where(self.keys[at] == wanted, self.joins[at], -1)
+        return found
+
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return (key.view(U64) * U64(_PLACED | 1) >> U64(64 - SLOT_BITS)).view(np.int64)
 
 
 _loaded: dict[str, Pieces] = {}
@@ -215,10 +227,11 @@ def merged(pieces: Pieces, chunks: list[str], drops: Callable[[np.ndarray, np.nd
     Returns all ids in one array and how many belong to each chunk; and the places of the merges
     made, in their order, and how many belong to each chunk."""
     points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
-    sizes = np.array([len(c) for c in chunks])
+    sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
     first = np.r_[0, np.cumsum(sizes)[:-1]]
-    chunk = np.repeat(np.arange(len(chunks)), sizes)
-    begin = np.arange(len(points)) - first[chunk]
+    # Narrow numbers, as each round moves all of them.
+    chunk = np.repeat(np.arange(len(chunks), dtype=np.int32), sizes)
+    begin = (np.arange(len(points)) - first[chunk]).astype(np.int32)
     blanks = np.where(points == 32, np.uint32(ord(BLANK)), points)
     ids = np.where(points == ord(BLANK), np.int32(-1), pieces.of_char[blanks])
     char = np.where(ids < 0, points, 0)
@@ -257,7 +270,8 @@ def merged(pieces: Pieces, chunks: list[str], drops: Callable[[np.ndarray, np.nd
             keep &= ~over
         place = np.cumsum(keep) - 1
         at = place[at]
-        ids, chunk, begin, end, char, joined = (x[keep] for x in (ids, chunk, begin, end, char, joined))
+        kept = np.flatnonzero(keep)
+        ids, chunk, begin, end, char, joined = (x[kept] for x in (ids, chunk, begin, end, char, joined))
         if not len(ids):
             break
         touched = np.zeros(len(ids), bool)
@@ -367,16 +381,21 @@ class Encoder:
         numbers from which, with the seed, the keys of their chunks are made."""
         if len(self.sizes) > REMEMBERED or len(self.known) > REMEMBERED:
             self._forget()
-        chunks = [_CHUNK.findall(" " + text) for text in texts]
-        wanted = set().union(*chunks)
-        wanted.difference_update(self.known)
+        data, offsets = text_bytes(pa.array([" " + text for text in texts], pa.large_string()))
+        begins = data == 32
+        begins[1:] &= data[:-1] != 32
+        begins[offsets[:-1]] = True
+        begins = np.flatnonzero(begins)
+        coded = pa.LargeStringArray.from_buffers(
+            len(begins), pa.py_buffer(np.r_[begins, len(data)].astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
+        different, index = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        wanted = [c for c in different if c not in self.known]
         missing = [c for c in wanted if len(c) <= SIDE_BY_SIDE]
         self.known.update(dict.fromkeys(wanted, -1))
         self.known.update(zip(missing, self._learn(missing, [()] * len(missing), [0] * len(missing))))
-        flat = list(chain.from_iterable(chunks))
-        counts = [len(own) for own in chunks]
+        counts = np.diff(np.searchsorted(begins, offsets))
         key = chunk_keys(documents, counts, self.seed)
-        node = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        node = np.array(list(map(self.known.__getitem__, different)), np.int64)[index]
         alone = [np.flatnonzero(node < 0)]
         if self.dropout:
             short = np.flatnonzero(node >= 0)
@@ -385,27 +404,27 @@ class Encoder:
                 own = node[part]
                 alone.append(part[self._resolve(own, key[part])])
                 node[part] = own
-        pool, sizes = self._alone(flat, node, key, np.concatenate(alone))
+        apart = np.concatenate(alone)
+        pool, sizes = self._alone([different[k] for k in index[apart].tolist()], node, key, apart)
         size = sizes[node]
         ids = pool[_ranges(np.cumsum(sizes)[node], size)]
         ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(counts, dtype=np.int64)]]
         return ids, np.diff(ends)
 
-    def _alone(self, flat: list[str], node: np.ndarray, key: np.ndarray,
+    def _alone(self, chunks: list[str], node: np.ndarray, key: np.ndarray,
                alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Encode these chunks on their own, to be forgotten; the pool and sizes with theirs."""
+        """Encode the chunks at these places on their own, to be forgotten; the pool and sizes with theirs."""
         if not len(alone):
             return self.pool, self.sizes
         pools, sizes = [self.pool], [self.sizes]
-        long = np.array([len(flat[k]) > SIDE_BY_SIDE for k in alone.tolist()], bool)
-        short = alone[~long]
+        long = np.array([len(chunk) > SIDE_BY_SIDE for chunk in chunks], bool)
+        short, own = alone[~long], [chunk for chunk in chunks if len(chunk) <= SIDE_BY_SIDE]
         for k in range(0, len(short), 20_000):
-            part = short[k:k + 20_000]
-            ids, counts = side_by_side(self.pieces, [flat[i] for i in part.tolist()], key[part], self.dropout)
+            ids, counts = side_by_side(self.pieces, own[k:k + 20_000], key[short[k:k + 20_000]], self.dropout)
             pools.append(ids)
             sizes.append(counts)
-        for i in alone[long].tolist():
-            pools.append(np.array(agenda(self.pieces, flat[i], int(key[i]), self.dropout), np.int32))
+        for k in np.flatnonzero(long).tolist():
+            pools.append(np.array(agenda(self.pieces, chunks[k], int(key[alone[k]]), self.dropout), np.int32))
             sizes.append(np.array([len(pools[-1])]))
         node[np.r_[short, alone[long]]] = np.arange(len(alone)) + len(self.sizes)
         return np.concatenate(pools), np.concatenate(sizes)
