@@ -296,3 +296,107 @@ def test_training_rows_are_written_once(spark):
     assert train.intersect(valid.select(train.columns)).isEmpty()
     kept, _ = split_sets(rows, undersampled=False)
     assert kept.count() + valid.count() == 400 and train.count() < kept.count()
+
+
+@pytest.fixture(scope="module")
+def vectors(parts):
+    """Vectors in the order of a fit, with a label that no feature tells for certain: among rows that are all
+    alike, rounding decides whether a split has a gain."""
+    noisy = parts[0].withColumn("is_fraud", F.when(F.crc32("trans_num") % 5 == 0, 1 - F.col("is_fraud")).otherwise(F.col("is_fraud")))
+    stages = modeling.Pipeline(stages=[modeling.string_indexer(), modeling.assembler()]).fit(noisy)
+    return stages.transform(modeling.dealt_for_training(noisy)).select(
+        "trans_num", "is_fraud", "classWeight", "features").cache()
+
+
+def answers(model, df):
+    return sorted(map(tuple, model.transform(df).select("trans_num", "rawPrediction", "prediction").collect()))
+
+
+def test_a_cut_forest_is_that_of_less_depth(vectors, tmp_path):
+    classifier = modeling.random_forest(numTrees=5)
+    deep, flat = (modeling.without_summary(classifier.copy({classifier.maxDepth: d}).fit(vectors)) for d in (7, 3))
+    cut = modeling.cut_forest(deep, 5, 3)
+    assert cut.toDebugString.split("\n")[1:] == flat.toDebugString.split("\n")[1:]
+    assert answers(cut, vectors) == answers(flat, vectors) != answers(deep, vectors)
+    assert (cut.getNumTrees, cut.getOrDefault("maxDepth")) == (5, 3)
+    fewer = modeling.cut_forest(deep, 2, 7)
+    assert [t.toDebugString.split("\n")[1:] for t in fewer.trees] == [
+        t.toDebugString.split("\n")[1:] for t in deep.trees[:2]]
+    assert modeling.cut_forest(deep, 5, 0).totalNumNodes == 5
+    modeling.export_model(modeling.PipelineModel([cut]), str(tmp_path / "cut"), sample=vectors)
+
+
+def test_one_forest_serves_the_points_of_less_depth_and_fewer_trees(parts, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    own, fits = RandomForestClassifier.fit, []
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *a: fits.append(
+        (self.getNumTrees(), self.getMaxDepth())) or own(self, df, *a))
+    noisy = parts[0].withColumn("is_fraud", F.when(F.crc32("trans_num") % 5 == 0, 1).otherwise(F.col("is_fraud")))
+    found = modeling.grid_search(noisy, modeling.random_forest(), {"numTrees": [3, 6], "maxDepth": [1, 5]})
+    best = found.model.stages[-1]
+    assert fits == [(6, 5), (best.getNumTrees, best.getOrDefault("maxDepth"))] and len(set(found.metrics)) == 4
+    # Depth alone leaves every draw as it was.
+    alone = modeling.grid_search(noisy, modeling.random_forest(), {"numTrees": [6], "maxDepth": [1]})
+    assert found.metrics[2] == pytest.approx(alone.metrics[0], abs=1e-12)
+    classifier = modeling.random_forest()
+    points = modeling.param_grid(classifier, {"numTrees": [1, 2], "maxDepth": [3, 4], "maxBins": [64, 128]})
+    groups = modeling.largest_fits(points, classifier)
+    assert sorted(k for own in groups for k in own) == list(range(8)) and len(groups) == 4
+    assert all(points[own[0]][classifier.maxDepth] == 4 for own in groups)
+
+
+def test_boosted_trees_are_those_of_sparks_own_fit(vectors, tmp_path):
+    from pyspark.ml.classification import GBTClassifier
+
+    params = {"labelCol": "is_fraud", "weightCol": "classWeight", "seed": 42, "maxIter": 6, "maxDepth": 4}
+    for more in ({"maxBins": 1024}, {"maxBins": 64, "minInstancesPerNode": 30}, {"maxBins": 64, "maxMemoryInMB": 0}):
+        plain, binned = (c(**params, **more).fit(vectors) for c in (GBTClassifier, modeling.BinnedGBTClassifier))
+        shape = [[line.split("Predict")[0] for line in m.toDebugString.split("\n")[1:]] for m in (plain, binned)]
+        assert shape[0] == shape[1] and plain.treeWeights == binned.treeWeights
+        one, other = answers(plain, vectors), answers(binned, vectors)
+        for a, b in zip(one, other):
+            assert a[0] == b[0] and a[2] == b[2] and a[1][1] == pytest.approx(b[1][1], abs=1e-9)
+        assert plain.featureImportances.toArray() == pytest.approx(binned.featureImportances.toArray(), abs=1e-9)
+        assert {p.name: v for p, v in plain.extractParamMap().items()} == {
+            p.name: v for p, v in binned.extractParamMap().items()}
+    modeling.export_model(modeling.PipelineModel([binned]), str(tmp_path / "boosted"), sample=vectors)
+
+
+def test_boosted_trees_in_many_parts_and_chunks(vectors, monkeypatch):
+    from txscore.operators import boosting
+
+    classifier = modeling.boosted_trees(maxIter=3, maxDepth=3)
+    one = classifier.fit(vectors)
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 100)
+    monkeypatch.setattr(boosting, "PARTS_AT_ONCE", 2)
+    other = classifier.fit(vectors)
+    assert one.toDebugString.count("If") == other.toDebugString.count("If")
+    for a, b in zip(answers(one, vectors), answers(other, vectors)):
+        assert a[1][1] == pytest.approx(b[1][1], abs=1e-9)
+
+
+def test_boosted_fit_leaves_to_spark_what_it_does_not_do(vectors, monkeypatch):
+    from txscore.operators import boosting
+
+    monkeypatch.setattr(modeling.BinnedGBTClassifier, "_boosted", lambda *a: pytest.fail("binned"))
+    small = {"maxIter": 1, "maxDepth": 1}
+    zero = vectors.withColumn("classWeight", F.when(F.col("is_fraud") == 1, 0.0).otherwise(1.0))
+    assert modeling.boosted_trees(**small).fit(zero).getNumTrees == 1
+    assert modeling.boosted_trees(subsamplingRate=0.5, **small).fit(vectors).getNumTrees == 1
+    with pytest.raises(Exception, match="maxBins"):
+        modeling.boosted_trees(max_bins=16, **small).fit(vectors)
+    with pytest.raises(Exception, match="(?i)label"):
+        modeling.boosted_trees(**small).fit(vectors.withColumn("is_fraud", F.lit(3)))
+    assert boosting.categories_of(vectors.select(F.col("features").alias("f", metadata={})), "f") is None
+
+
+def test_thresholds_split_the_weight_evenly():
+    from txscore.operators.boosting import thresholds_of
+
+    few = thresholds_of(np.array([1.0, 2.0, 4.0]), np.ones(3), 5)
+    assert few.tolist() == [1.5, 3.0] and thresholds_of(np.array([7.0]), np.ones(1), 5).tolist() == []
+    many = thresholds_of(np.arange(1000.0), np.ones(1000), 9)
+    assert len(many) == 9 and max(np.diff(many)) <= 101
+    heavy = thresholds_of(np.arange(100.0), np.r_[np.ones(99), 1000.0], 3)
+    assert heavy.tolist() == [98.5]

@@ -21,8 +21,10 @@ from txscore.constants import (
     MAX_BINS, NUMERIC_FEATURES, SEED, TRAIN_SHARE,
 )
 from txscore.functions import class_probability
+from txscore.operators.boosting import BinnedGBTClassifier
 from txscore.operators.evaluation import areas, score_counts
 from txscore.operators.features import BROADCAST_BYTES, BROADCAST_ROWS
+from txscore.operators.forests import cut_forest
 from txscore.operators.sampling import hash_split
 from txscore.session import written_table
 
@@ -98,7 +100,7 @@ def random_forest(max_bins: int = MAX_BINS, seed: int = SEED, **params) -> Rando
 
 
 def boosted_trees(max_bins: int = MAX_BINS, seed: int = SEED, **params) -> GBTClassifier:
-    return GBTClassifier(
+    return BinnedGBTClassifier(
         labelCol=LABEL, featuresCol="features", weightCol="classWeight", seed=seed,
         maxBins=max_bins, **params)
 
@@ -164,6 +166,28 @@ def longest_fits(points: Sequence[dict], classifier) -> list[list[int]]:
     return [sorted(own, key=lambda k: -trees[k]) for own in together.values()]
 
 
+def largest_fits(points: Sequence[dict], classifier) -> list[list[int]]:
+    """As above, and of a forest those points together that differ in the number and depth of the trees
+    alone, the largest first. One tree is grown by other rules than several."""
+    if not isinstance(classifier, RandomForestClassifier):
+        return longest_fits(points, classifier)
+    trees = [point.get(classifier.numTrees, classifier.getNumTrees()) for point in points]
+    depths = [point.get(classifier.maxDepth, classifier.getMaxDepth()) for point in points]
+    together: dict[tuple, list[int]] = {}
+    for k, point in enumerate(points):
+        rest = tuple(sorted((p.name, v) for p, v in point.items() if p.name not in ("numTrees", "maxDepth")))
+        together.setdefault((trees[k] == 1, rest), []).append(k)
+    return [sorted(own, key=lambda k: (-trees[k], -depths[k])) for own in together.values()]
+
+
+def smaller_model(model, point: dict, classifier, df: DataFrame) -> DataFrame:
+    """`df` scored by what the fit of a smaller point would be, out of the model of a larger one."""
+    if isinstance(classifier, GBTClassifier):
+        return boosted_prefix(model, point.get(classifier.maxIter, classifier.getMaxIter()), df)
+    return cut_forest(model, point.get(classifier.numTrees, classifier.getNumTrees()),
+                      point.get(classifier.maxDepth, classifier.getMaxDepth())).transform(df)
+
+
 def grid_search(
     train: DataFrame, classifier, grid: Mapping[str, Sequence],
     parallelism: int = FIT_PARALLELISM, seed: int = SEED,
@@ -172,8 +196,9 @@ def grid_search(
 
     Indexers and assembler are fitted once, for all points and the final model, and the rows of
     vectors are dealt evenly and kept for all fits. The hold-out is drawn by key, so metrics do not
-    depend on how rows are dealt. Points that differ in the number of boosted trees alone come from
-    one fit. The best point, the first among equals, is fitted again on all rows.
+    depend on how rows are dealt. Points that differ in the number of boosted trees alone, or in the
+    number and depth of a forest's trees, come from one fit. The best point, the first among equals,
+    is fitted again on all rows.
     """
     started = time.monotonic()
     needed = [KEY, LABEL, "classWeight", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
@@ -188,12 +213,11 @@ def grid_search(
         model = without_summary(classifier.copy(points[own[0]]).fit(fitting))
         found = [(own[0], areas(score_counts(model.transform(held_out)))[1])]
         for k in own[1:]:
-            trees = points[k].get(classifier.maxIter, classifier.getMaxIter())
-            found.append((k, areas(score_counts(boosted_prefix(model, trees, held_out)))[1]))
+            found.append((k, areas(score_counts(smaller_model(model, points[k], classifier, held_out)))[1]))
         return found
 
     try:
-        fits = longest_fits(points, classifier)
+        fits = largest_fits(points, classifier)
         with ThreadPoolExecutor(min(parallelism, len(fits))) as pool:
             by_point = dict(chain.from_iterable(
                 pool.map(inheritable_thread_target(train.sparkSession)(metrics_of), fits)))
