@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from txscore.constants import BOOSTED_NAME, FOREST_NAME
@@ -349,8 +350,11 @@ def test_one_forest_serves_the_points_of_less_depth_and_fewer_trees(parts, monke
 def test_boosted_trees_are_those_of_sparks_own_fit(vectors, tmp_path):
     from pyspark.ml.classification import GBTClassifier
 
-    params = {"labelCol": "is_fraud", "weightCol": "classWeight", "seed": 42, "maxIter": 6, "maxDepth": 4}
-    for more in ({"maxBins": 1024}, {"maxBins": 64, "minInstancesPerNode": 30}, {"maxBins": 64, "maxMemoryInMB": 0}):
+    params = {"labelCol": "is_fraud", "weightCol": "classWeight", "seed": 42, "maxIter": 4, "maxDepth": 4}
+    # In a node of few rows, splits of equal gain are decided by the last digit, which follows the order of sums.
+    params |= {"minInstancesPerNode": 30}
+    for more in ({"maxBins": 1024}, {"maxBins": 64, "minWeightFractionPerNode": 0.02, "minInfoGain": 0.01},
+                 {"maxBins": 64, "maxMemoryInMB": 0}):
         plain, binned = (c(**params, **more).fit(vectors) for c in (GBTClassifier, modeling.BinnedGBTClassifier))
         shape = [[line.split("Predict")[0] for line in m.toDebugString.split("\n")[1:]] for m in (plain, binned)]
         assert shape[0] == shape[1] and plain.treeWeights == binned.treeWeights
@@ -369,13 +373,23 @@ def test_boosted_trees_in_many_parts_and_chunks(vectors, monkeypatch):
     classifier = modeling.boosted_trees(maxIter=3, maxDepth=3)
     one = classifier.fit(vectors)
     monkeypatch.setattr(boosting, "CHUNK_ROWS", 100)
-    monkeypatch.setattr(boosting, "PARTS_AT_ONCE", 2)
+    monkeypatch.setattr(boosting, "COUNT_BYTES", 0)
     other = classifier.fit(vectors)
     assert one.toDebugString.count("If") == other.toDebugString.count("If")
     for a, b in zip(answers(one, vectors), answers(other, vectors)):
         assert a[1][1] == pytest.approx(b[1][1], abs=1e-9)
 
 
+def test_rows_alike_are_not_split(vectors, monkeypatch):
+    from txscore.operators import boosting
+
+    own, nodes = boosting.count_bins, []
+    monkeypatch.setattr(boosting, "count_bins", lambda *a: nodes.append(a[4].tolist()) or own(*a))
+    told = vectors.withColumn("is_fraud", (vector_to_array("features")[0] > 100).cast("int"))
+    model = modeling.boosted_trees(maxIter=4, maxDepth=3).fit(told.withColumn("classWeight", F.lit(0.1)))
+    assert nodes == [[1]] * 4 and model.totalNumNodes == 12
+
+
 def test_boosted_fit_leaves_to_spark_what_it_does_not_do(vectors, monkeypatch):
     from txscore.operators import boosting
 

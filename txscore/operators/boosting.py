@@ -25,13 +25,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows in a chunk.
 CHUNK_ROWS = 1 << 16
-#: More parts than these add up their counts in a tree.
-PARTS_AT_ONCE = 64
+#: Bytes of counts that a task makes at once, and that the driver gets unadded.
+COUNT_BYTES = 64 << 20
 #: Bins have two bytes.
 MOST_BINS = 1 << 16
 #: Rows, weight, sum and sum of squares of a bin.
 STATS = 4
 EPSILON = float(np.finfo(float).eps)
+#: Variance as a share of the mean square, below which sums over millions of rows cannot tell it from none.
+ALIKE = 1e-12
 
 
 @dataclass(frozen=True)
@@ -184,13 +186,13 @@ def count_bins(chunks: RDD, bins: Bins, tree: Tree, level: int, nodes: np.ndarra
         found = np.zeros((STATS, len(nodes), starts[-1]))
         for own, sign, weight, margin in part:
             slot = slot_of[tree.leaves(own, level)]
+            if (slot < 0).any():
+                kept = np.flatnonzero(slot >= 0)
+                own, slot, sign, weight, margin = own[:, kept], slot[kept], sign[kept], weight[kept], margin[kept]
             target = sign.astype(float)
             if not first:
                 with np.errstate(over="ignore"):
                     target = 4.0 * target / (1.0 + np.exp(2.0 * target * margin))
-            if (slot < 0).any():
-                kept = np.flatnonzero(slot >= 0)
-                own, slot, target, weight = own[:, kept], slot[kept], target[kept], weight[kept]
             weighted = weight * target
             squares = weighted * target
             for f, size in enumerate(sizes):
@@ -202,7 +204,7 @@ def count_bins(chunks: RDD, bins: Bins, tree: Tree, level: int, nodes: np.ndarra
         yield found
 
     each = chunks.mapPartitions(counted)
-    if each.getNumPartitions() > PARTS_AT_ONCE:
+    if each.getNumPartitions() * STATS * len(nodes) * int(starts[-1]) * 8 > COUNT_BYTES:
         return each.treeReduce(np.add)
     return sum(each.collect())
 
@@ -234,9 +236,9 @@ def best_splits(counts: np.ndarray, bins: Bins, least_rows: int, least_weight: f
             each = np.take_along_axis(each, order[None], axis=2)
         upto = np.cumsum(each, axis=2)
         low, high = upto[:, :, :-1], upto[:, :, -1:] - upto[:, :, :-1]
-        share = low[1] / np.maximum(low[1] + high[1], np.finfo(float).tiny)
+        weight = np.maximum(low[1] + high[1], np.finfo(float).tiny)
         with np.errstate(invalid="ignore"):
-            gain = before[:, None] - share * impurity(low) - (1.0 - share) * impurity(high)
+            gain = before[:, None] - low[1] / weight * impurity(low) - high[1] / weight * impurity(high)
             valid = ((low[0] >= least_rows) & (high[0] >= least_rows) & (low[1] >= least_weight)
                      & (high[1] >= least_weight) & (gain >= least_gain))
         gain = np.where(valid, gain, -np.inf)
@@ -254,7 +256,7 @@ def best_splits(counts: np.ndarray, bins: Bins, least_rows: int, least_weight: f
 def grow_tree(chunks: RDD, bins: Bins, depth: int, first: bool, settings: dict) -> Tree:
     """One tree, level by level, as many nodes at once as memory is granted for."""
     tree = Tree.of(depth, max(bins.sizes))
-    at_once = max(1, int(settings["memory"] // (bins.starts[-1] * STATS * 8)))
+    at_once = max(1, int(min(settings["memory"], COUNT_BYTES) // (bins.starts[-1] * STATS * 8)))
     nodes = np.array([1])
     for level in range(depth):
         following = []
@@ -265,13 +267,13 @@ def grow_tree(chunks: RDD, bins: Bins, depth: int, first: bool, settings: dict)
                 counts, bins, settings["least_rows"], settings["least_weight"], settings["least_gain"])
             tree.stats[some] = own.T
             for k in np.flatnonzero(gain > 0):
-                node = some[k]
+                node = int(some[k])
                 tree.feature[node], tree.left[node], tree.gain[node] = feature[k], left[k], gain[k]
-                for child, side in ((2 * node, sides[0]), (2 * node + 1, sides[1])):
-                    tree.stats[child] = side[:, k]
-                    if abs(impurity(side[:, k])) >= EPSILON:
+                for child, side in ((2 * node, sides[0][:, k]), (2 * node + 1, sides[1][:, k])):
+                    tree.stats[child] = side
+                    # Less variance than rounding leaves is none: the rows are alike.
+                    if impurity(side) > max(EPSILON, ALIKE * side[3] / side[1]):
                         following.append(child)
-        # A node of this level is only split once all of them are counted.
         nodes = np.array(following)
         if not len(nodes):
             break
